@@ -41,3 +41,17 @@ def documents(docs: DataFrame, *extra: str) -> DataFrame:
     """The id and text columns with fixed types; a null text counts as empty."""
     keep = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")]
     return docs.select(*keep, *extra)
+
+
+#: Ids that may be broadcast: about 30 MB in a hashed relation.
+BROADCAST_IDS = 1_000_000
+
+
+def only_ids(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose doc_id is in `ids` (or, by left_anti, is not), a written table of distinct ids.
+
+    Ids are broadcast, so that texts stay in place, up to BROADCAST_IDS of them;
+    more ids take a shuffled join.
+    """
+    few = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", how)

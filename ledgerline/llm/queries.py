@@ -10,12 +10,20 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontamination import contaminated
 from .line_dedup import line_dedup
+from .lm_scoring import lm_scores
+from .minhash import near_duplicates
 from .mixing import mix
 from .quality_rules import quality_rules
 from .secrets import scan_secrets
+from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +36,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
@@ -41,8 +57,15 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_toxicity, op3_mixing, op4_decontamination, op7_line_dedup, op8_quality_rules, op9_secrets)
-}
+    f.__name__: f
+    for f in (
+        op1_minhash, op2_toxicity, op3_mixing, op4_decontamination, op5_lm_scoring, op6_substring_dedup, op7_line_dedup, op8_quality_rules, op9_secrets, op10_suffix_dedup,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}
