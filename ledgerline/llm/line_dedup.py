@@ -12,7 +12,8 @@ first occurrence, in a join that Spark may split.
 
 Defined results: null and empty texts have no lines and stay as they are; blank
 lines belong to the chunk around them; rows with one id are ordered by text;
-one-line chunks are never removed; other columns are kept.
+one-line chunks are never removed; a null id takes no part; other columns are
+kept.
 """
 
 from __future__ import annotations
@@ -24,10 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, only_ids, written
 
 EVERY, LEAST, MOST = 3, 2, 32
-CHUNKS = "doc_id long, at int, lines int, hash long, bytes binary"
 
 
 def chunks(text: bytes) -> list[tuple[int, int, int]]:
@@ -52,38 +52,47 @@ def _lines(text: bytes) -> list[bytes]:
     return [p + b"\n" for p in pieces[:-1]] + ([pieces[-1]] if pieces[-1] else [])
 
 
-def _chunked(with_bytes: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, at, count, digest, content = [], [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                raw = (text.as_py() or "").encode()
-                for k, (s, e, lines) in enumerate(chunks(raw)):
-                    piece = raw[s:e].strip()
-                    if lines < LEAST or not piece:
-                        continue
-                    ids.append(doc)
-                    at.append(k)
-                    count.append(lines)
-                    digest.append(xxhash.xxh3_64_intdigest(piece) - (1 << 63))
-                    content.append(piece if with_bytes else None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(count, pa.int32()), pa.array(digest, pa.int64()), pa.array(content, pa.binary())],
-                ["doc_id", "at", "lines", "hash", "bytes"],
-            )
-
-    return run
+def _repeatable(text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
+    """(place, lines, hash, bytes) of the chunks of several lines."""
+    for k, (s, e, lines) in enumerate(chunks(text)):
+        piece = text[s:e].strip()
+        if lines >= LEAST and piece:
+            yield k, lines, xxhash.xxh3_64_intdigest(piece) - (1 << 63), piece
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(doc, k, h) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True) for k, _, h, _ in _repeatable((text.as_py() or "").encode())]
+        columns = list(zip(*rows, strict=True)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "at", "hash"])
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the listed chunks only."""
+    for batch in batches:
+        rows = []
+        for doc, text, listed in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("listed").to_pylist(), strict=True):
+            wanted = {x["at"]: x["is_first"] for x in listed}
+            rows += [(doc, k, h, piece, wanted[k]) for k, _, h, piece in _repeatable((text.as_py() or "").encode()) if k in wanted]
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "at", "hash", "bytes", "is_first"])
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id and the places (array) of the chunks to remove."""
-    texts = documents(docs)
-    light = texts.mapInArrow(_chunked(False), CHUNKS)
+    """doc_id and the places (array) of the chunks to remove.
+
+    Hashes of all chunks meet first; bytes travel only for those that repeat.
+    """
+    texts = documents(docs).where("doc_id is not null")
+    light = texts.mapInArrow(_hashed, "doc_id long, at int, hash long")
     first = light.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").drop("n")
-    rows = texts.mapInArrow(_chunked(True), CHUNKS).join(first, "hash")
-    is_first = F.struct("doc_id", "at").eqNullSafe(F.col("first"))
-    kept = rows.where(is_first).select(F.col("hash").alias("of"), F.col("bytes").alias("kept")).groupBy("of").agg(F.min("kept").alias("kept"))
-    later = rows.where(~is_first)
+    both = light.join(first, "hash").withColumn("is_first", F.struct("doc_id", "at") == F.col("first"))
+    listed = written(both.groupBy("doc_id").agg(F.collect_list(F.struct("at", "is_first")).alias("listed")), "repeated-chunks")
+    some = only_ids(texts, listed.select("doc_id")).join(listed, "doc_id")
+    rows = written(some.mapInArrow(_contents, "doc_id long, at int, hash long, bytes binary, is_first boolean"), "chunk-bytes")
+    kept = rows.where("is_first").groupBy(F.col("hash").alias("of")).agg(F.min("bytes").alias("kept"))
+    later = rows.where("not is_first")
     same = later.join(kept, (later["hash"] == kept["of"]) & (later["bytes"] == kept["kept"]))
     return same.groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("gone"))
 
@@ -95,7 +104,7 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = (text.as_py() or "").encode()
             parts, drop = chunks(raw), set(gone or ())
             lines.append(sum(n for _, _, n in parts))
-            removed.append(sum(parts[k][2] for k in drop))
+            removed.append(sum(n for k, (_, _, n) in enumerate(parts) if k in drop))
             texts.append(text.as_py() if not drop else b"".join(raw[s:e] for k, (s, e, _) in enumerate(parts) if k not in drop).decode())
         keep = [c for c in batch.schema.names if c not in ("text", "gone")]
         yield pa.RecordBatch.from_arrays(
@@ -104,11 +113,18 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """The documents with repeated chunks cut from their texts, and n_lines and n_removed."""
-    gone = repeated_chunks(docs).withColumnRenamed("doc_id", "_of")
+    """The documents with repeated chunks cut from their texts, and n_lines and n_removed.
+
+    Texts that lose nothing stay where they are read.
+    """
+    gone = written(repeated_chunks(docs), "gone-chunks")
     # a column of the documents that has one of our names gives way
-    own = docs.select(*[c for c in docs.columns if c not in ("gone", "_of", "n_lines", "n_removed")]).withColumn("text", F.col("text").cast("string"))
-    both = own.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_of")), "left").drop("_of")
+    own = docs.select(*[c for c in docs.columns if c not in ("gone", "n_lines", "n_removed")]).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    ids = gone.select("doc_id")
+    cut = only_ids(own, ids).join(gone, "doc_id")
+    whole = only_ids(own, ids, "left_anti").withColumn("gone", F.lit(None).cast("array<int>"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text"]
-    out = both.mapInArrow(_rebuilt, ", ".join([*fields, "text string", "n_lines long", "n_removed long"]))
+    schema = ", ".join([*fields, "text string", "n_lines long", "n_removed long"])
+    order = [*[f.name for f in own.schema if f.name != "text"], "text", "gone"]
+    out = cut.select(*order).mapInArrow(_rebuilt, schema).unionByName(whole.select(*order).mapInArrow(_rebuilt, schema))
     return out.select(*own.columns, "n_lines", "n_removed")
