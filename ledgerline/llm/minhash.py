@@ -7,12 +7,15 @@ both list the key of that chunk without that position: all pairs under the
 signature distance share a key.  At a similarity of 0.8 a pair is further apart
 with a probability of about 2 in 10,000.
 
-Only connections matter, so a bucket of equal keys gives no pairs at first, but
-each row's link to the bucket's first row and to the row before.  Links are
-confirmed on full sets.  Then rows of one bucket that are still in different
-components meet in an equi-join, which Spark may split; thus a group of
-thousands of copies costs links in proportion to its size.  Equal sets are one
-row from the start.
+Only connections matter, so a bucket of equal keys doesn't give all its pairs.
+In each of some turns its rows, in another order each time, pair with the first
+row and with the row before, unless they are in one component already.  Pairs
+are confirmed on full sets.  Chains of pairs within the signature distance make
+groups.  In a group that has several components left, rows outside the main one
+meet all others on full sets, in cells of bounded size; then pairs of one bucket
+in different groups meet in a join, so no pair within the signature distance is
+left untested across components.  Equal sets are
+one row from the start.
 
 Defined results: empty and null texts have no shingles and link with nothing;
 a null id links with nothing and is kept; repeated rows of one id fall into one
@@ -108,7 +111,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
         keys = bucket_keys(marks).view(np.int64).ravel()
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, POSITIONS), pa.int32()), pa.array(keys))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_shingles"), lists], ["doc_id", "n_shingles", "keys"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_shingles"), batch.column("label"), lists], ["doc_id", "n_shingles", "label", "keys"])
 
 
 def _alike(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -117,31 +120,30 @@ def _alike(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _neighbours(percent: int):
-    """Over rows in order of key: links to the bucket's first row and to the row before.
+    """Over rows in order of key: pairs of each row with its bucket's first row and with the row before.
 
-    Each output row has the bucket's key; `a` is null where no link is possible.
+    Rows of one component make no pair, nor rows whose sizes rule it out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # key, first id and size, previous id and size
+        last = None  # key; id, size and label of the bucket's first row and of the row before
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, doc, n = (batch.column(c).to_numpy() for c in ("key", "doc_id", "n_shingles"))
+            key, doc, n, label = (batch.column(c).to_numpy() for c in ("key", "doc_id", "n_shingles", "label"))
             head = np.ones(len(key), bool)
             head[1:] = key[1:] != key[:-1]
             head[0] = last is None or key[0] != last[0]
             at = np.maximum.accumulate(np.where(head, np.arange(len(key)), -1))
-            own = at >= 0
-            first = np.where(own, doc[at], last[1] if last else 0)
-            first_n = np.where(own, n[at], last[2] if last else 0)
-            before, before_n = np.roll(doc, 1), np.roll(n, 1)
-            if last:
-                before[0], before_n[0] = last[3], last[4]
-            last = (key[-1], first[-1], first_n[-1], doc[-1], n[-1])
+            columns = (doc, n, label)
+            first = [np.where(at >= 0, c[at], last[1][k] if last else 0) for k, c in enumerate(columns)]
+            before = [np.roll(c, 1) for c in columns]
+            for k, c in enumerate(before):
+                c[0] = last[2][k] if last else 0
+            last = key[-1], [c[-1] for c in first], [c[-1] for c in columns]
             a, b = [], []
-            for other, size in ((first, first_n), (before, before_n)):
-                ok = ~head & (other != doc) & _alike(size, n, percent)
+            for other, size, group in (first, before):
+                ok = ~head & (group != label) & _alike(size, n, percent)
                 a.append(other[ok])
                 b.append(doc[ok])
             a, b = np.concatenate(a), np.concatenate(b)
@@ -195,14 +197,14 @@ def _with_both(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return left.join(values.select(F.col("doc_id").alias("b"), F.col(column).alias("y")), "b").select("a", "b", "x", "y")
 
 
-def confirm(pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
+def confirm(pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs within the signature distance, and those whose full sets reach the similarity."""
     near = written(_with_both(pairs, signed, "signature").mapInArrow(_close, "a long, b long"), "near-pairs")
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     # rows that repeat an id have one text for this
     texts = only_ids(documents(docs), written(ids, "near-ids"))
     sets = texts.mapInArrow(_sets(words), "doc_id long, elements binary").groupBy("doc_id").agg(F.min("elements").alias("elements"))
-    return written(_with_both(near, sets, "elements").mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    return near, written(_with_both(near, sets, "elements").mapInArrow(_confirmed(percent), "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -226,34 +228,149 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document row."""
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return rows.withColumn("label", F.col("doc_id"))
+    return rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+
+
+def bucket_pairs(signed: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """Pairs of neighbours in each bucket, in an order that each turn shuffles anew."""
+    rows = _labelled(signed.select("doc_id", "n_shingles", "signature"), labels)
+    rows = rows.mapInArrow(_keyed, "doc_id long, n_shingles long, label long, keys array<long>")
+    rows = rows.withColumn("place", F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id"))
+    rows = rows.select(F.explode("keys").alias("key"), "place", "doc_id", "n_shingles", "label")
+    return rows.repartition("key").sortWithinPartitions("key", "place").mapInArrow(_neighbours(percent), "a long, b long").distinct()
+
+
+def _nibbles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys, and four bits of each position in six longs."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+        four = (marks & 15).astype(np.uint64).reshape(-1, POSITIONS // 16, 16)
+        packed = (four << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(2, dtype=np.uint64).view(np.int64)
+        keys = bucket_keys(marks).view(np.int64).ravel()
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, POSITIONS), pa.int32()), pa.array(keys))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("n_shingles"), batch.column("label"), lists, *(pa.array(packed[:, k].copy()) for k in range(POSITIONS // 16))],
+            ["doc_id", "n_shingles", "label", "keys", *(f"w{k}" for k in range(POSITIONS // 16))],
+        )
+
+
+def _differing(x: str, y: str) -> str:
+    """SQL for the positions whose four bits differ; it never exceeds the signature distance."""
+    terms = []
+    for k in range(POSITIONS // 16):
+        d = f"({x}.w{k} ^ {y}.w{k})"
+        terms.append(f"bit_count(({d} | shiftright({d}, 1) | shiftright({d}, 2) | shiftright({d}, 3)) & 1229782938247303441)")
+    return " + ".join(terms)
+
+
+def pairs_between(signed: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a bucket but no group and are within the signature distance."""
+    words = [f"w{k}" for k in range(POSITIONS // 16)]
+    rows = _labelled(signed.select("doc_id", "n_shingles", "signature"), groups)
+    rows = rows.mapInArrow(_nibbles, "doc_id long, n_shingles long, label long, keys array<long>, " + ", ".join(f"{w} long" for w in words))
+    rows = rows.select(F.explode("keys").alias("key"), "doc_id", "n_shingles", "label", *words)
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high and n > 2").select("key")
+    rows = rows.join(mixed, "key", "left_semi")
+    fits = f"x.label < y.label and 100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles) and {_differing('x', 'y')} <= {DISTANCE}"
+    met = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(fits))
+    return met.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
+#: Members of a group, and those outside its main component, that meet in one task.
+MEMBERS, STRANGERS = 256, 512
+
+
+def _across(percent: int):
+    def run(members: pa.Table, others: pa.Table) -> pa.Table:
+        """Links between rows of one group that are in different components, on full sets."""
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        if not members.num_rows or not others.num_rows:
+            return none
+        ids, n, labels = (members.column(c).to_numpy() for c in ("doc_id", "n_shingles", "label"))
+        marks = np.stack([np.frombuffer(x, np.uint16) for x in members.column("signature").to_pylist()])
+        sets = [np.frombuffer(x, np.uint64) for x in members.column("elements").to_pylist()]
+        a, b = [], []
+        for doc, size, label, mark, data in zip(*(others.column(c).to_pylist() for c in ("doc_id", "n_shingles", "label", "signature", "elements")), strict=True):
+            near = np.flatnonzero((labels != label) & ((marks != np.frombuffer(mark, np.uint16)).sum(1) <= DISTANCE) & _alike(n, np.int64(size), percent))
+            if not len(near):
+                continue
+            own = np.frombuffer(data, np.uint64)
+            joined = np.concatenate([sets[k] for k in near])
+            at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+            heads = np.concatenate([[0], np.cumsum([len(sets[k]) for k in near])[:-1]])
+            common = np.add.reduceat((own[at] == joined).astype(np.int64), heads)
+            linked = near[100 * common >= percent * (n[near] + size - common)]
+            a += np.minimum(ids[linked], doc).tolist()
+            b += np.maximum(ids[linked], doc).tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def links_within(groups: DataFrame, signed: DataFrame, labels: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components of one group (node, label) of rows that chains of close pairs join.
+
+    A group's rows are dealt into cells of about MEMBERS, and those outside its
+    largest component into cells of about STRANGERS; each pair of cells meets in
+    one task, so a task's rows are bounded and no pairs are made as rows.
+    """
+    rows = _labelled(signed.select("doc_id"), labels).join(groups.select(F.col("node").alias("doc_id"), F.col("label").alias("of")), "doc_id")
+    parts = rows.groupBy("of", "label").agg(F.count("*").alias("n"))
+    shape = parts.groupBy("of").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label"))["label"].alias("main"), F.max("n").alias("most"), F.count("*").alias("labels"))
+    shape = shape.where("labels > 1 and n > 2")  # two rows have met
+    shape = written(shape.select("of", "main", F.ceil(F.col("n") / MEMBERS).cast("int").alias("lines"), F.ceil((F.col("n") - F.col("most")) / STRANGERS).cast("int").alias("columns")), "cells")
+    rows = written(rows.join(shape, "of"), "grouped-rows")
+    ids = written(rows.select("doc_id").distinct(), "grouped-ids")
+    sets = only_ids(documents(docs), ids).mapInArrow(_sets(words), "doc_id long, elements binary").groupBy("doc_id").agg(F.min("elements").alias("elements"))
+    full = written(sets.join(signed.select("doc_id", "n_shingles", "signature"), "doc_id").join(rows, "doc_id"), "grouped-sets")
+    line, column = F.pmod(F.xxhash64("doc_id"), "lines").cast("int").alias("line"), F.pmod(F.xxhash64("doc_id", F.lit(1)), "columns").cast("int").alias("column")
+    values = ["doc_id", "n_shingles", "label", "signature", "elements"]
+    members = full.select("of", line, F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"), *values)
+    others = full.where("label <> main").select("of", F.explode(F.sequence(F.lit(0), F.col("lines") - 1)).alias("line"), column, *values)
+    others = others.toDF(*others.columns)
+    cell = ["of", "line", "column"]
+    return written(members.groupBy(*cell).cogroup(others.groupBy(*cell)).applyInArrow(_across(percent), "a long, b long"), "links")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, turns: int = 3) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document row.
+
+    `turns` bounds the rounds of neighbour pairs before the exhaustive steps; it
+    changes the cost, not the result.
+    """
     signed = written(documents(docs).mapInArrow(_signed(words), SIGNED), "signatures")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "signature")).alias("first"))
     one = written(classes.select("set_a", "set_b", "n_shingles", "first.*"), "distinct-sets")
-    rows = one.select("doc_id", "n_shingles", "signature").mapInArrow(_keyed, "doc_id long, n_shingles long, keys array<long>")
-    rows = rows.select(F.explode("keys").alias("key"), "doc_id", "n_shingles")
-    pairs = rows.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(_neighbours(percent), "a long, b long").distinct()
-    pairs = written(pairs, "pairs")
-    links = confirm(pairs, one, docs, words, percent)
-    labels = components(links)
 
-    # rows of one bucket in different components: only ids that any bucket joined
-    seen = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "paired-ids")
-    again = only_ids(one.select("doc_id", "n_shingles", "signature"), seen).mapInArrow(_keyed, "doc_id long, n_shingles long, keys array<long>")
-    again = again.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    again = again.select(F.explode("keys").alias("key"), "doc_id", "n_shingles", "label")
-    mixed = again.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high and n > 2").select("key")
-    again = again.join(mixed, "key", "left_semi")
-    x, y = again.alias("x"), again.alias("y")
-    fits = "x.label < y.label and 100 * least(x.n_shingles, y.n_shingles) >= {0} * greatest(x.n_shingles, y.n_shingles)".format(percent)
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & F.expr(fits)).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-    across = written(across.join(pairs, ["a", "b"], "left_anti"), "pairs-across")
-    if across.limit(1).count():
-        links = links.union(confirm(across, one, docs, words, percent))
+    tested = written(bucket_pairs(one, None, 0, percent), "pairs")
+    # only rows that some bucket joined can have more pairs
+    seen = written(tested.select(F.col("a").alias("doc_id")).union(tested.select("b")).distinct(), "paired-ids")
+    some = written(only_ids(one, seen), "paired-sets")
+    close, links = confirm(tested, some, docs, words, percent)
+    labels = components(links)
+    for turn in range(1, turns):
+        pairs = written(bucket_pairs(some, labels, turn, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.union(pairs)
+        near, more = confirm(pairs, some, docs, words, percent)
+        close = close.union(near)
+        if not more.limit(1).count():
+            break
+        links = links.union(more)
         labels = components(links)
 
+    groups = components(close)
+    links = links.union(links_within(groups, some, labels, docs, words, percent))
+    apart = written(pairs_between(some, groups, percent).join(tested, ["a", "b"], "left_anti"), "pairs-between")
+    if apart.limit(1).count():
+        links = links.union(confirm(apart, some, docs, words, percent)[1])
+    labels = components(links)
+
     class_of = one.select("set_a", "set_b", "n_shingles", F.col("doc_id").alias("first"))
     class_of = class_of.join(labels.withColumnRenamed("node", "first"), "first", "left").select("set_a", "set_b", "n_shingles", F.coalesce("label", "first").alias("group"))
     out = signed.join(class_of, ["set_a", "set_b", "n_shingles"], "left")
