@@ -9,6 +9,7 @@ import uuid
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .normalize import canonical_text
 
@@ -31,7 +32,7 @@ def canonical_name(text: str | None) -> str:
     return " ".join(unicodedata.normalize("NFC", text or "").split()).lower()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _blake2_uuid(rows: pd.DataFrame) -> pd.Series:
     texts = [["" if v is None or v != v else str(v) for v in rows[c]] for c in rows.columns if not c.startswith("name_")]
     # the name's place among the fields is in its column's name

@@ -49,12 +49,14 @@ def read_strings(spark: SparkSession, path: str | list[str], columns: tuple[str,
     """All fields as strings, by position; empty ones are null; records of another width carry their raw line.
 
     Column pruning is off, else a reader that skips fields misses wrong widths.
+    The raw line goes with a data column, as Spark refuses to read it alone.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
     reader = spark.read.schema(schema).option("sep", ";").option("quote", '"').option("escape", '"').option("encoding", "ISO-8859-1")
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false")
     rows = reader.csv(path).withColumn("file_name", F.col("_metadata.file_name"))
-    return rows.withColumns({c: N.empty_to_null(F.col(c)) for c in columns})
+    there = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
+    return rows.withColumn(CORRUPT, F.when(there, F.col(CORRUPT))).withColumns({c: N.empty_to_null(F.col(c)) for c in columns})
 
 
 def read_landing(spark: SparkSession, path: str | list[str], family: str) -> tuple[DataFrame, DataFrame]:
@@ -66,18 +68,14 @@ def read_landing(spark: SparkSession, path: str | list[str], family: str) -> tup
 
 
 def width_report(rows: DataFrame) -> DataFrame:
-    """(file_name, n_rows, n_bad) of rows from read_strings.
-
-    The row count reads a data column, as Spark refuses to read the raw lines alone.
-    """
-    there = F.length(F.coalesce(F.col(rows.columns[0]), F.lit(""))) >= 0
-    return rows.groupBy("file_name").agg(F.count_if(there).alias("n_rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("n_bad"))
+    """(file_name, n_rows, n_bad) of rows from read_strings."""
+    return rows.groupBy("file_name").agg(F.count("*").alias("n_rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("n_bad"))
 
 
 def check_layout(rows: DataFrame, first_record_only: bool = False) -> None:
     """Raises where a file has wrong records, or a wrong first one; empty files pass."""
     if first_record_only:
-        place = rows.select("file_name", CORRUPT, F.monotonically_increasing_id().alias("_at"), rows.columns[0])
+        place = rows.select("file_name", CORRUPT, F.monotonically_increasing_id().alias("_at"))
         heads = place.groupBy("file_name").agg(F.min_by(F.col(CORRUPT).isNotNull(), "_at").alias("bad"))
         bad = heads.where("bad").select("file_name", F.lit(1).alias("n_bad"))
     else:
