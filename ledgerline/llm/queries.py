@@ -12,7 +12,7 @@ from .decontamination import contaminated
 from .line_dedup import line_dedup
 from .lm_scoring import lm_scores
 from .minhash import near_duplicates
-from .mixing import mix
+from .mixing import JUNK, mix
 from .quality_rules import quality_rules
 from .secrets import scan_secrets
 from .substring_dedup import substring_dedup
@@ -68,4 +68,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+WORDS_SQL = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_minhash": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS w FROM documents),
+        n AS (SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS sh FROM w),
+        s AS (SELECT doc_id, unnest(sh) AS g FROM n),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (len(nx.sh) + len(ny.sh) - c)),
+        r(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+        SELECT doc_id, len(sh) AS n_shingles, component_id, component_id = doc_id AS kept FROM n JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) ON x = doc_id""",
+    "op3_mixing": f"""
+        WITH d AS (
+          SELECT doc_id, source, len({WORDS_SQL.format("coalesce(text, '')")}) AS size, strlen(coalesce(text, '')) AS bytes,
+            length(coalesce(text, '')) - length(translate(coalesce(text, ''), '{JUNK}', '')) AS junk FROM documents),
+        k AS (
+          SELECT *, -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 1)::DOUBLE / 281474976710657::DOUBLE) / (1::DOUBLE - 0.9::DOUBLE * junk / greatest(bytes, 1)) AS key FROM d),
+        b AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS weight FROM b),
+        t AS (
+          SELECT *, row_number() OVER o AS place, (1.5::DOUBLE * sum(source_size) OVER () - 2::DOUBLE * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST)),
+        f AS (SELECT *, min(CASE WHEN level * weight <= 2 * source_size THEN place END) OVER () AS first FROM t),
+        g AS (SELECT source, source_size, CASE WHEN first IS NULL OR place < first THEN 2::DOUBLE * source_size ELSE (SELECT level FROM t WHERE t.place = f.first) * weight END AS target FROM f),
+        e AS (SELECT *, CAST(round(target) AS BIGINT) AS budget, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM g)
+        SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - ahead)) AS BIGINT) AS taken
+        FROM (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM k) k
+        JOIN e ON e.source IS NOT DISTINCT FROM k.source""",
+    "op6_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents),
+        u AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, w FROM d),
+        x AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + 19 <= len(w) THEN md5(array_to_string(w[i:i + 19], ' ')) END AS g FROM u),
+        f AS (SELECT *, g IS NOT NULL AND row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1 AS again FROM x),
+        c AS (SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM f),
+        k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
+}
