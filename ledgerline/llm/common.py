@@ -54,4 +54,4 @@ def only_ids(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame
     more ids take a shuffled join.
     """
     few = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", how)
+    return df.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", how).select(*df.columns)
