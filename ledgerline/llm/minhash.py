@@ -8,8 +8,8 @@ signature distance share a key.  At a similarity of 0.8 a pair is further apart
 with a probability of about 2 in 10,000.
 
 Only connections matter, so a bucket of equal keys doesn't give all its pairs.
-In each of some turns its rows, in another order each time, pair with the first
-row and with the row before, unless they are in one component already.  Pairs
+Its rows pair with the first row and with the row before, in `turns` orders,
+unless they are in one component already.  Pairs
 are confirmed on full sets.  Chains of pairs within the signature distance make
 groups.  In a group that has several components left, rows outside the main one
 meet all others on full sets, in cells of bounded size; then pairs of one bucket
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import documents, only_ids, written
+from .common import BROADCAST_IDS, documents, only_ids, written
 
 POSITIONS, BITS, DISTANCE, CHUNKS = 96, 16, 33, 17
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
@@ -216,11 +216,13 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct()
     both = written(both, "graph")
     labels = written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
+    few = labels.count() <= BROADCAST_IDS
+    side = F.broadcast if few else (lambda df: df.hint("merge"))
     while True:
-        near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = both.join(side(labels.select(F.col("node").alias("other"), "label")), "other").select("node", "label", F.lit(None).cast("long").alias("old"))
+        step = near.union(labels.select("node", "label", F.col("label").alias("old"))).groupBy("node").agg(F.min("label").alias("label"), F.max("old").alias("old"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        step = step.join(jump, "label", "left").select("node", F.least("label", F.coalesce("far", "label")).alias("label"), "old")
+        step = step.join(side(jump), "label", "left").select("node", F.least("label", F.coalesce("far", "label")).alias("label"), "old")
         step = written(step, "labels")
         moved = step.where("label <> old").limit(1).count()
         labels = step.select("node", "label")
@@ -337,7 +339,7 @@ def links_within(groups: DataFrame, signed: DataFrame, labels: DataFrame, docs:
     return written(members.groupBy(*cell).cogroup(others.groupBy(*cell)).applyInArrow(_across(percent), "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, turns: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, turns: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document row.
 
     `turns` bounds the rounds of neighbour pairs before the exhaustive steps; it
