@@ -4,15 +4,17 @@ Words (lower-cased A-Z) become subword ids of a public byte-pair vocabulary, wit
 a leading space; one end follows.  An id's probability is that of its class,
 given the ids before it, times its share of the class.  Frequent ids are classes
 of their own.  Class logits are the log of the corpus's class pairs plus what one
-causal attention layer makes of the context window.
+causal attention layer makes of the ids in the context window; every id has its
+own embedding, which starts as that of its class.
 
-From the corpus come, over all rows that may teach: word counts, id counts and
-class pairs from those, and the weights: every task trains on one document in `share`,
-from the same start, and the weights are averaged by tokens seen, in two steps.
+From the corpus come, over all rows that may teach: word counts, id counts, class
+pair counts, and the weights: every task trains on one document in `share` (all of
+them, as registered), from the same start, and the weights are averaged by tokens
+seen, in two steps; an id's embedding is averaged by how often each task saw it.
 All of that grows with the input; only fixed-size results reach the driver.
 
 A word's probability mixes the attention model's with the word's share of the
-training tokens, for the most frequent words; both sum to at most 1.
+training tokens; both sum to at most 1.
 
 Windows of `WINDOW` ids overlap by `OVERLAP`; every id is scored once, with all
 windows of a batch in one masked product.
@@ -42,7 +44,7 @@ from .common import documents, id_crc, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END, IDS = 50256, 50257
-WINDOW, OVERLAP, WIDTH = 32, 4, 16
+WINDOW, OVERLAP, WIDTH = 32, 8, 16
 SINGLE, SHARED = 96, 16
 CLASSES = SINGLE + 2 * SHARED + 1  # the last is the end
 START = CLASSES
@@ -82,14 +84,14 @@ def id_classes(counts: np.ndarray, ranks: dict[bytes, int]) -> tuple[np.ndarray,
 
 
 class Speller:
-    """Class sequences and within-class log probabilities of words, by hash; one for each task."""
+    """Id sequences and within-class log probabilities of words, by hash; one for each task."""
 
     def __init__(self, ranks: dict[bytes, int], classes: np.ndarray, within: np.ndarray):
-        self.encode, self.classes, self.within = encoder(ranks).encode_ordinary, classes, within
+        self.encode, self.of, self.within = encoder(ranks).encode_ordinary, np.append(classes, START), within
         self.known: dict[int, tuple[np.ndarray, float]] = {}
 
     def words(self, hashes: np.ndarray, text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lengths in ids and within-class logs of each word, and all words' classes in a row."""
+        """Lengths in ids and within-class logs of each word, and all words' ids in a row."""
         distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > 400_000:
             self.known.clear()
@@ -98,11 +100,11 @@ class Speller:
             entry = self.known.get(h)
             if entry is None:
                 ids = np.array(self.encode(" " + text[starts[i] : ends[i]].decode("utf-8", "replace")), np.int64)
-                entry = self.known[h] = (self.classes[ids].astype(np.int16), float(self.within[ids].sum()))
+                entry = self.known[h] = (ids.astype(np.int32), float(self.within[ids].sum()))
             spelled.append(entry[0])
             logs[k] = entry[1]
         sizes = np.array([len(s) for s in spelled], np.int64)
-        flat = np.concatenate(spelled) if spelled else np.zeros(0, np.int16)
+        flat = np.concatenate(spelled) if spelled else np.zeros(0, np.int32)
         first = np.cumsum(sizes) - sizes
         lengths = sizes[back]
         step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -111,25 +113,28 @@ class Speller:
 
 @dataclass
 class Model:
-    """Class pair logits and the weights of one attention layer."""
+    """Class pair logits, the weights of one attention layer, and the class of each input symbol."""
 
     pairs: np.ndarray
     weights: dict[str, np.ndarray]
+    of: np.ndarray
 
     @staticmethod
     def shapes() -> dict[str, tuple[int, ...]]:
-        d = WIDTH
+        d = WIDTH  # symbols of a class start with its embedding
         return {"embed": (CLASSES + 1, d), "place": (WINDOW, d), "query": (d, d), "key": (d, d), "value": (d, d), "out": (d, CLASSES)}
 
     @classmethod
-    def start(cls, counts: np.ndarray) -> Model:
+    def start(cls, counts: np.ndarray, of: np.ndarray | None = None) -> Model:
         """Smoothed class pairs, small random weights, and no say of the attention yet."""
         single = counts.sum(0) + 0.5
         smooth = counts + 20.0 * single / single.sum()
         rng = np.random.default_rng(3)
         weights = {k: (0.3 * rng.standard_normal(s)).astype(np.float32) for k, s in cls.shapes().items()}
         weights["out"][:] = 0
-        return cls(np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32), weights)
+        of = np.arange(CLASSES + 1) if of is None else of
+        weights["embed"] = weights["embed"][of]
+        return cls(np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32), weights, of)
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
         w = self.weights
@@ -140,7 +145,7 @@ class Model:
         s *= 1 / np.matmul(s, _ONES[:WINDOW])
         z = h + np.matmul(s, v)
         logits = z @ w["out"]
-        logits += self.pairs[x]
+        logits += self.pairs[self.of[x]]
         return h, q, k, v, s, z, logits
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -163,34 +168,42 @@ class Model:
         ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
         dv, dq, dk = np.matmul(a.transpose(0, 2, 1), dz), np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
         dh = dz + dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T
-        embed = np.zeros_like(w["embed"])
-        np.add.at(embed, x.ravel(), flat(dh))
+        cells = (x.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+        embed = np.bincount(cells, weights=dh.ravel(), minlength=w["embed"].size).reshape(w["embed"].shape).astype(dh.dtype)
         return {"embed": embed, "place": dh.sum(0), "query": flat(h).T @ flat(dq), "key": flat(h).T @ flat(dk), "value": flat(h).T @ flat(dv), "out": flat(z).T @ flat(p)}
 
-    def train(self, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float = 0.01) -> int:
-        """Adam over batches of windows; the number of ids seen."""
+    def train(self, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float = 0.01) -> tuple[int, np.ndarray]:
+        """Adam over batches of windows, moving only embeddings that a batch has; ids scored, and how often each symbol was seen."""
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        seen = 0
+        seen, times = 0, np.zeros(len(self.of), np.int64)
         for step, (x, y, live) in enumerate(batches, 1):
             seen += int(live.sum())
-            for name, g in self.gradients(x, y, live).items():
-                first[name] += 0.1 * (g - first[name])
-                second[name] += 0.01 * (g * g - second[name])
-                pace = rate / (1 + step / 200)
-                self.weights[name] -= np.float32(pace) * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-6)
-        return seen
-
-    def packed(self) -> np.ndarray:
-        return np.concatenate([self.weights[k].ravel() for k in self.shapes()])
-
-    def unpack(self, flat: np.ndarray) -> Model:
-        at, out = 0, {}
+            used, local = np.unique(x, return_inverse=True)
+            times[used] += np.bincount(local.ravel(), minlength=len(used))
+            some = Model(self.pairs, self.weights | {"embed": self.weights["embed"][used]}, self.of[used])
+            pace = np.float32(rate / (1 + step / 200))
+            for name, g in some.gradients(local.reshape(x.shape), y, live).items():
+                at = used if name == "embed" else slice(None)
+                m, v = first[name][at], second[name][at]
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                first[name][at], second[name][at] = m, v
+                self.weights[name][at] -= pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+        return seen, times
+
+    def common(self) -> np.ndarray:
+        """All weights but the embeddings, in a row."""
+        return np.concatenate([self.weights[k].ravel() for k in self.shapes() if k != "embed"])
+
+    def unpack(self, embed: np.ndarray, flat: np.ndarray) -> Model:
+        at, out = 0, {"embed": embed.astype(np.float32)}
         for name, shape in self.shapes().items():
-            n = int(np.prod(shape))
-            out[name] = flat[at : at + n].reshape(shape).astype(np.float32)
-            at += n
-        return Model(self.pairs, out)
+            if name != "embed":
+                n = int(np.prod(shape))
+                out[name] = flat[at : at + n].reshape(shape).astype(np.float32)
+                at += n
+        return Model(self.pairs, out, self.of)
 
 
 _ONES = np.ones((max(WINDOW, CLASSES), 1), np.float32)
@@ -198,23 +211,23 @@ _CAUSAL = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.
 
 
 def sequences(speller: Speller, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Word rows, hashes, within-class logs and lengths in ids; all rows' classes with an end each, and offsets."""
+    """Word rows, hashes, within-class logs and lengths in ids; all rows' ids with an end each, and offsets."""
     low = K.LOWER[buf]
     starts, ends, rows = K.word_spans(low, at)
     hashes = K.span_hashes(low, starts, ends)
-    lengths, logs, classes = speller.words(hashes, low.tobytes(), starts, ends)
+    lengths, logs, ids = speller.words(hashes, low.tobytes(), starts, ends)
     n = len(at) - 1
     sizes = np.bincount(rows, weights=lengths, minlength=n).astype(np.int64)
-    out = np.empty(len(classes) + n, np.int16)
+    out = np.empty(len(ids) + n, np.int32)
     edge = np.cumsum(sizes + 1)
     is_end = np.zeros(len(out), bool)
     is_end[edge - 1] = True
-    out[is_end] = CLASSES - 1
-    out[~is_end] = classes
+    out[is_end] = END
+    out[~is_end] = ids
     return rows, hashes, logs, lengths, out, np.concatenate([[0], edge])
 
 
-def windows(classes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def windows(symbols: np.ndarray, offsets: np.ndarray, start: int = START) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, targets, which targets count, and the row of each window.
 
     A window after a row's first counts only what the one before didn't.
@@ -226,10 +239,10 @@ def windows(classes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     step = (np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)) * stride
     place = step[:, None] + np.arange(WINDOW)
     inside = place < sizes[row][:, None]
-    y = classes[np.minimum(offsets[row][:, None] + place, len(classes) - 1)].astype(np.int64)
-    before = np.concatenate([[START], classes[:-1]]).astype(np.int64)
-    before[offsets[:-1]] = START
-    x = before[np.minimum(offsets[row][:, None] + place, len(classes) - 1)]
+    y = symbols[np.minimum(offsets[row][:, None] + place, len(symbols) - 1)].astype(np.int64)
+    before = np.concatenate([[start], symbols[:-1]]).astype(np.int64)
+    before[offsets[:-1]] = start
+    x = before[np.minimum(offsets[row][:, None] + place, len(symbols) - 1)]
     live = inside & ((np.arange(WINDOW) >= OVERLAP) | (step == 0)[:, None])
     return np.where(inside, x, 0), np.where(inside, y, 0), live, row
 
@@ -301,38 +314,6 @@ def count_ids(spelled: DataFrame) -> np.ndarray:
     return _summed(spelled, IDS, tally)
 
 
-def count_pairs(spelled: DataFrame, classes: np.ndarray, n_docs: int) -> np.ndarray:
-    """How often each class follows each class.
-
-    Pairs inside words are the corpus's own.  At a word's start any word's last
-    class may stand before, in proportion to its count; what order adds there is
-    for the attention layer to learn.
-    """
-    inside = CLASSES * CLASSES
-
-    def tally(batch: pa.RecordBatch) -> np.ndarray:
-        flat, counts, first, last = _lists(batch)
-        own = classes[flat]
-        follows = np.ones(len(own), bool)
-        follows[first] = False
-        at = np.flatnonzero(follows)
-        times = batch.column("count").to_numpy()
-        return np.concatenate(
-            [
-                np.bincount(own[at - 1] * CLASSES + own[at], weights=counts[at], minlength=inside), np.bincount(own[first], weights=times, minlength=CLASSES),
-                np.bincount(own[last], weights=times, minlength=CLASSES),
-            ]
-        )
-
-    found = _summed(spelled, inside + 2 * CLASSES, tally)
-    within, starts, ends = found[:inside].reshape(CLASSES, CLASSES), found[inside : inside + CLASSES], found[inside + CLASSES :]
-    starts[CLASSES - 1] += n_docs  # the end may follow any word
-    out = np.zeros((CLASSES + 1, CLASSES))
-    out[:CLASSES] = within + np.outer(ends, starts / max(starts.sum(), 1.0))
-    out[START] = starts / max(starts.sum(), 1.0) * n_docs
-    return out
-
-
 def _each_slice(batches: Iterator[pa.RecordBatch], limit: int = 1 << 21):
     for batch in batches:
         buf, at = K.text_column(batch.column("text"))
@@ -340,46 +321,78 @@ def _each_slice(batches: Iterator[pa.RecordBatch], limit: int = 1 << 21):
             yield batch, lo, hi, b, a
 
 
+def count_pairs(docs: DataFrame, tools) -> np.ndarray:
+    """How often each class follows each class, over all given rows in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller, total = Speller(*tools.value), np.zeros((CLASSES + 1) * CLASSES, np.int64)
+        for _, _, _, b, a in _each_slice(batches):
+            *_, ids, offsets = sequences(speller, b, a)
+            classes = speller.of[ids]
+            before = np.concatenate([[START], classes[:-1]])
+            before[offsets[:-1]] = START
+            total += np.bincount(before * CLASSES + classes, minlength=len(total))
+        pairs = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(total[pairs])], ["pair", "n"])
+
+    counts = np.zeros((CLASSES + 1) * CLASSES)
+    for row in docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        counts[row["pair"]] = row["n"]
+    return counts.reshape(CLASSES + 1, CLASSES)
+
+
 def train_attention(docs: DataFrame, tools, start: Model, share: int, batch_windows: int = 64) -> Model:
-    """Each task trains on one document in `share`; weights are averaged by ids seen."""
+    """Each task trains on one document in `share`; weights are averaged by ids seen, an id's embedding by its own."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(start)
+    names = ["seen", "used", "times", "embed", "rest"]
+    schema = "seen double, used binary, times binary, embed binary, rest binary"
+
+    def packed(seen: float, times: np.ndarray, embed: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
+        used = np.flatnonzero(times)
+        blobs = [used.astype(np.int32), times[used].astype(np.int64), embed[used].astype(np.float32), rest.astype(np.float64)]
+        return pa.RecordBatch.from_arrays([pa.array([float(seen)]), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)], names)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = Speller(*tools.value)
-        model = Model(shared.value.pairs, {k: v.copy() for k, v in shared.value.weights.items()})
+        speller, begin = Speller(*tools.value), shared.value
+        model = Model(begin.pairs, {k: v.copy() for k, v in begin.weights.items()}, begin.of)
 
         def stream():
             for _, _, _, b, a in _each_slice(batches):
-                *_, classes, offsets = sequences(speller, b, a)
-                x, y, live, _ = windows(classes, offsets)
+                *_, ids, offsets = sequences(speller, b, a)
+                x, y, live, _ = windows(ids, offsets, IDS)
                 order = np.random.default_rng(len(x)).permutation(len(x))
                 for lo in range(0, len(x), batch_windows):
                     some = order[lo : lo + batch_windows]
-                    yield x[some], y[some], live[some]
+                    yield x[some], model.of[y[some]], live[some]
 
-        seen = model.train(stream())
+        seen, times = model.train(stream())
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([(model.packed() * seen).astype(np.float64).tobytes()], pa.binary())], ["seen", "sums"])
+            yield packed(seen, times, model.weights["embed"], model.common())
+
+    def mean(rows) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        seen, times, embed, rest = 0.0, np.zeros(IDS + 1, np.int64), np.zeros((IDS + 1, WIDTH)), 0.0
+        for n, *blobs in rows:
+            used, own, part, weights = (np.frombuffer(b, t) for b, t in zip(blobs, (np.int32, np.int64, np.float32, np.float64), strict=True))
+            seen, rest = seen + n, rest + n * weights
+            times[used] += own
+            embed[used] += own[:, None] * part.reshape(-1, WIDTH).astype(np.float64)
+        return seen, times, embed / np.maximum(times, 1)[:, None], rest / max(seen, 1.0)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, sums = 0.0, None
-        for batch in batches:
-            for n, part in zip(batch.column("seen").to_pylist(), batch.column("sums").to_pylist(), strict=True):
-                seen, sums = seen + n, np.frombuffer(part) + (0 if sums is None else sums)
-        if sums is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([sums.tobytes()], pa.binary())], ["seen", "sums"])
+        found = mean(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        if found[0]:
+            yield packed(*found)
 
-    schema = "seen double, sums binary"
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
-    rows = some.mapInArrow(learn, schema).repartition(16).mapInArrow(add, schema).collect()
-    rows.sort(key=lambda r: (r["seen"], r["sums"]))
+    rows = some.mapInArrow(learn, schema).repartition(8).mapInArrow(add, schema).collect()
     if not rows:
         return start
-    return start.unpack(sum(np.frombuffer(r["sums"]) for r in rows) / sum(r["seen"] for r in rows))
+    _, times, embed, rest = mean(sorted(tuple(bytes(v) if k else v for k, v in enumerate(r)) for r in rows))
+    return start.unpack(np.where(times[:, None] > 0, embed, start.weights["embed"]), rest)
 
 
-def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str = VOCABULARY, head_words: int = 500_000, share: int = 32, mix: float = 0.6) -> DataFrame:
+def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str = VOCABULARY, head_words: int = 500_000, share: int = 1, mix: float = 0.6) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document row."""
     spark = docs.sparkSession
     texts = documents(docs)
@@ -391,12 +404,11 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
     distinct, total = row[0] + (n_docs > 0), row[1] + n_docs
 
     ranks = read_ranks(vocabulary)
-    spelled = written(spelled_words(words, ranks), "spelled-words")
-    ids = count_ids(spelled)
+    ids = count_ids(spelled_words(words, ranks))
     ids[END] = n_docs
     classes, within = id_classes(ids, ranks)
     tools = spark.sparkContext.broadcast((ranks, classes, within))
-    model = train_attention(teaching, tools, Model.start(count_pairs(spelled, classes, n_docs)), share)
+    model = train_attention(teaching, tools, Model.start(count_pairs(teaching, tools), np.append(classes, START)), share)
 
     top = words.select("hash", "count").orderBy(F.desc("count"), "hash").limit(head_words).toArrow()
     order = np.argsort(top.column("hash").to_numpy().view(np.uint64))
@@ -407,9 +419,10 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
         speller = Speller(*tools.value)
         hashes, counts, model, all_known = head.value
         for batch, lo, hi, b, a in _each_slice(batches):
-            rows, words_, within, lengths, classes, offsets = sequences(speller, b, a)
+            rows, words_, within, lengths, spelled, offsets = sequences(speller, b, a)
             n = hi - lo
-            x, y, live, _ = windows(classes, offsets)
+            x, y, live, _ = windows(spelled, offsets, IDS)
+            y = model.of[y]
             scored = [model.log_probabilities(x[w : w + 64], y[w : w + 64])[live[w : w + 64]] for w in range(0, len(x), 64)]
             ids = np.concatenate(scored).astype(np.float64)  # every id once, in order
             is_end = np.zeros(len(ids), bool)
@@ -425,33 +438,32 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
             score = np.bincount(rows, weights=mixed, minlength=n) + np.logaddexp(np.log(1 - mix) + end_score, np.log(mix) + np.log(max(n_docs, 1e-300) / max(total, 1)))
             n_words = np.bincount(rows, minlength=n)
             n_known = np.bincount(rows, weights=known, minlength=n).astype(np.int64) + (n_docs > 0)
-            # words beyond the head meet their counts later
+            # words beyond the head meet their counts later, with the model's score of each
             rare = np.flatnonzero(~known) if not all_known else np.zeros(0, np.int64)
-            order = rare[np.lexsort((words_[rare], rows[rare]))]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (rows[order][1:] != rows[order][:-1]) | (words_[order][1:] != words_[order][:-1])
-            first = np.flatnonzero(fresh)
-            times = np.diff(np.append(first, len(order)))
-            edges = pa.array(np.searchsorted(rows[order[first]], np.arange(n + 1)), pa.int32())
+            edges = pa.array(np.searchsorted(rows[rare], np.arange(n + 1)), pa.int32())
             key = K.mix(np.add.reduceat(np.append(words_ * (np.arange(len(words_), dtype=np.uint64) | np.uint64(1)), np.uint64(0)), np.minimum(np.searchsorted(rows, np.arange(n)), len(words_))) if n else words_[:0])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(lo, n), pa.array(key.view(np.int64)), pa.array((n_words + 1).astype(np.int64)), pa.array(n_known), pa.array(base), pa.array(score / np.log(10)),
-                    pa.ListArray.from_arrays(edges, pa.array(words_[order[first]].view(np.int64))), pa.ListArray.from_arrays(edges, pa.array(times.astype(np.int32))),
+                    pa.ListArray.from_arrays(edges, pa.array(words_[rare].view(np.int64))), pa.ListArray.from_arrays(edges, pa.array(word_score[rare] if len(rare) else np.zeros(0))),
                 ],
-                ["doc_id", "text_key", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                ["doc_id", "text_key", "n_tokens", "n_known", "base", "score", "rare", "own"],
             )
 
-    scored = written(texts.mapInArrow(run, "doc_id long, text_key long, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"), "scores")
-    rare = scored.where(F.size("rare") > 0).select("doc_id", "text_key", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("doc_id", "text_key", F.col("w.rare").alias("hash"), F.col("w.times").alias("times"))
-    met = rare.join(words.select("hash", "count"), "hash")
-    more = met.groupBy("doc_id", "text_key").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("count") + 1.0)).alias("more_base"))
+    scored = written(texts.mapInArrow(run, "doc_id long, text_key long, n_tokens long, n_known long, base double, score double, rare array<long>, own array<double>"), "scores")
+    rare = scored.where(F.size("rare") > 0).select("doc_id", "text_key", F.explode(F.arrays_zip("rare", "own")).alias("w")).select("doc_id", "text_key", F.col("w.rare").alias("hash"), F.col("w.own").alias("own"))
+    # what the word's share adds to the log of the mixture
+    lead = F.log(F.lit(mix / (1 - mix)) * F.col("count") / F.lit(max(total, 1))) - F.col("own")
+    adds = F.greatest(lead, F.lit(0.0)) + F.log1p(F.exp(-F.abs(lead)))
+    met = rare.join(words.select("hash", "count"), "hash").withColumn("adds", adds)
+    more = met.groupBy("doc_id", "text_key").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("count") + 1.0)).alias("more_base"), F.sum("adds").alias("more_score"))
     # rows that repeat an id and its text have added up
     copies = scored.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
-    more = more.join(copies, more["doc_id"].eqNullSafe(copies["doc_id"]) & (more["text_key"] == copies["text_key"])).select(more["doc_id"].alias("_of"), more["text_key"].alias("_key"), (F.col("more_known") / F.col("copies")).cast("long").alias("more_known"), (F.col("more_base") / F.col("copies")).alias("more_base"))
+    more = more.join(copies, more["doc_id"].eqNullSafe(copies["doc_id"]) & (more["text_key"] == copies["text_key"])).select(more["doc_id"].alias("_of"), more["text_key"].alias("_key"), (F.col("more_known") / F.col("copies")).cast("long").alias("more_known"), (F.col("more_base") / F.col("copies")).alias("more_base"), (F.col("more_score") / F.col("copies")).alias("more_score"))
     out = scored.join(more, scored["doc_id"].eqNullSafe(more["_of"]) & (scored["text_key"] == more["_key"]), "left")
     scale = float(np.log10(total + distinct + 1))
     return out.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(scale)).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(scale)).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0)) / F.lit(float(np.log(10)))).alias("score"),
     )
