@@ -9,8 +9,12 @@ only the other blocks are scored; every item at or above the threshold is kept.
 Bounds are summed for all passages of a batch at once.
 
 A candidate counts when the item's question and its answer both overlap the
-passage: `overlap` of the word shingles of each.  The answer is an item's last
-sentence, or the second half of its words if it has one sentence.
+passage.  A part overlaps when `overlap` of its weight (each word weighs its idf)
+stands in order in a stretch of the passage at most a quarter longer than the
+part, and two words; from `FORGIVE` words on, a part may also lack one word of any
+weight.  So an edit costs the words it touches, whatever the part's length.  The
+answer is an item's last sentence, or the second half of its words if it has one
+sentence.  ASCII punctuation at a word's ends is no part of the word.
 
 An index pass holds at most `pass_items` items of at most `item_words` words
 (longer ones are cut into several), which bounds what is broadcast; more items
@@ -24,6 +28,7 @@ extra columns are ignored; empty tables give empty results.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +41,7 @@ from .common import documents
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 BLOCK = 8
+FORGIVE = 4
 K1, B = 1.2, 0.75
 
 
@@ -55,14 +61,63 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return K.span_hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends, ends)
 
 
-def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
-    return K.run_hashes(hashes, min(n, len(hashes))) if len(hashes) else hashes
+def stripped(words: list[bytes]) -> list[bytes]:
+    """The words without punctuation at their ends; those of punctuation only are left out."""
+    return [w for w in (w.strip(_PUNCTUATION) for w in words) if w]
+
+
+def strip_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for spans of a buffer."""
+    starts, ends = starts.copy(), ends.copy()
+    for edge, shift, step in ((starts, 0, 1), (ends, -1, -1)):
+        at = np.arange(len(starts))
+        while len(at):
+            at = at[starts[at] < ends[at]]
+            at = at[_IS_PUNCTUATION[buf[edge[at] + shift]]]
+            edge[at] += step
+    live = starts < ends
+    return starts[live], ends[live], rows[live]
+
+
+def stretch(n: int) -> int:
+    """Words of a passage in which a part of n words is looked for."""
+    return n + n // 4 + 2
+
+
+def in_order(part: np.ndarray, weights: np.ndarray, words: np.ndarray, least: float) -> float:
+    """Greatest weight of the part's words that stand in order in one stretch of `words`; 0 if under `least`.
+
+    Stretches are tried by the weight of all their words that the part has, a
+    bound, until no bound left exceeds what was found.
+    """
+    size = stretch(len(part))
+    of = dict(zip(part.tolist(), weights.tolist(), strict=True))
+    own = np.array([of.get(w, 0.0) for w in words.tolist()])
+    starts = np.flatnonzero(own)
+    total = np.concatenate([[0.0], np.cumsum(own)])
+    bounds = np.minimum(total[np.minimum(starts + size, len(words))] - total[starts], weights.sum())
+    best = 0.0
+    for k in np.argsort(-bounds, kind="stable"):
+        if bounds[k] <= best or bounds[k] < least - 1e-9:
+            break
+        piece = words[starts[k] : starts[k] + size]
+        piece = piece[own[starts[k] : starts[k] + size] > 0]
+        row = np.zeros(len(piece) + 1)
+        for word, weight in zip(part, weights, strict=True):
+            row[1:] = np.maximum(row[1:], np.where(piece == word, row[:-1] + weight, 0.0))
+            np.maximum.accumulate(row, out=row)
+        best = max(best, float(row[-1]))
+    return best if best >= least - 1e-9 else 0.0
+
+
+_PUNCTUATION = string.punctuation.encode()
+_IS_PUNCTUATION = np.isin(np.arange(256), list(_PUNCTUATION))
 
 
 class Index:
     """Impacts of one pass's items, with block maxima."""
 
-    def __init__(self, items: list[tuple[int | None, list[bytes], list[bytes]]], n: int, mean: float, frequency: dict[bytes, int], shingle: int):
+    def __init__(self, items: list[tuple[int | None, list[bytes], list[bytes]]], n: int, mean: float, frequency: dict[bytes, int]):
         self.ids = [i for i, _, _ in items]
         self.longest = max(len(q) + len(a) for _, q, a in items)
         terms = sorted({w for _, q, a in items for w in q + a})
@@ -70,14 +125,14 @@ class Index:
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         place = {terms[o]: i for i, o in enumerate(order)}
+        idf = {w: float(np.log(1 + (n - frequency[w] + 0.5) / (frequency[w] + 0.5))) for w in terms}
         rows, cols, values = [], [], []
         for k, (_, q, a) in enumerate(items):
             words = q + a
             counts = {w: words.count(w) for w in words}
             impact = {}
             for w, tf in counts.items():
-                idf = np.log(1 + (n - frequency[w] + 0.5) / (frequency[w] + 0.5))
-                impact[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
+                impact[w] = idf[w] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
             total = sum(impact.values())
             rows += [place[w] for w in impact]
             cols += [k] * len(impact)
@@ -87,15 +142,26 @@ class Index:
         self.most = np.zeros((len(terms), blocks), np.float32)
         np.maximum.at(self.most, (self.terms, self.items // BLOCK), self.weights)
         self.edges = np.searchsorted(self.items // BLOCK, np.arange(blocks + 1))
-        self.parts = [tuple(shingles(word_hashes(p), shingle) for p in (q, a)) for _, q, a in items]
-        self.widths = [tuple(max(1, min(shingle, len(p))) for p in (q, a)) for _, q, a in items]
+        self.parts = [tuple((word_hashes(p), np.array([idf[w] for w in p])) for p in (q, a)) for _, q, a in items]
+
+    def share(self, item: int, side: int, words: np.ndarray, overlap: float) -> float | None:
+        """Share of a part's weight in order in the words; None if too little."""
+        part, weights = self.parts[item][side]
+        if not len(part):
+            return 1.0
+        total = float(weights.sum())
+        least = overlap * total
+        if len(part) >= FORGIVE:
+            least = min(least, total - float(weights.max()))
+        found = in_order(part, weights, words, least)
+        return min(1.0, found / total) if found else None
 
     def search(self, hashes: np.ndarray, rows: np.ndarray, n: int, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
         """(row, item, score, question overlap, answer overlap) of the passages of n rows of words."""
         if not len(hashes):
             return []
         first = np.searchsorted(rows, np.arange(n))
-        stride = self.longest
+        stride = stretch(self.longest)
         local = np.arange(len(rows)) - first[rows]
         count = np.bincount(rows, minlength=n)
         passages = np.maximum((count + stride - 1) // stride - 1, 1)  # each of two strides, the last may be longer by what is left
@@ -127,15 +193,13 @@ class Index:
                     k0 = int(passage[heads[p]] - base[r])
                     end = count[r] if k0 == passages[r] - 1 else min((k0 + 2) * stride, count[r])
                     words = hashes[first[r] + k0 * stride : first[r] + end]
-                    shares = []
-                    for part, width in zip(self.parts[item], self.widths[item], strict=True):
-                        shares.append(float(np.isin(part, K.run_hashes(words, width)).mean()) if len(part) else 1.0)
-                    if min(shares) >= overlap:
+                    shares = [self.share(item, side, words, overlap) for side in (0, 1)]
+                    if None not in shares:
                         out.append((r, item, float(scores[k]), *shares))
         return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.7, overlap: float = 0.8, shingle: int = 5, pass_items: int = 2000, item_words: int = 256) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.7, overlap: float = 0.8, pass_items: int = 2000, item_words: int = 256) -> DataFrame:
     """One row for each document and test item that it holds, with score and overlaps."""
     found = None
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
@@ -144,7 +208,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.7,
     statistics = _statistics(items)
     for k in range(passes):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
-        index = build_index(own, statistics, shingle, item_words)
+        index = build_index(own, statistics, item_words)
         part = _search(docs, index, threshold, overlap)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"), F.max("answer_overlap").alias("answer_overlap"))
@@ -153,15 +217,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.7,
 def _statistics(items: DataFrame) -> tuple[DataFrame, int, float]:
     """Document frequency of each term, number of items, mean length."""
     words = items.select(F.filter(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"))
+    words = words.select(F.filter(F.transform("words", lambda w: F.regexp_replace(w, r"^\p{Punct}+|\p{Punct}+$", "")), lambda w: w != "").alias("words"))
     row = words.where(F.size("words") > 0).agg(F.count("*"), F.avg(F.size("words"))).first()
     return words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count(), row[0], row[1] or 1.0
 
 
-def build_index(items: DataFrame, statistics: tuple[DataFrame, int, float], shingle: int, item_words: int) -> Index | None:
+def build_index(items: DataFrame, statistics: tuple[DataFrame, int, float], item_words: int) -> Index | None:
     frequency, n, mean = statistics
     texts = []
     for row in items.orderBy("item_id", "text").collect():
-        question, answer = split_item(row["text"])
+        question, answer = map(stripped, split_item(row["text"]))
         words = question + answer
         if len(words) <= item_words:
             texts += [(row["item_id"], question, answer)] if words else []
@@ -173,7 +238,7 @@ def build_index(items: DataFrame, statistics: tuple[DataFrame, int, float], shin
         return None
     own = items.sparkSession.createDataFrame([(w.decode(),) for w in sorted({w for _, q, a in texts for w in q + a})], "term string")
     known = {r["term"].encode(): r["count"] for r in frequency.join(own, "term").collect()}
-    return Index(texts, n, mean, known, shingle)
+    return Index(texts, n, mean, known)
 
 
 def _search(docs: DataFrame, index: Index | None, threshold: float, overlap: float) -> DataFrame:
@@ -189,7 +254,7 @@ def _search(docs: DataFrame, index: Index | None, threshold: float, overlap: flo
             buf, at = K.text_column(batch.column("text"))
             for lo, hi, b, a in K.slices(buf, at):
                 low = K.LOWER[b]
-                starts, ends, rows = K.word_spans(low, a)
+                starts, ends, rows = strip_spans(low, *K.word_spans(low, a))
                 for r, item, *numbers in index.search(K.span_hashes(low, starts, ends), rows, hi - lo, threshold, overlap):
                     out.append((ids[lo + r].as_py(), index.ids[item], *numbers))
             columns = list(zip(*out, strict=True)) or [[]] * 5
