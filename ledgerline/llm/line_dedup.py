@@ -6,6 +6,11 @@ give the same chunks wherever they stand.  A chunk of several lines that stands
 earlier too (smaller doc_id, or earlier in the same document) is removed once
 its bytes equal the first one's.
 
+With `runs`, the units are instead every two lines next to each other, blank
+lines aside and without white space at their ends.  Those that stand earlier join
+to whole repeated runs of two lines or more, each grown to its last line; the
+first place of a line always stays.  One line over and over leaves its first.
+
 Counts are summed by chunk hash before any rows meet, so a chunk that very many
 documents share is one row for each task.  Rows of such a chunk meet only its
 first occurrence, in a join that Spark may split.
@@ -19,6 +24,7 @@ kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 import xxhash
@@ -52,56 +58,90 @@ def _lines(text: bytes) -> list[bytes]:
     return [p + b"\n" for p in pieces[:-1]] + ([pieces[-1]] if pieces[-1] else [])
 
 
-def _repeatable(text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
-    """(place, lines, hash, bytes) of the chunks of several lines."""
+def line_pairs(text: bytes) -> list[tuple[int, int, bytes]]:
+    """(start byte, end byte, bytes compared) of every two lines next to each other, blank lines aside."""
+    at, spans = 0, []
+    for line in _lines(text):
+        if own := line.strip():
+            spans.append((at, at + len(line), own))
+        at += len(line)
+    return [(a[0], b[1], a[2] + b"\n" + b[2]) for a, b in zip(spans[:-1], spans[1:], strict=True)]
+
+
+def _repeatable(text: bytes, runs: bool) -> Iterator[tuple[int, int, int, bytes]]:
+    """(place, lines, hash, bytes) of the chunks of several lines, or of all pairs of lines."""
+    if runs:
+        yield from ((k, 2, xxhash.xxh3_64_intdigest(piece) - (1 << 63), piece) for k, (_, _, piece) in enumerate(line_pairs(text)))
+        return
     for k, (s, e, lines) in enumerate(chunks(text)):
         piece = text[s:e].strip()
         if lines >= LEAST and piece:
             yield k, lines, xxhash.xxh3_64_intdigest(piece) - (1 << 63), piece
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashed(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(doc, k, h) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True) for k, _, h, _ in _repeatable((text.as_py() or "").encode())]
+        rows = [(doc, k, h) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True) for k, _, h, _ in _repeatable((text.as_py() or "").encode(), runs)]
         columns = list(zip(*rows, strict=True)) or [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "at", "hash"])
 
 
-def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _contents(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
     """Bytes of the listed chunks only."""
     for batch in batches:
         rows = []
         for doc, text, listed in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("listed").to_pylist(), strict=True):
             wanted = {x["at"]: x["is_first"] for x in listed}
-            rows += [(doc, k, h, piece, wanted[k]) for k, _, h, piece in _repeatable((text.as_py() or "").encode()) if k in wanted]
+            rows += [(doc, k, h, piece, wanted[k]) for k, _, h, piece in _repeatable((text.as_py() or "").encode(), runs) if k in wanted]
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "at", "hash", "bytes", "is_first"])
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id and the places (array) of the chunks to remove.
+def repeated_chunks(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """doc_id and the places (array) of the chunks (or pairs of lines) to remove.
 
     Hashes of all chunks meet first; bytes travel only for those that repeat.
     """
     texts = documents(docs).where("doc_id is not null")
-    light = texts.mapInArrow(_hashed, "doc_id long, at int, hash long")
+    light = texts.mapInArrow(partial(_hashed, runs=runs), "doc_id long, at int, hash long")
     first = light.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").drop("n")
     both = light.join(first, "hash").withColumn("is_first", F.struct("doc_id", "at") == F.col("first"))
     listed = written(both.groupBy("doc_id").agg(F.collect_list(F.struct("at", "is_first")).alias("listed")), "repeated-chunks")
     some = only_ids(texts, listed.select("doc_id")).join(listed, "doc_id")
-    rows = written(some.mapInArrow(_contents, "doc_id long, at int, hash long, bytes binary, is_first boolean"), "chunk-bytes")
+    rows = written(some.mapInArrow(partial(_contents, runs=runs), "doc_id long, at int, hash long, bytes binary, is_first boolean"), "chunk-bytes")
     kept = rows.where("is_first").groupBy(F.col("hash").alias("of")).agg(F.min("bytes").alias("kept"))
     later = rows.where("not is_first")
     same = later.join(kept, (later["hash"] == kept["of"]) & (later["bytes"] == kept["kept"]))
     return same.groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("gone"))
 
 
-def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def without_pairs(raw: bytes, gone: set[int]) -> tuple[bytes, int]:
+    """The text without the lines of the listed pairs, and how many lines went."""
+    spans = [(s, e) for k, (s, e, _) in enumerate(line_pairs(raw)) if k in gone]
+    kept, removed, at, k = [], 0, 0, 0
+    for line in _lines(raw):
+        while k < len(spans) and spans[k][1] <= at:
+            k += 1
+        if k < len(spans) and spans[k][0] <= at:
+            removed += 1
+        else:
+            kept.append(line)
+        at += len(line)
+    return b"".join(kept), removed
+
+
+def _rebuilt(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, lines, removed = [], [], []
         for text, gone in zip(batch.column("text"), batch.column("gone").to_pylist(), strict=True):
             raw = (text.as_py() or "").encode()
+            if runs:
+                left, n = without_pairs(raw, set(gone)) if gone else (raw, 0)
+                lines.append(len(_lines(raw)))
+                removed.append(n)
+                texts.append(left.decode() if gone else text.as_py())
+                continue
             parts, drop = chunks(raw), set(gone or ())
             lines.append(sum(n for _, _, n in parts))
             removed.append(sum(n for k, (_, _, n) in enumerate(parts) if k in drop))
@@ -112,12 +152,12 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """The documents with repeated chunks cut from their texts, and n_lines and n_removed.
+def line_dedup(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """The documents with repeated chunks (or runs of lines) cut from their texts, and n_lines and n_removed.
 
     Texts that lose nothing stay where they are read.
     """
-    gone = written(repeated_chunks(docs), "gone-chunks")
+    gone = written(repeated_chunks(docs, runs), "gone-chunks")
     # a column of the documents that has one of our names gives way
     own = docs.select(*[c for c in docs.columns if c not in ("gone", "n_lines", "n_removed")]).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     ids = gone.select("doc_id")
@@ -126,5 +166,6 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text"]
     schema = ", ".join([*fields, "text string", "n_lines long", "n_removed long"])
     order = [*[f.name for f in own.schema if f.name != "text"], "text", "gone"]
-    out = cut.select(*order).mapInArrow(_rebuilt, schema).unionByName(whole.select(*order).mapInArrow(_rebuilt, schema))
+    rebuilt = partial(_rebuilt, runs=runs)
+    out = cut.select(*order).mapInArrow(rebuilt, schema).unionByName(whole.select(*order).mapInArrow(rebuilt, schema))
     return out.select(*own.columns, "n_lines", "n_removed")

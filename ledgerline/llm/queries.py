@@ -45,7 +45,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(table(spark, sf_dir, "documents"))
+    out = line_dedup(table(spark, sf_dir, "documents"), runs=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
