@@ -28,7 +28,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of `written` that nothing will read again."""
+    for df in tables:
+        session = df.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def id_crc(column: str | Column, modulus: int) -> Column:

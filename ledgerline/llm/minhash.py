@@ -8,18 +8,25 @@ signature distance share a key.  At a similarity of 0.8 a pair is further apart
 with a probability of about 2 in 10,000.
 
 Only connections matter, so a bucket of equal keys doesn't give all its pairs.
-Its rows pair with the first row and with the row before, in `turns` orders,
-unless they are in one component already.  Pairs
-are confirmed on full sets.  Chains of pairs within the signature distance make
-groups.  In a group that has several components left, rows outside the main one
-meet all others on full sets, in cells of bounded size; then pairs of one bucket
-in different groups meet in a join, so no pair within the signature distance is
-left untested across components.  Equal sets are
-one row from the start.
+
+1. Each row pairs with its bucket's first row and with the row before, first
+   within a batch (only the batch's first row of a key is shuffled), then among
+   those first rows.  Pairs are confirmed on full sets; links make components, and
+   pairs within the signature distance make groups.
+2. In each bucket that holds rows of several groups all pairs between groups are
+   tested, and groups with a pair within the signature distance become one.  A
+   bucket keeps at most `CROWD` rows; groups with rows beyond those are joined
+   untested, which only enlarges what step 3 compares.
+3. So no pair within the signature distance has its rows in two groups.  In each
+   group the rows outside its largest component meet all others on full sets, in
+   cells of bounded size.  No pairs are made as rows, and each cell gives one link
+   for two components.
+
+Equal sets are one row from the start.
 
 Defined results: empty and null texts have no shingles and link with nothing;
-a null id links with nothing and is kept; repeated rows of one id fall into one
-component; extra columns are ignored.
+a null id links with nothing and is kept; an id with several texts has the links
+of all of them and is in one component; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import BROADCAST_IDS, documents, only_ids, written
+from .common import BROADCAST_IDS, documents, forget, only_ids, written
 
 POSITIONS, BITS, DISTANCE, CHUNKS = 96, 16, 33, 17
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
@@ -104,14 +111,8 @@ def _signed(words: int):
     return run
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        marks = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-        keys = bucket_keys(marks).view(np.int64).ravel()
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, POSITIONS), pa.int32()), pa.array(keys))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_shingles"), batch.column("label"), lists], ["doc_id", "n_shingles", "label", "keys"])
+def _marks(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
 
 
 def _alike(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -119,35 +120,66 @@ def _alike(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
 
 
-def _neighbours(percent: int):
-    """Over rows in order of key: pairs of each row with its bucket's first row and with the row before.
+def _pairs(columns: tuple[np.ndarray, ...], others: list[tuple[np.ndarray, ...]], met: np.ndarray, percent: int) -> np.ndarray:
+    """Distinct (a, b) of rows with the rows they meet, if their sizes fit, and (a, a) of every row that meets one."""
+    doc, n = columns
+    a, b = [doc[met]], [doc[met]]
+    for other, size in others:
+        fit = met & _alike(size, n, percent)
+        a += [other[fit], other[met]]
+        b += [doc[fit], other[met]]
+    a, b = np.concatenate(a), np.concatenate(b)
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
 
-    Rows of one component make no pair, nor rows whose sizes rule it out.
-    """
+
+def _keyed(percent: int):
+    """Rows (key, doc_id, n_shingles) of the first of each key in a batch, and pairs (doc_id, other) of the rest of the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # key; id, size and label of the bucket's first row and of the row before
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, doc, n, label = (batch.column(c).to_numpy() for c in ("key", "doc_id", "n_shingles", "label"))
+            keys = bucket_keys(_marks(batch)).view(np.int64).ravel()
+            order = np.argsort(keys, kind="stable")
+            key, row = keys[order], order // POSITIONS
+            doc, n = (batch.column(c).to_numpy()[row] for c in ("doc_id", "n_shingles"))
+            head = np.concatenate([[True], key[1:] != key[:-1]])
+            at = np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))
+            pairs = _pairs((doc, n), [(doc[at], n[at]), (np.roll(doc, 1), np.roll(n, 1))], ~head, percent)
+            m = pairs.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(key[head])]), pa.array(np.concatenate([pairs[0], doc[head]])),
+                    pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(n[head])]), pa.concat_arrays([pa.array(pairs[1]), pa.nulls(int(head.sum()), pa.int64())]),
+                ],
+                ["key", "doc_id", "n_shingles", "other"],
+            )
+
+    return run
+
+
+def _neighbours(percent: int):
+    """Over rows in order of key, pairs (null key) first: those pairs, and those of each row with its bucket's first row and with the row before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # key; id and size of the bucket's first row and of the row before
+        for batch in batches:
+            made = batch.column("key").null_count
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(0, made), batch.column("other").slice(0, made)], ["a", "b"])
+            batch = batch.slice(made)
+            if not batch.num_rows:
+                continue
+            key, doc, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "n_shingles"))
             head = np.ones(len(key), bool)
             head[1:] = key[1:] != key[:-1]
             head[0] = last is None or key[0] != last[0]
             at = np.maximum.accumulate(np.where(head, np.arange(len(key)), -1))
-            columns = (doc, n, label)
-            first = [np.where(at >= 0, c[at], last[1][k] if last else 0) for k, c in enumerate(columns)]
-            before = [np.roll(c, 1) for c in columns]
+            first = tuple(np.where(at >= 0, c[at], last[1][k] if last else 0) for k, c in enumerate((doc, n)))
+            before = tuple(np.roll(c, 1) for c in (doc, n))
             for k, c in enumerate(before):
                 c[0] = last[2][k] if last else 0
-            last = key[-1], [c[-1] for c in first], [c[-1] for c in columns]
-            a, b = [], []
-            for other, size, group in (first, before):
-                ok = ~head & (group != label) & _alike(size, n, percent)
-                a.append(other[ok])
-                b.append(doc[ok])
-            a, b = np.concatenate(a), np.concatenate(b)
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            last = key[-1], [c[-1] for c in first], [doc[-1], n[-1]]
+            pairs = _pairs((doc, n), [first, before], ~head, percent)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     return run
@@ -201,12 +233,16 @@ def confirm(pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: int, pe
     """The pairs within the signature distance, and those whose full sets reach the similarity."""
     near = written(_with_both(pairs, signed, "signature").mapInArrow(_close, "a long, b long"), "near-pairs")
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    # rows that repeat an id have one text for this
-    texts = only_ids(documents(docs), written(ids, "near-ids"))
-    sets = texts.mapInArrow(_sets(words), "doc_id long, elements binary").groupBy("doc_id").agg(F.min("elements").alias("elements"))
+    sets = full_sets(docs, written(ids, "near-ids"), words)
     return near, written(_with_both(near, sets, "elements").mapInArrow(_confirmed(percent), "a long, b long"), "links")
 
 
+def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """doc_id and elements of each distinct set of the given ids; an id with several texts has several."""
+    texts = only_ids(documents(docs), ids).groupBy("doc_id", F.xxhash64("text").alias("_text")).agg(F.first("text").alias("text"))
+    return texts.select("doc_id", "text").mapInArrow(_sets(words), "doc_id long, elements binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node that links reach from each linked node.
 
@@ -225,9 +261,11 @@ def components(links: DataFrame) -> DataFrame:
         step = step.join(side(jump), "label", "left").select("node", F.least("label", F.coalesce("far", "label")).alias("label"), "old")
         step = written(step, "labels")
         moved = step.where("label <> old").limit(1).count()
-        labels = step.select("node", "label")
+        forget(labels)
+        labels = step
         if not moved:
-            return labels
+            forget(both)
+            return labels.select("node", "label")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -236,51 +274,129 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
 
 
-def bucket_pairs(signed: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """Pairs of neighbours in each bucket, in an order that each turn shuffles anew."""
-    rows = _labelled(signed.select("doc_id", "n_shingles", "signature"), labels)
-    rows = rows.mapInArrow(_keyed, "doc_id long, n_shingles long, label long, keys array<long>")
-    rows = rows.withColumn("place", F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id"))
-    rows = rows.select(F.explode("keys").alias("key"), "place", "doc_id", "n_shingles", "label")
-    return rows.repartition("key").sortWithinPartitions("key", "place").mapInArrow(_neighbours(percent), "a long, b long").distinct()
+def bucket_pairs(signed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of neighbours in each bucket, and (a, a) of every row that shares a bucket."""
+    rows = signed.select("doc_id", "n_shingles", "signature").mapInArrow(_keyed(percent), "key long, doc_id long, n_shingles long, other long")
+    rows = rows.repartition(F.coalesce("key", F.xxhash64("doc_id"))).sortWithinPartitions(F.col("key").asc_nulls_first(), "doc_id")
+    return rows.mapInArrow(_neighbours(percent), "a long, b long").distinct()
+
+
+#: Four bits of each position, packed in longs: they differ in at most as many places as the positions do.
+PACKED = POSITIONS // 16
+#: Rows of a bucket that are kept for comparison.
+CROWD = 16_384
 
 
 def _nibbles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys, and four bits of each position in six longs."""
+    """A row for each key, with the row's group and four bits of each position."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        marks = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-        four = (marks & 15).astype(np.uint64).reshape(-1, POSITIONS // 16, 16)
+        marks = _marks(batch)
+        four = (marks & 15).astype(np.uint64).reshape(-1, PACKED, 16)
         packed = (four << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(2, dtype=np.uint64).view(np.int64)
-        keys = bucket_keys(marks).view(np.int64).ravel()
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, POSITIONS), pa.int32()), pa.array(keys))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("n_shingles"), batch.column("label"), lists, *(pa.array(packed[:, k].copy()) for k in range(POSITIONS // 16))],
-            ["doc_id", "n_shingles", "label", "keys", *(f"w{k}" for k in range(POSITIONS // 16))],
-        )
-
-
-def _differing(x: str, y: str) -> str:
-    """SQL for the positions whose four bits differ; it never exceeds the signature distance."""
-    terms = []
-    for k in range(POSITIONS // 16):
-        d = f"({x}.w{k} ^ {y}.w{k})"
-        terms.append(f"bit_count(({d} | shiftright({d}, 1) | shiftright({d}, 2) | shiftright({d}, 3)) & 1229782938247303441)")
-    return " + ".join(terms)
-
-
-def pairs_between(signed: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket but no group and are within the signature distance."""
-    words = [f"w{k}" for k in range(POSITIONS // 16)]
+        for lo in range(0, len(marks), 1024):
+            part = slice(lo, lo + 1024)
+            keys = bucket_keys(marks[part]).view(np.int64).ravel()
+            group, n = (np.repeat(batch.column(c).to_numpy()[part], POSITIONS) for c in ("label", "n_shingles"))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys, group, n, *np.repeat(packed[part], POSITIONS, axis=0).T.copy())], ["key", "label", "n", *_WORDS])
+
+
+_WORDS = [f"w{k}" for k in range(PACKED)]
+_ONES = np.uint64(0x1111111111111111)
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Positions whose four bits differ, of packed rows; it never exceeds the signature distance."""
+    d = x ^ y
+    d |= d >> np.uint64(2)
+    d |= d >> np.uint64(1)
+    return np.bitwise_count(d & _ONES).sum(-1, dtype=np.int64)
+
+
+def _apart(percent: int):
+    """Over rows in order of (key, label): pairs of labels (groups) to be made one.
+
+    A pair of rows that are close joins their groups; a bucket's rows beyond
+    CROWD join theirs with the next group's without a test.
+    """
+
+    def close(label: np.ndarray, n: np.ndarray, packed: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        live = np.flatnonzero(label[x] != label[y])
+        live = live[_alike(n[x[live]], n[y[live]], percent)]
+        live = live[differing(packed[x[live]], packed[y[live]]) <= DISTANCE]
+        a, b = label[x[live]], label[y[live]]
+        return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+
+    def small(label, n, packed, first, size):
+        """All pairs of rows of one bucket, for many small buckets at once."""
+        before = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        row = np.repeat(first, size) + before
+        lo = 0
+        total = np.cumsum(before)
+        while lo < len(row):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (1 << 20), "right")))
+            b, r = before[lo:hi], row[lo:hi]
+            step = np.arange(b.sum()) - np.repeat(np.cumsum(b) - b, b)
+            y = np.repeat(r, b)
+            yield close(label, n, packed, np.repeat(r - b, b) + step, y)
+            lo = hi
+
+    def large(label, n, packed, lo, hi, start):
+        """Rows start..hi of a bucket with the rows lo..hi of the groups before theirs."""
+        edge = lo + np.flatnonzero(np.concatenate([[False], label[lo + 1 : hi] != label[lo : hi - 1]]))
+        for s, e in zip(edge.tolist(), np.append(edge[1:], hi).tolist(), strict=True):
+            wide = max(1, (1 << 18) // (s - lo))
+            for k in range(max(s, start), e, wide):
+                x, y = np.meshgrid(np.arange(lo, s), np.arange(k, min(k + wide, e)))
+                yield close(label, n, packed, x.ravel(), y.ravel())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, loose = None, None  # rows kept of the open bucket; a group of it with rows that weren't kept
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, label, n = (batch.column(c).to_numpy() for c in ("key", "label", "n"))
+            packed = np.stack([batch.column(w).to_numpy().view(np.uint64) for w in _WORDS], axis=1)
+            found, old = [], 0
+            if held is not None and held[0][0] == key[0]:
+                old = len(held[0])
+                if loose is not None:
+                    first = int(np.searchsorted(key, key[0], "right"))
+                    others = np.unique(label[:first])
+                    found.append(np.stack([np.minimum(others, loose), np.maximum(others, loose)]))
+                key, label, n, packed = (np.concatenate(c) for c in zip(held, (key, label, n, packed), strict=True))
+            else:
+                loose = None
+            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.append(edge, len(key)))
+            mixed = label[edge] != label[edge + size - 1]
+            few = mixed & (size <= 64) & ((edge > 0) | (old == 0))
+            if few.any():
+                found += small(label, n, packed, edge[few], size[few])
+            for lo, m in zip(edge[mixed & ~few].tolist(), size[mixed & ~few].tolist(), strict=True):
+                found += large(label, n, packed, lo, lo + m, lo + (old if lo == 0 else 0))
+            lo, m = int(edge[-1]), int(size[-1])
+            if lo:
+                loose = None
+            kept = slice(lo, lo + min(m, CROWD))
+            if m > CROWD:
+                rest = np.unique(label[lo + CROWD :])
+                loose = rest[-1] if loose is None else loose
+                found.append(np.stack([np.minimum(rest, loose), np.maximum(rest, loose)]))
+            held = tuple(c[kept].copy() for c in (key, label, n, packed))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+            pairs = pairs[:, pairs[0] != pairs[1]]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    return run
+
+
+def groups_to_join(signed: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups that share a bucket and have rows within the signature distance in it."""
     rows = _labelled(signed.select("doc_id", "n_shingles", "signature"), groups)
-    rows = rows.mapInArrow(_nibbles, "doc_id long, n_shingles long, label long, keys array<long>, " + ", ".join(f"{w} long" for w in words))
-    rows = rows.select(F.explode("keys").alias("key"), "doc_id", "n_shingles", "label", *words)
-    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high and n > 2").select("key")
-    rows = rows.join(mixed, "key", "left_semi")
-    fits = f"x.label < y.label and 100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles) and {_differing('x', 'y')} <= {DISTANCE}"
-    met = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(fits))
-    return met.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+    rows = rows.mapInArrow(_nibbles, "key long, label long, n long, " + ", ".join(f"{w} long" for w in _WORDS))
+    return rows.repartition("key").sortWithinPartitions("key", "label").mapInArrow(_apart(percent), "a long, b long").distinct()
 
 
 #: Members of a group, and those outside its main component, that meet in one task.
@@ -296,7 +412,7 @@ def _across(percent: int):
         ids, n, labels = (members.column(c).to_numpy() for c in ("doc_id", "n_shingles", "label"))
         marks = np.stack([np.frombuffer(x, np.uint16) for x in members.column("signature").to_pylist()])
         sets = [np.frombuffer(x, np.uint64) for x in members.column("elements").to_pylist()]
-        a, b = [], []
+        a, b, known = [], [], set()  # one link is enough for two components
         for doc, size, label, mark, data in zip(*(others.column(c).to_pylist() for c in ("doc_id", "n_shingles", "label", "signature", "elements")), strict=True):
             near = np.flatnonzero((labels != label) & ((marks != np.frombuffer(mark, np.uint16)).sum(1) <= DISTANCE) & _alike(n, np.int64(size), percent))
             if not len(near):
@@ -306,9 +422,12 @@ def _across(percent: int):
             at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
             heads = np.concatenate([[0], np.cumsum([len(sets[k]) for k in near])[:-1]])
             common = np.add.reduceat((own[at] == joined).astype(np.int64), heads)
-            linked = near[100 * common >= percent * (n[near] + size - common)]
-            a += np.minimum(ids[linked], doc).tolist()
-            b += np.maximum(ids[linked], doc).tolist()
+            for k in near[100 * common >= percent * (n[near] + size - common)].tolist():
+                parts = min(labels[k], label), max(labels[k], label)
+                if parts not in known:
+                    known.add(parts)
+                    a.append(min(ids[k], doc))
+                    b.append(max(ids[k], doc))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -328,8 +447,8 @@ def links_within(groups: DataFrame, signed: DataFrame, labels: DataFrame, docs:
     shape = written(shape.select("of", "main", F.ceil(F.col("n") / MEMBERS).cast("int").alias("lines"), F.ceil((F.col("n") - F.col("most")) / STRANGERS).cast("int").alias("columns")), "cells")
     rows = written(rows.join(shape, "of"), "grouped-rows")
     ids = written(rows.select("doc_id").distinct(), "grouped-ids")
-    sets = only_ids(documents(docs), ids).mapInArrow(_sets(words), "doc_id long, elements binary").groupBy("doc_id").agg(F.min("elements").alias("elements"))
-    full = written(sets.join(signed.select("doc_id", "n_shingles", "signature"), "doc_id").join(rows, "doc_id"), "grouped-sets")
+    sets = full_sets(docs, ids, words).withColumn("n_shingles", (F.octet_length("elements") / 8).cast("long"))
+    full = written(sets.join(signed.select("doc_id", "n_shingles", "signature"), ["doc_id", "n_shingles"]).join(rows, "doc_id").distinct(), "grouped-sets")
     line, column = F.pmod(F.xxhash64("doc_id"), "lines").cast("int").alias("line"), F.pmod(F.xxhash64("doc_id", F.lit(1)), "columns").cast("int").alias("column")
     values = ["doc_id", "n_shingles", "label", "signature", "elements"]
     members = full.select("of", line, F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"), *values)
@@ -339,38 +458,22 @@ def links_within(groups: DataFrame, signed: DataFrame, labels: DataFrame, docs:
     return written(members.groupBy(*cell).cogroup(others.groupBy(*cell)).applyInArrow(_across(percent), "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, turns: int = 1) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document row.
-
-    `turns` bounds the rounds of neighbour pairs before the exhaustive steps; it
-    changes the cost, not the result.
-    """
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document row."""
     signed = written(documents(docs).mapInArrow(_signed(words), SIGNED), "signatures")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "signature")).alias("first"))
     one = written(classes.select("set_a", "set_b", "n_shingles", "first.*"), "distinct-sets")
 
-    tested = written(bucket_pairs(one, None, 0, percent), "pairs")
-    # only rows that some bucket joined can have more pairs
-    seen = written(tested.select(F.col("a").alias("doc_id")).union(tested.select("b")).distinct(), "paired-ids")
-    some = written(only_ids(one, seen), "paired-sets")
-    close, links = confirm(tested, some, docs, words, percent)
-    labels = components(links)
-    for turn in range(1, turns):
-        pairs = written(bucket_pairs(some, labels, turn, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
-        near, more = confirm(pairs, some, docs, words, percent)
-        close = close.union(near)
-        if not more.limit(1).count():
-            break
-        links = links.union(more)
-        labels = components(links)
-
-    groups = components(close)
-    links = links.union(links_within(groups, some, labels, docs, words, percent))
-    apart = written(pairs_between(some, groups, percent).join(tested, ["a", "b"], "left_anti"), "pairs-between")
-    if apart.limit(1).count():
-        links = links.union(confirm(apart, some, docs, words, percent)[1])
+    tested = written(bucket_pairs(one, percent), "pairs")
+    # only rows that share a bucket can have pairs
+    some = written(only_ids(one, written(tested.where("a = b").select(F.col("a").alias("doc_id")), "paired-ids")), "paired-sets")
+    close, links = confirm(tested.where("a <> b"), some, docs, words, percent)
+    forget(tested)
+    labels, groups = components(links), components(close)
+    joins = written(groups_to_join(some, groups, percent), "joined-groups")
+    groups = components(close.union(joins))
+    links = links.union(links_within(groups, some, labels, docs, words, percent)).union(several_texts(usable, one))
     labels = components(links)
 
     class_of = one.select("set_a", "set_b", "n_shingles", F.col("doc_id").alias("first"))
@@ -378,3 +481,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, turns: i
     out = signed.join(class_of, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("group")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def several_texts(usable: DataFrame, one: DataFrame) -> DataFrame:
+    """Links of an id that has several sets with the first id of each of those sets."""
+    ids = usable.groupBy("doc_id").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high")).where("low <> high").select("doc_id")
+    rows = only_ids(usable, written(ids, "several-texts")).select(F.col("doc_id").alias("a"), "set_a", "set_b", "n_shingles")
+    return rows.join(one.select("set_a", "set_b", "n_shingles", F.col("doc_id").alias("b")), ["set_a", "set_b", "n_shingles"]).select("a", "b").distinct()
