@@ -1,27 +1,30 @@
 """LM scoring with a small causal self-attention model over subword ids.
 
 Words (lower-cased A-Z) become subword ids of a public byte-pair vocabulary, with
-a leading space; one end follows.  An id's probability is that of its class,
-given the ids before it, times its share of the class.  Frequent ids are classes
-of their own.  Class logits are the log of the corpus's class pairs plus what one
-causal attention layer makes of the ids in the context window; every id has its
-own embedding, which starts as that of its class.
+a leading space; one end follows.  One causal attention layer over ids, each with
+an embedding of its own, gives the class of the next id; to its logits the log of
+the corpus's class pairs is added.  The SINGLE most frequent ids are classes of
+their own.
 
-From the corpus come, over all rows that may teach: word counts, id counts, class
-pair counts, and the weights: every task trains on one document in `share` (all of
-them, as registered), from the same start, and the weights are averaged by tokens
-seen, in two steps; an id's embedding is averaged by how often each task saw it.
-All of that grows with the input; only fixed-size results reach the driver.
+A word's probability is that of the class of its first id, among the classes that
+can start a word, times its share of that class: the word's share of the class's
+teaching tokens or, by the share of words that teaching has once (Good and
+Turing), the chance that the model spells it, id by id and then stops.  So all
+words' probabilities sum to 1 in any context.
 
-A word's probability mixes the attention model's with the word's share of the
-training tokens; both sum to at most 1.
+From the corpus come, over all rows that may teach: word counts, id counts, class
+pairs, and the weights.  Teaching documents are dealt into shards of about
+`shard_words` words by a hash; each trains from the same start on every window of
+its documents, and the weights are averaged by ids seen, an id's embedding by its
+own.  Shards depend on the data only.  All of that grows with the input; only
+fixed-size results reach the driver.
 
 Windows of `WINDOW` ids overlap by `OVERLAP`; every id is scored once, with all
 windows of a batch in one masked product.
 
-The base score needs each word's count.  The most frequent `head_words` words go
-to every task as two arrays of fixed bound; rarer words meet their counts in a
-join by hash.
+The base score needs each word's count.  Words of a count that at most
+`head_words` words reach go to every task as arrays of fixed bound; rarer words
+meet their counts in a join by hash.
 
 Defined results: null and empty texts are one end; a null id is not held out;
 without rows that teach, counts are 0 and the class pairs are even; rows that
@@ -45,7 +48,7 @@ from .common import documents, id_crc, written
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END, IDS = 50256, 50257
 WINDOW, OVERLAP, WIDTH = 32, 8, 16
-SINGLE, SHARED = 96, 16
+SINGLE, SHARED = 32, 8
 CLASSES = SINGLE + 2 * SHARED + 1  # the last is the end
 START = CLASSES
 
@@ -56,26 +59,32 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def encoder(ranks: dict[bytes, int]):
+    """Encodes words that stand after one space each; only a word's first id starts with the space."""
     import tiktoken
 
-    return tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("words", pat_str=r"\x20[^\x20]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
 
+def opening(ranks: dict[bytes, int]) -> np.ndarray:
+    """Whether an id starts a word."""
+    out = np.zeros(IDS, bool)
+    for token, rank in ranks.items():
+        out[rank] = token.startswith(b" ")
+    return out
 
-def id_classes(counts: np.ndarray, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+
+def id_classes(counts: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Class of each id, and the log of its share of the class.
 
     The SINGLE most frequent ids are alone; the rest are grouped by frequency,
     apart by whether they start a word.
     """
-    starts = np.zeros(IDS, bool)
-    for token, rank in ranks.items():
-        starts[rank] = token.startswith(b" ")
     order = np.lexsort((np.arange(IDS), -counts))
     order = order[order != END]
     classes = np.full(IDS, CLASSES - 1, np.int64)
     classes[order[:SINGLE]] = np.arange(SINGLE)
     for k, side in enumerate((True, False)):
-        rest = order[SINGLE:][starts[order[SINGLE:]] == side]
+        rest = order[SINGLE:][opens[order[SINGLE:]] == side]
         mass = np.cumsum(counts[rest] + 1.0)
         group = np.minimum((mass / max(mass[-1], 1.0) * SHARED).astype(int), SHARED - 1) if len(rest) else rest
         classes[rest] = SINGLE + k * SHARED + group
@@ -83,32 +92,21 @@ def id_classes(counts: np.ndarray, ranks: dict[bytes, int]) -> tuple[np.ndarray,
     return classes, np.log((counts + 1.0) / total[classes])
 
 
-class Speller:
-    """Id sequences and within-class log probabilities of words, by hash; one for each task."""
-
-    def __init__(self, ranks: dict[bytes, int], classes: np.ndarray, within: np.ndarray):
-        self.encode, self.of, self.within = encoder(ranks).encode_ordinary, np.append(classes, START), within
-        self.known: dict[int, tuple[np.ndarray, float]] = {}
-
-    def words(self, hashes: np.ndarray, text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lengths in ids and within-class logs of each word, and all words' ids in a row."""
-        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > 400_000:
-            self.known.clear()
-        spelled, logs = [], np.empty(len(distinct))
-        for k, (h, i) in enumerate(zip(distinct.tolist(), at.tolist(), strict=True)):
-            entry = self.known.get(h)
-            if entry is None:
-                ids = np.array(self.encode(" " + text[starts[i] : ends[i]].decode("utf-8", "replace")), np.int64)
-                entry = self.known[h] = (ids.astype(np.int32), float(self.within[ids].sum()))
-            spelled.append(entry[0])
-            logs[k] = entry[1]
-        sizes = np.array([len(s) for s in spelled], np.int64)
-        flat = np.concatenate(spelled) if spelled else np.zeros(0, np.int32)
-        first = np.cumsum(sizes) - sizes
-        lengths = sizes[back]
-        step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return lengths, logs[back], flat[np.repeat(first[back], lengths) + step]
+@dataclass
+class Tools:
+    """What every task needs to spell: the vocabulary, which ids start a word, classes and shares of ids."""
+
+    ranks: dict[bytes, int]
+    opens: np.ndarray
+    classes: np.ndarray
+    within: np.ndarray
+
+    def starting(self) -> np.ndarray:
+        """Whether words, or the end, can start with a class."""
+        out = np.zeros(CLASSES, bool)
+        out[self.classes[self.opens]] = True
+        out[CLASSES - 1] = True
+        return out
 
 
 @dataclass
@@ -125,16 +123,14 @@ class Model:
         return {"embed": (CLASSES + 1, d), "place": (WINDOW, d), "query": (d, d), "key": (d, d), "value": (d, d), "out": (d, CLASSES)}
 
     @classmethod
-    def start(cls, counts: np.ndarray, of: np.ndarray | None = None) -> Model:
-        """Smoothed class pairs, small random weights, and no say of the attention yet."""
-        single = counts.sum(0) + 0.5
-        smooth = counts + 20.0 * single / single.sum()
+    def start(cls, single: np.ndarray, of: np.ndarray | None = None) -> Model:
+        """Class shares for pairs, small random weights, and no say of the attention yet."""
         rng = np.random.default_rng(3)
         weights = {k: (0.3 * rng.standard_normal(s)).astype(np.float32) for k, s in cls.shapes().items()}
         weights["out"][:] = 0
         of = np.arange(CLASSES + 1) if of is None else of
         weights["embed"] = weights["embed"][of]
-        return cls(np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32), weights, of)
+        return cls(pair_logs(np.zeros((CLASSES + 1, CLASSES)), single), weights, of)
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
         w = self.weights
@@ -142,41 +138,49 @@ class Model:
         q, k, v = h @ w["query"], h @ w["key"], h @ w["value"]
         s = np.matmul(q, k.transpose(0, 2, 1)) * np.float32(WIDTH**-0.5) + _CAUSAL
         np.exp(np.minimum(s, 40, out=s), out=s)
-        s *= 1 / np.matmul(s, _ONES[:WINDOW])
+        s *= 1 / np.matmul(s, _COLUMN)
         z = h + np.matmul(s, v)
         logits = z @ w["out"]
         logits += self.pairs[self.of[x]]
-        return h, q, k, v, s, z, logits
+        # pairs are log probabilities and corrections to them stay small, so no maximum is taken out
+        return h, q, k, v, s, z, np.minimum(logits, 60, out=logits)
 
-    def log_probabilities(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, x: np.ndarray, y: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logs of each target's probability, and of all classes' that a word can start with."""
         logits = self.forward(x)[-1]
         own = np.take_along_axis(logits, y[..., None], -1)[..., 0]
-        # pairs are log probabilities and corrections to them stay small, so no maximum is taken out
-        np.exp(logits, out=logits)
-        return own - np.log(logits @ _ONES[:CLASSES])[..., 0]
+        sums = np.log(np.exp(logits, out=logits) @ groups)
+        return own - sums[..., 0], sums[..., 1] - sums[..., 0]
 
     def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
-        h, q, k, v, a, z, logits = self.forward(x)
-        p = np.exp(logits - logits.max(-1, keepdims=True))
-        p /= p.sum(-1, keepdims=True)
-        np.put_along_axis(p, y[..., None], np.take_along_axis(p, y[..., None], -1) - 1, -1)
-        p *= (live / max(live.sum(), 1)).astype(np.float32)[..., None]
         flat = lambda m: m.reshape(-1, m.shape[-1])
+        h, q, k, v, a, z, p = self.forward(x)
+        np.exp(p, out=p)
+        share = (live / max(live.sum(), 1)).astype(np.float32)
+        p *= (share / (p @ _ONES)[..., 0])[..., None]
+        flat(p)[np.arange(y.size), y.ravel()] -= share.ravel()
         dz = p @ w["out"].T
         da = np.matmul(dz, v.transpose(0, 2, 1))
-        ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dv, dq, dk = np.matmul(a.transpose(0, 2, 1), dz), np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
+        da -= np.matmul(da * a, _COLUMN)
+        da *= a
+        da *= np.float32(WIDTH**-0.5)
+        dv, dq, dk = np.matmul(a.transpose(0, 2, 1), dz), np.matmul(da, k), np.matmul(da.transpose(0, 2, 1), q)
         dh = dz + dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T
         cells = (x.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
         embed = np.bincount(cells, weights=dh.ravel(), minlength=w["embed"].size).reshape(w["embed"].shape).astype(dh.dtype)
         return {"embed": embed, "place": dh.sum(0), "query": flat(h).T @ flat(dq), "key": flat(h).T @ flat(dk), "value": flat(h).T @ flat(dv), "out": flat(z).T @ flat(p)}
 
-    def train(self, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float = 0.01) -> tuple[int, np.ndarray]:
-        """Adam over batches of windows, moving only embeddings that a batch has; ids scored, and how often each symbol was seen."""
+    def train(self, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], single: np.ndarray, rate: float = 0.01) -> tuple[int, np.ndarray, np.ndarray]:
+        """Adam over batches of windows, moving only embeddings that a batch has.
+
+        The class pairs seen so far are the pair logs, brought up to date now and
+        then.  Returns how many ids were scored, how often each symbol was seen,
+        and the class pairs.
+        """
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        seen, times = 0, np.zeros(len(self.of), np.int64)
+        seen, times, pairs = 0, np.zeros(len(self.of), np.int64), np.zeros((CLASSES + 1) * CLASSES)
         for step, (x, y, live) in enumerate(batches, 1):
             seen += int(live.sum())
             used, local = np.unique(x, return_inverse=True)
@@ -190,32 +194,44 @@ class Model:
                 v += 0.01 * (g * g - v)
                 first[name][at], second[name][at] = m, v
                 self.weights[name][at] -= pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-        return seen, times
+            pairs += np.bincount((self.of[x] * CLASSES + y)[live], minlength=len(pairs))
+            if step & (step - 1) == 0 or step % 64 == 0:
+                self.pairs = pair_logs(pairs.reshape(CLASSES + 1, CLASSES), single)
+        return seen, times, pairs
 
     def common(self) -> np.ndarray:
         """All weights but the embeddings, in a row."""
         return np.concatenate([self.weights[k].ravel() for k in self.shapes() if k != "embed"])
 
-    def unpack(self, embed: np.ndarray, flat: np.ndarray) -> Model:
+    def unpack(self, embed: np.ndarray, flat: np.ndarray, pairs: np.ndarray) -> Model:
         at, out = 0, {"embed": embed.astype(np.float32)}
         for name, shape in self.shapes().items():
             if name != "embed":
                 n = int(np.prod(shape))
                 out[name] = flat[at : at + n].reshape(shape).astype(np.float32)
                 at += n
-        return Model(self.pairs, out, self.of)
+        return Model(pairs, out, self.of)
 
 
-_ONES = np.ones((max(WINDOW, CLASSES), 1), np.float32)
+def pair_logs(counts: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """Logs of class pairs, smoothed towards the share of single classes."""
+    single = single + 0.5
+    smooth = counts + 20.0 * single / single.sum()
+    return np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32)
+
+
+_ONES, _COLUMN = np.ones((CLASSES, 1), np.float32), np.ones((WINDOW, 1), np.float32)
 _CAUSAL = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
 
 
-def sequences(speller: Speller, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Word rows, hashes, within-class logs and lengths in ids; all rows' ids with an end each, and offsets."""
+def sequences(encode, opens: np.ndarray, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Word rows, hashes and lengths in ids; all rows' ids with an end each, and offsets."""
     low = K.LOWER[buf]
     starts, ends, rows = K.word_spans(low, at)
     hashes = K.span_hashes(low, starts, ends)
-    lengths, logs, ids = speller.words(hashes, low.tobytes(), starts, ends)
+    text = b" ".join(np.insert(low, at[1:-1], 32).tobytes().split())
+    ids = np.array(encode(" " + text.decode("utf-8", "replace")) if text else [], np.int32)
+    lengths = np.diff(np.append(np.flatnonzero(opens[ids]), len(ids)))
     n = len(at) - 1
     sizes = np.bincount(rows, weights=lengths, minlength=n).astype(np.int64)
     out = np.empty(len(ids) + n, np.int32)
@@ -224,17 +240,17 @@ def sequences(speller: Speller, buf: np.ndarray, at: np.ndarray) -> tuple[np.nda
     is_end[edge - 1] = True
     out[is_end] = END
     out[~is_end] = ids
-    return rows, hashes, logs, lengths, out, np.concatenate([[0], edge])
+    return rows, hashes, lengths, out, np.concatenate([[0], edge])
 
 
-def windows(symbols: np.ndarray, offsets: np.ndarray, start: int = START) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def windows(symbols: np.ndarray, offsets: np.ndarray, start: int = START, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, targets, which targets count, and the row of each window.
 
     A window after a row's first counts only what the one before didn't.
     """
     sizes = np.diff(offsets)
-    stride = WINDOW - OVERLAP
-    number = np.maximum(1, -(-(sizes - OVERLAP) // stride))
+    stride = WINDOW - overlap
+    number = np.maximum(1, -(-(sizes - overlap) // stride))
     row = np.repeat(np.arange(len(sizes)), number)
     step = (np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)) * stride
     place = step[:, None] + np.arange(WINDOW)
@@ -243,7 +259,7 @@ def windows(symbols: np.ndarray, offsets: np.ndarray, start: int = START) -> tup
     before = np.concatenate([[start], symbols[:-1]]).astype(np.int64)
     before[offsets[:-1]] = start
     x = before[np.minimum(offsets[row][:, None] + place, len(symbols) - 1)]
-    live = inside & ((np.arange(WINDOW) >= OVERLAP) | (step == 0)[:, None])
+    live = inside & ((np.arange(WINDOW) >= overlap) | (step == 0)[:, None])
     return np.where(inside, x, 0), np.where(inside, y, 0), live, row
 
 
@@ -265,55 +281,30 @@ def count_words(docs: DataFrame) -> DataFrame:
     return rows.groupBy("word", "hash").agg(F.sum("count").alias("count"))
 
 
-def spelled_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """The word counts with each word's subword ids."""
-    shared = words.sparkSession.sparkContext.broadcast(ranks)
+def count_ids(words: DataFrame, ranks: dict[bytes, int], opens: np.ndarray) -> np.ndarray:
+    """Corpus counts of each subword id, and of each as a word's first, from the word counts."""
+    shared = words.sparkSession.sparkContext.broadcast((ranks, opens))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(shared.value).encode_ordinary
-        for batch in batches:
-            ids = [encode(" " + w.decode("utf-8", "replace")) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("count"), pa.array(ids, pa.list_(pa.int32()))], ["hash", "count", "ids"])
-
-    return words.select("word", "hash", "count").mapInArrow(run, "hash long, count long, ids array<int>")
-
-
-def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All ids in a row, the count of each id's word, and each word's first and last index."""
-    ids = batch.column("ids")
-    edges = ids.offsets.to_numpy()
-    flat = ids.values.to_numpy()[edges[0] : edges[-1]]
-    edges = (edges - edges[0]).astype(np.int64)
-    return flat, np.repeat(batch.column("count").to_numpy(), np.diff(edges)), edges[:-1], edges[1:] - 1
-
-
-def _summed(spelled: DataFrame, size: int, tally) -> np.ndarray:
-    """Sum over all rows of `tally(batch)`, an array of fixed size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        ranks, opens = shared.value
+        encode, total = encoder(ranks), np.zeros((2, IDS))
         for batch in batches:
             if batch.num_rows:
-                total += tally(batch)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
-
-    out = np.zeros(size)
-    for row in spelled.mapInArrow(run, "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        out[row["at"]] = row["n"]
+                ids = np.array(encode(" " + b" ".join(batch.column("word").to_pylist()).decode("utf-8", "replace")), np.int64)
+                head = opens[ids]
+                counts = batch.column("count").to_numpy()
+                each = counts[np.cumsum(head) - 1]
+                total[0] += np.bincount(ids, weights=each, minlength=IDS)
+                total[1] += np.bincount(ids[head], weights=counts, minlength=IDS)
+        at = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(t[at]) for t in total)], ["at", "n", "first"])
+
+    out, sums = np.zeros((2, IDS)), [F.sum(c).alias(c) for c in ("n", "first")]
+    for row in words.select("word", "count").mapInArrow(run, "at long, n double, first double").groupBy("at").agg(*sums).collect():
+        out[:, row["at"]] = row[1:]
     return out
 
 
-def count_ids(spelled: DataFrame) -> np.ndarray:
-    """Corpus count of each subword id, from the word counts."""
-
-    def tally(batch: pa.RecordBatch) -> np.ndarray:
-        flat, counts, _, _ = _lists(batch)
-        return np.bincount(flat, weights=counts, minlength=IDS)
-
-    return _summed(spelled, IDS, tally)
-
-
 def _each_slice(batches: Iterator[pa.RecordBatch], limit: int = 1 << 21):
     for batch in batches:
         buf, at = K.text_column(batch.column("text"))
@@ -321,78 +312,72 @@ def _each_slice(batches: Iterator[pa.RecordBatch], limit: int = 1 << 21):
             yield batch, lo, hi, b, a
 
 
-def count_pairs(docs: DataFrame, tools) -> np.ndarray:
-    """How often each class follows each class, over all given rows in their order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller, total = Speller(*tools.value), np.zeros((CLASSES + 1) * CLASSES, np.int64)
-        for _, _, _, b, a in _each_slice(batches):
-            *_, ids, offsets = sequences(speller, b, a)
-            classes = speller.of[ids]
-            before = np.concatenate([[START], classes[:-1]])
-            before[offsets[:-1]] = START
-            total += np.bincount(before * CLASSES + classes, minlength=len(total))
-        pairs = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(total[pairs])], ["pair", "n"])
-
-    counts = np.zeros((CLASSES + 1) * CLASSES)
-    for row in docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
-        counts[row["pair"]] = row["n"]
-    return counts.reshape(CLASSES + 1, CLASSES)
-
-
-def train_attention(docs: DataFrame, tools, start: Model, share: int, batch_windows: int = 64) -> Model:
-    """Each task trains on one document in `share`; weights are averaged by ids seen, an id's embedding by its own."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(start)
-    names = ["seen", "used", "times", "embed", "rest"]
-    schema = "seen double, used binary, times binary, embed binary, rest binary"
+def train_attention(docs: DataFrame, tools, start: Model, single: np.ndarray, shards: int, batch_windows: int = 128) -> Model:
+    """Each shard trains on all its documents; weights are averaged by ids seen, an id's embedding by its own."""
+    shared = docs.sparkSession.sparkContext.broadcast((start, single))
+    names = ["seen", "used", "times", "embed", "rest", "pairs"]
+    schema = "seen double, used binary, times binary, embed binary, rest binary, pairs binary"
 
-    def packed(seen: float, times: np.ndarray, embed: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
+    def packed(seen: float, times: np.ndarray, embed: np.ndarray, rest: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
         used = np.flatnonzero(times)
-        blobs = [used.astype(np.int32), times[used].astype(np.int64), embed[used].astype(np.float32), rest.astype(np.float64)]
+        blobs = [used.astype(np.int32), times[used].astype(np.int64), embed[used].astype(np.float32), rest.astype(np.float64), pairs.astype(np.float64)]
         return pa.RecordBatch.from_arrays([pa.array([float(seen)]), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)], names)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller, begin = Speller(*tools.value), shared.value
+        given, (begin, single) = tools.value, shared.value
+        encode = encoder(given.ranks)
         model = Model(begin.pairs, {k: v.copy() for k, v in begin.weights.items()}, begin.of)
 
         def stream():
             for _, _, _, b, a in _each_slice(batches):
-                *_, ids, offsets = sequences(speller, b, a)
-                x, y, live, _ = windows(ids, offsets, IDS)
+                *_, ids, offsets = sequences(encode, given.opens, b, a)
+                x, y, live, _ = windows(ids, offsets, IDS, 0)
                 order = np.random.default_rng(len(x)).permutation(len(x))
                 for lo in range(0, len(x), batch_windows):
                     some = order[lo : lo + batch_windows]
                     yield x[some], model.of[y[some]], live[some]
 
-        seen, times = model.train(stream())
+        seen, times, pairs = model.train(stream(), single)
         if seen:
-            yield packed(seen, times, model.weights["embed"], model.common())
+            yield packed(seen, times, model.weights["embed"], model.common(), pairs)
 
-    def mean(rows) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-        seen, times, embed, rest = 0.0, np.zeros(IDS + 1, np.int64), np.zeros((IDS + 1, WIDTH)), 0.0
+    def mean(rows) -> tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        seen, times, embed, rest, pairs = 0.0, np.zeros(IDS + 1, np.int64), np.zeros((IDS + 1, WIDTH)), 0.0, 0.0
         for n, *blobs in rows:
-            used, own, part, weights = (np.frombuffer(b, t) for b, t in zip(blobs, (np.int32, np.int64, np.float32, np.float64), strict=True))
-            seen, rest = seen + n, rest + n * weights
+            used, own, part, weights, counts = (np.frombuffer(b, t) for b, t in zip(blobs, (np.int32, np.int64, np.float32, np.float64, np.float64), strict=True))
+            seen, rest, pairs = seen + n, rest + n * weights, pairs + counts
             times[used] += own
             embed[used] += own[:, None] * part.reshape(-1, WIDTH).astype(np.float64)
-        return seen, times, embed / np.maximum(times, 1)[:, None], rest / max(seen, 1.0)
+        return seen, times, embed / np.maximum(times, 1)[:, None], rest / max(seen, 1.0), pairs
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = mean(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         if found[0]:
             yield packed(*found)
 
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
-    rows = some.mapInArrow(learn, schema).repartition(8).mapInArrow(add, schema).collect()
+    dealt = docs.repartition(shards, F.xxhash64("text")).sortWithinPartitions(F.xxhash64("text"), "text").select("text")
+    rows = dealt.mapInArrow(learn, schema).repartition(8).mapInArrow(add, schema).collect()
     if not rows:
         return start
-    _, times, embed, rest = mean(sorted(tuple(bytes(v) if k else v for k, v in enumerate(r)) for r in rows))
-    return start.unpack(np.where(times[:, None] > 0, embed, start.weights["embed"]), rest)
+    _, times, embed, rest, pairs = mean(sorted(tuple(bytes(v) if k else v for k, v in enumerate(r)) for r in rows))
+    return start.unpack(np.where(times[:, None] > 0, embed, start.weights["embed"]), rest, pair_logs(pairs.reshape(CLASSES + 1, CLASSES), single))
+
+
+def frequent_words(words: DataFrame, head_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the words of the least count that at most `head_words` words reach, and their counts."""
+    least, have = 1, 0
+    for row in words.groupBy(F.least("count", F.lit(100_000)).alias("c")).agg(F.count("*").alias("n")).orderBy(F.desc("c")).collect():
+        have += row["n"]
+        if have > head_words:
+            least = row["c"] + 1
+            break
+    top = words.where(F.col("count") >= least).select("hash", "count").toArrow()
+    hashes = top.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], top.column("count").to_numpy()[order]
 
 
-def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str = VOCABULARY, head_words: int = 500_000, share: int = 1, mix: float = 0.6) -> DataFrame:
+def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str = VOCABULARY, head_words: int = 500_000, shard_words: int = 2_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document row."""
     spark = docs.sparkSession
     texts = documents(docs)
@@ -400,61 +385,77 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
     teaching = texts.where(~held_out)
     words = written(count_words(teaching), "word-counts")
     n_docs = teaching.count()
-    row = words.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+    row = words.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") == 1)).first()
     distinct, total = row[0] + (n_docs > 0), row[1] + n_docs
+    escape = min(max(row[2] / max(row[1], 1), 0.001), 0.5)
 
     ranks = read_ranks(vocabulary)
-    ids = count_ids(spelled_words(words, ranks))
-    ids[END] = n_docs
-    classes, within = id_classes(ids, ranks)
-    tools = spark.sparkContext.broadcast((ranks, classes, within))
-    model = train_attention(teaching, tools, Model.start(count_pairs(teaching, tools), np.append(classes, START)), share)
-
-    top = words.select("hash", "count").orderBy(F.desc("count"), "hash").limit(head_words).toArrow()
-    order = np.argsort(top.column("hash").to_numpy().view(np.uint64))
-    head = spark.sparkContext.broadcast((top.column("hash").to_numpy().view(np.uint64)[order], top.column("count").to_numpy()[order], model, distinct <= head_words))
+    opens = opening(ranks)
+    ids, firsts = count_ids(words, ranks, opens)
+    ids[END] = firsts[END] = n_docs
+    classes, within = id_classes(ids, opens)
+    tools = spark.sparkContext.broadcast(Tools(ranks, opens, classes, within))
+    single = np.bincount(classes, weights=ids, minlength=CLASSES)
+    model = train_attention(teaching, tools, Model.start(single, np.append(classes, START)), single, 1 + int(total // shard_words))
+    class_words = np.bincount(classes, weights=firsts, minlength=CLASSES)
+
+    hashes, counts = frequent_words(words, head_words)
+    head = spark.sparkContext.broadcast((hashes, counts, model, class_words, len(hashes) + (n_docs > 0) == distinct))
     end_log = float(np.log10(n_docs + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = Speller(*tools.value)
-        hashes, counts, model, all_known = head.value
+        given = tools.value
+        encode = encoder(given.ranks)
+        hashes, counts, model, class_words, all_known = head.value
+        groups = np.stack([np.ones(CLASSES), given.starting()], 1).astype(np.float32)
+        log_class = np.log(np.maximum(class_words, 1.0))
+        with np.errstate(divide="ignore"):
+            log_count = np.log(np.append(counts, 0))
         for batch, lo, hi, b, a in _each_slice(batches):
-            rows, words_, within, lengths, spelled, offsets = sequences(speller, b, a)
+            rows, words_, lengths, spelled, offsets = sequences(encode, given.opens, b, a)
             n = hi - lo
             x, y, live, _ = windows(spelled, offsets, IDS)
             y = model.of[y]
-            scored = [model.log_probabilities(x[w : w + 64], y[w : w + 64])[live[w : w + 64]] for w in range(0, len(x), 64)]
-            ids = np.concatenate(scored).astype(np.float64)  # every id once, in order
-            is_end = np.zeros(len(ids), bool)
-            is_end[offsets[1:] - 1] = True
-            end_score = ids[is_end] + speller.within[END]
-            word_score = within + (np.add.reduceat(ids[~is_end], np.cumsum(lengths) - lengths) if len(lengths) else 0)
+            parts = [[part[live[w : w + 64]] for part in model.log_probabilities(x[w : w + 64], y[w : w + 64], groups)] for w in range(0, len(x), 64)]
+            own, opening_mass = (np.concatenate(c).astype(np.float64) for c in zip(*parts, strict=True))  # every id once, in order
+            last = offsets[1:] - 1
+            end_score = own[last] - opening_mass[last]
+            is_word = np.ones(len(own), bool)
+            is_word[last] = False
+            begins = np.flatnonzero(is_word)[np.cumsum(lengths) - lengths]  # a word's first id
+            first_class = given.classes[spelled[begins]]
+            first = own[begins] - opening_mass[begins]
+            inner = np.where(is_word, own, 0.0)
+            inner[begins] = 0.0
+            shares = np.where(is_word, given.within[spelled], 0.0)
+            spell = (np.add.reduceat((inner + shares)[is_word], np.cumsum(lengths) - lengths) if len(lengths) else np.zeros(0)) + opening_mass[begins + lengths] if len(lengths) else np.zeros(0)
             place = np.minimum(np.searchsorted(hashes, words_), max(len(hashes) - 1, 0))
             known = hashes[place] == words_ if len(hashes) else np.zeros(len(words_), bool)
-            logs = np.log10(np.where(known, counts[place], 0) + 1.0) if len(hashes) else np.zeros(len(words_))
-            base = np.bincount(rows, weights=logs, minlength=n) + end_log
-            shares = np.log(np.where(known, counts[place], 0) / max(total, 1) + 1e-300) if len(hashes) else np.full(len(words_), -700.0)
-            mixed = np.logaddexp(np.log(1 - mix) + word_score, np.log(mix) + shares)
-            score = np.bincount(rows, weights=mixed, minlength=n) + np.logaddexp(np.log(1 - mix) + end_score, np.log(mix) + np.log(max(n_docs, 1e-300) / max(total, 1)))
+            place = np.where(known, place, len(counts))
+            count = np.append(counts, 0)[place]
+            base = np.bincount(rows, weights=np.log10(count + 1.0), minlength=n) + end_log
+            spell += np.log(escape)
+            share = np.log(1 - escape) + log_count[place] - log_class[first_class]
+            score = np.bincount(rows, weights=first + np.logaddexp(spell, share), minlength=n) + end_score
             n_words = np.bincount(rows, minlength=n)
             n_known = np.bincount(rows, weights=known, minlength=n).astype(np.int64) + (n_docs > 0)
-            # words beyond the head meet their counts later, with the model's score of each
+            # words beyond the head meet their counts later: the log of what one count adds against the spelling
             rare = np.flatnonzero(~known) if not all_known else np.zeros(0, np.int64)
+            lead = np.log(1 - escape) - log_class[first_class[rare]] - spell[rare]
             edges = pa.array(np.searchsorted(rows[rare], np.arange(n + 1)), pa.int32())
             key = K.mix(np.add.reduceat(np.append(words_ * (np.arange(len(words_), dtype=np.uint64) | np.uint64(1)), np.uint64(0)), np.minimum(np.searchsorted(rows, np.arange(n)), len(words_))) if n else words_[:0])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(lo, n), pa.array(key.view(np.int64)), pa.array((n_words + 1).astype(np.int64)), pa.array(n_known), pa.array(base), pa.array(score / np.log(10)),
-                    pa.ListArray.from_arrays(edges, pa.array(words_[rare].view(np.int64))), pa.ListArray.from_arrays(edges, pa.array(word_score[rare] if len(rare) else np.zeros(0))),
+                    pa.ListArray.from_arrays(edges, pa.array(words_[rare].view(np.int64))), pa.ListArray.from_arrays(edges, pa.array(lead)),
                 ],
-                ["doc_id", "text_key", "n_tokens", "n_known", "base", "score", "rare", "own"],
+                ["doc_id", "text_key", "n_tokens", "n_known", "base", "score", "rare", "lead"],
             )
 
-    scored = written(texts.mapInArrow(run, "doc_id long, text_key long, n_tokens long, n_known long, base double, score double, rare array<long>, own array<double>"), "scores")
-    rare = scored.where(F.size("rare") > 0).select("doc_id", "text_key", F.explode(F.arrays_zip("rare", "own")).alias("w")).select("doc_id", "text_key", F.col("w.rare").alias("hash"), F.col("w.own").alias("own"))
-    # what the word's share adds to the log of the mixture
-    lead = F.log(F.lit(mix / (1 - mix)) * F.col("count") / F.lit(max(total, 1))) - F.col("own")
-    adds = F.greatest(lead, F.lit(0.0)) + F.log1p(F.exp(-F.abs(lead)))
+    scored = written(texts.mapInArrow(run, "doc_id long, text_key long, n_tokens long, n_known long, base double, score double, rare array<long>, lead array<double>"), "scores")
+    rare = scored.where(F.size("rare") > 0).select("doc_id", "text_key", F.explode(F.arrays_zip("rare", "lead")).alias("w")).select("doc_id", "text_key", F.col("w.rare").alias("hash"), F.col("w.lead").alias("lead"))
+    over = F.col("lead") + F.log("count")
+    adds = F.greatest(over, F.lit(0.0)) + F.log1p(F.exp(-F.abs(over)))
     met = rare.join(words.select("hash", "count"), "hash").withColumn("adds", adds)
     more = met.groupBy("doc_id", "text_key").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("count") + 1.0)).alias("more_base"), F.sum("adds").alias("more_score"))
     # rows that repeat an id and its text have added up

@@ -1,8 +1,11 @@
 """Toxicity by compression distance: one zstandard dictionary for each class.
 
-Both dictionaries share a base of ordinary text.  To it each adds, from its own
-class's teaching texts, the words that mark the class: those whose share of the
-class's documents stands out from their share of the other's.  A window that
+Both dictionaries share a base that zstandard trains on all windows of the
+ordinary teaching texts.  To it each adds, from its own class's teaching texts, the
+words that mark the class: those whose share of the class's documents stands out
+from their share of the other's.  (Dictionaries that zstandard trains on each
+class's texts alone pick what is common in any text: they differ by chance, and
+tell classes apart hardly better than by chance.)  A window that
 compresses better with the toxic dictionary leans to toxic.  A document's
 evidence is made of the bytes saved in each of its windows; a logistic curve
 fitted on other teaching rows turns it into a score, and the threshold is on it.
@@ -12,8 +15,9 @@ of those at most `bound`, chosen by a hash of the id.  Ids, labels, languages
 and sources are never inputs of a score.
 
 Defined results: null and empty texts have one empty window and get the curve's
-value for it; without both classes in the labels every score is 0; repeated rows
-and extra columns pass row by row.
+value for it; without both classes in the labels every score is 0; if all texts of
+a class repeat the other's, nothing marks a class and the curve is near its share;
+repeated rows and extra columns pass row by row.
 """
 
 from __future__ import annotations
@@ -29,9 +33,10 @@ from pyspark.sql import functions as F
 
 from .common import documents, id_crc
 
-WINDOW = 320
+WINDOW = 200
 LEVEL = 3
-BASE_BYTES = 16_000
+#: Bytes of trained content that both dictionaries share, and about those of a trained dictionary's header.
+BASE_BYTES, HEADER = 15_000, 2_000
 
 
 def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
@@ -71,6 +76,8 @@ def marking_words(texts: list[tuple[int, bytes]], side: int, least: float = 0.02
         seen[y].update(set(lowered(text).split()))
         n[y] += 1
     out = {}
+    if not all(n):
+        return []
     for word, count in seen[side].items():
         own, other = count / n[side], seen[1 - side][word] / n[1 - side]
         pool = (seen[0][word] + seen[1][word] + 1) / (n[0] + n[1] + 2)
@@ -79,10 +86,18 @@ def marking_words(texts: list[tuple[int, bytes]], side: int, least: float = 0.02
     return sorted(out, key=lambda w: (out[w], w))
 
 
+def train_base(ordinary: list[bytes]) -> bytes:
+    """What zstandard's trainer picks from all windows of the ordinary texts; their windows themselves where they are too few to train on."""
+    pieces = [w for t in ordinary for w in windows(t)]
+    try:
+        return zstandard.train_dictionary(BASE_BYTES + HEADER, pieces).as_bytes()[-BASE_BYTES:]
+    except zstandard.ZstdError:
+        return b" ".join(pieces)[:BASE_BYTES]
+
+
 def train_dictionaries(texts: list[tuple[int, bytes]]) -> tuple[bytes, bytes]:
     """Contents of the toxic and of the ordinary dictionary."""
-    ordinary = [lowered(t) for y, t in texts if y == 0]
-    base = b" ".join(windows(t)[0] for t in ordinary)[:BASE_BYTES]
+    base = train_base([lowered(t) for y, t in texts if y == 0])
     # zstandard's offsets are cheapest for the dictionary's end
     toxic, plain = (base + b" " + b"  ".join(marking_words(texts, side)) + b" " for side in (1, 0))
     return toxic, plain

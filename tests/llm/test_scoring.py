@@ -75,6 +75,13 @@ def test_toxicity(spark):
     assert score_toxicity(docs.where("false"), known).count() == 0
 
 
+def test_toxicity_of_equal_texts(spark):
+    docs = spark.createDataFrame([(i, "the same text for both labels", "en", "s", 0) for i in range(60)], "doc_id long, text string, lang string, source string, n_chars long")
+    known = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    found = score_toxicity(docs, known).collect()
+    assert len({r["score"] for r in found}) == 1 and 0.2 < found[0]["score"] < 0.8
+
+
 def test_windows_cover_the_text():
     rng = random.Random(3)
     for n in (0, 5, 400, 3000):
@@ -99,7 +106,7 @@ def base_scores():
 def test_lm_base_scores(spark):
     want = base_scores()
     for head in (500_000, 20):  # with and without words beyond the head
-        found = X.by_id(M.lm_scores(X.docs(spark), head_words=head, share=1))
+        found = X.by_id(M.lm_scores(X.docs(spark), head_words=head))
         for i, (held, n, known, total, score) in want.items():
             f = found[i]
             assert (f["held_out"], f["n_tokens"], f["n_known"], f["train_tokens"]) == (held, n, known, total)
@@ -110,25 +117,30 @@ def test_lm_base_scores(spark):
 
 def test_model_is_causal_and_normal():
     rng = np.random.default_rng(1)
-    model = M.Model.start(rng.integers(0, 50, (M.CLASSES + 1, M.CLASSES)).astype(float))
+    model = M.Model.start(rng.integers(0, 50, M.CLASSES).astype(float))
+    model.pairs = M.pair_logs(rng.integers(0, 50, (M.CLASSES + 1, M.CLASSES)).astype(float), np.ones(M.CLASSES))
     model.weights["out"] = rng.normal(0, 0.3, model.weights["out"].shape).astype(np.float32)
     x = rng.integers(0, M.CLASSES, (2, M.WINDOW))
-    every = np.stack([model.log_probabilities(x, np.full_like(x, c)) for c in range(M.CLASSES)], -1)
+    groups = np.stack([np.ones(M.CLASSES), np.arange(M.CLASSES) < 9], 1).astype(np.float32)
+    every = np.stack([model.log_probabilities(x, np.full_like(x, c), groups)[0] for c in range(M.CLASSES)], -1)
     assert np.allclose(np.exp(every).sum(-1), 1, atol=1e-4)
+    assert np.allclose(np.exp(every[..., :9]).sum(-1), np.exp(model.log_probabilities(x, x, groups)[1]), atol=1e-4)
     other = x.copy()
     other[:, 20:] = (other[:, 20:] + 7) % M.CLASSES
     y = rng.integers(0, M.CLASSES, x.shape)
-    assert np.allclose(model.log_probabilities(x, y)[:, :20], model.log_probabilities(other, y)[:, :20], atol=1e-5)
+    assert np.allclose(model.log_probabilities(x, y, groups)[0][:, :20], model.log_probabilities(other, y, groups)[0][:, :20], atol=1e-5)
 
 
 def test_gradients():
     rng = np.random.default_rng(2)
-    model = M.Model.start(rng.integers(0, 50, (M.CLASSES + 1, M.CLASSES)).astype(float))
+    model = M.Model.start(rng.integers(0, 50, M.CLASSES).astype(float))
+    model.pairs = M.pair_logs(rng.integers(0, 50, (M.CLASSES + 1, M.CLASSES)).astype(float), np.ones(M.CLASSES))
     model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
     model.weights["out"] = rng.normal(0, 0.3, model.weights["out"].shape)
     x, y = rng.integers(0, M.CLASSES, (3, M.WINDOW)), rng.integers(0, M.CLASSES, (3, M.WINDOW))
     live = rng.random(x.shape) < 0.7
-    loss = lambda: -model.log_probabilities(x, y)[live].mean()
+    groups = np.ones((M.CLASSES, 2))
+    loss = lambda: -model.log_probabilities(x, y, groups)[0][live].mean()
     grads = model.gradients(x, y, live)
     for name, w in model.weights.items():
         k = np.unravel_index(np.abs(grads[name]).argmax(), w.shape)
