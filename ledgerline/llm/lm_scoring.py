@@ -34,7 +34,7 @@ repeat an id each get their own score; extra columns are ignored.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,10 +45,10 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import documents, id_crc, written
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 END, IDS = 50256, 50257
 WINDOW, OVERLAP, WIDTH = 32, 8, 16
-SINGLE, SHARED = 32, 8
+SINGLE, SHARED = 24, 6
 CLASSES = SINGLE + 2 * SHARED + 1  # the last is the end
 START = CLASSES
 
@@ -58,11 +58,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def encoder(ranks: dict[bytes, int]):
-    """Encodes words that stand after one space each; only a word's first id starts with the space."""
+_encoders: dict[int, Callable[[str], list[int]]] = {}
+
+
+def encoder(ranks: dict[bytes, int]) -> Callable[[str], list[int]]:
+    """Encodes words that stand after one space each; only a word's first id starts with the space.
+
+    A worker keeps the encoder of the last vocabulary for its next tasks.
+    """
     import tiktoken
 
-    return tiktoken.Encoding("words", pat_str=r"\x20[^\x20]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    key = hash(tuple(ranks))
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = tiktoken.Encoding("words", pat_str=r"\x20[^\x20]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return _encoders[key]
 
 
 def opening(ranks: dict[bytes, int]) -> np.ndarray:
@@ -143,7 +153,7 @@ class Model:
         logits = z @ w["out"]
         logits += self.pairs[self.of[x]]
         # pairs are log probabilities and corrections to them stay small, so no maximum is taken out
-        return h, q, k, v, s, z, np.minimum(logits, 60, out=logits)
+        return h, q, k, v, s, z, logits
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Logs of each target's probability, and of all classes' that a word can start with."""
@@ -355,7 +365,8 @@ def train_attention(docs: DataFrame, tools, start: Model, single: np.ndarray, sh
         if found[0]:
             yield packed(*found)
 
-    dealt = docs.repartition(shards, F.xxhash64("text")).sortWithinPartitions(F.xxhash64("text"), "text").select("text")
+    place = F.xxhash64("doc_id", "text")
+    dealt = docs.repartition(shards, place).sortWithinPartitions(place, "doc_id", "text").select("text")
     rows = dealt.mapInArrow(learn, schema).repartition(8).mapInArrow(add, schema).collect()
     if not rows:
         return start
