@@ -11,9 +11,8 @@ Spans of one kind don't overlap, so a bucket holds a bounded number of them.
 Positions are code points, end exclusive.  They follow from the lengths of the
 matches and of the pieces between them.
 
-Defined results: null and empty texts have no spans; rows with one id are read
-as one document's parts for linking, and each row keeps its own base spans;
-extra columns are ignored.
+Defined results: null and empty texts have no spans; each row is a document of its
+own, whatever its id; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from .common import written
 KEYWORDS = r"[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
 ASSIGN = rf"""(?:{KEYWORDS})["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
 ASSIGN_VALUE = rf"""^(?:{KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+BLOCK = 256
 BASE = ["assign", "access", "hex"]
 WEAK = ["login", "opaque", "endpoint"]
 #: Runs of the least length start and end where runs of any length would.
@@ -45,31 +45,38 @@ def spans(text: Column, kind: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     steps = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)), lambda m, p: F.struct(F.length(p).alias("gap"), m.alias("value")))
-    start = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    entries = "array<struct<start:int,end:int,value:string>>"
 
     def add(done: Column, step: Column) -> Column:
-        begin = F.coalesce(F.try_element_at(done["out"], F.lit(-1))["end"], F.lit(0)) + step["gap"]
-        entry = F.struct(begin.alias("start"), (begin + F.length(step["value"])).alias("end"), step["value"].alias("value"))
-        return F.struct(F.concat(done["out"], F.array(entry)).alias("out"))
+        begin = done["at"] + step["gap"]
+        end = begin + F.length(step["value"])
+        entry = F.struct(begin.alias("start"), end.alias("end"), step["value"].alias("value"))
+        return F.struct(F.concat(done["out"], F.array(entry)).alias("out"), end.alias("at"))
 
-    placed = F.aggregate(steps, F.struct(start.alias("out")), add, lambda done: done["out"])
-    return F.when(F.size(found) > 0, placed).otherwise(start)
+    def add_block(done: Column, block: Column) -> Column:
+        inner = F.aggregate(block, F.struct(F.array().cast(entries).alias("out"), done["at"].alias("at")), add)
+        return F.struct(F.concat(done["out"], F.array(inner["out"])).alias("out"), inner["at"].alias("at"))
+
+    # in blocks, so that a text with very many matches doesn't copy one long array for each of them
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int")), lambda b: F.slice(steps, b * BLOCK + 1, F.lit(BLOCK)))
+    placed = F.aggregate(blocks, F.struct(F.array().cast(f"array<{entries}>").alias("out"), F.lit(0).alias("at")), add_block, lambda done: F.flatten(done["out"]))
+    return F.when(F.size(found) > 0, placed).otherwise(F.array().cast(entries))
 
 
 def parts(docs: DataFrame) -> DataFrame:
-    """doc_id and an array of (kind, start, end) of every candidate, checked alone."""
+    """row, doc_id and an array of (kind, start, end) of every candidate, checked alone; `row` tells rows apart once it is written."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     checks = {
         "assign": lambda v: F.length(F.regexp_extract(v, ASSIGN_VALUE, 1)) >= 12,
         "opaque": lambda v: v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]"),
     }
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    out = out.select("doc_id", *[spans(F.col("text"), kind).alias(kind) for kind in PATTERNS])
+    out = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    out = out.select("row", "doc_id", *[spans(F.col("text"), kind).alias(kind) for kind in PATTERNS])
     arrays = []
     for k, kind in enumerate(PATTERNS):  # the lambdas are called at once, so they may use the loop's names
         kept = F.filter(kind, lambda x: checks[kind](x["value"])) if kind in checks else F.col(kind)
         arrays.append(F.transform(kept, lambda x: F.struct(x["start"].alias("start"), F.lit(k).alias("kind"), x["end"].alias("end"))))
-    return out.select("doc_id", F.concat(*arrays).alias("parts"))
+    return out.select("row", "doc_id", F.concat(*arrays).alias("parts"))
 
 
 def _listed(part: Column) -> Column:
@@ -78,30 +85,29 @@ def _listed(part: Column) -> Column:
 
 
 def linked(found: DataFrame, scope: int) -> DataFrame:
-    """doc_id and the weak parts that complementary parts support, as an array."""
+    """row and the weak parts that complementary parts support, as an array."""
     kinds = list(PATTERNS)
     role = {"assign": "secret", "hex": "secret", "opaque": "secret", "access": "id", "login": "id", "endpoint": "place"}
     code = F.create_map(*[F.lit(x) for k, kind in enumerate(kinds) for x in (k, role[kind])])
     weak = [kinds.index(k) for k in WEAK]
     mixed = F.size(F.array_distinct(F.transform("parts", lambda x: F.element_at(code, x["kind"])))) > 1
     useful = found.where(F.exists("parts", lambda x: x["kind"].isin(weak)) & mixed)
-    rows = useful.select("doc_id", F.explode(F.array_distinct("parts")).alias("p")).select("doc_id", "p.*").distinct().withColumn("role", F.element_at(code, F.col("kind")))
+    rows = useful.select("row", F.explode("parts").alias("p")).select("row", "p.*").withColumn("role", F.element_at(code, F.col("kind")))
     near = rows.withColumn("bucket", F.explode(F.sequence(F.floor(F.greatest(F.col("start") - scope, F.lit(0)) / scope), F.floor((F.col("end") + scope) / scope))))
-    near = near.select("doc_id", "bucket", F.col("start").alias("near_start"), F.col("end").alias("near_end"), F.col("role").alias("near_role"))
+    near = near.select("row", "bucket", F.col("start").alias("near_start"), F.col("end").alias("near_end"), F.col("role").alias("near_role"))
     home = rows.where(F.col("kind").isin(weak)).withColumn("bucket", F.floor(F.col("start") / scope))
-    met = home.join(near, (home["doc_id"].eqNullSafe(near["doc_id"])) & (home["bucket"] == near["bucket"])).select(home["doc_id"], "start", "kind", "end", "role", "near_start", "near_end", "near_role")
+    met = home.join(near, ["row", "bucket"]).select("row", "start", "kind", "end", "role", "near_start", "near_end", "near_role")
     # apart, within the scope of each other, and of another role
     met = met.where("role <> near_role and near_start - end <= {0} and start - near_end <= {0} and (near_end <= start or near_start >= end)".format(scope))
-    support = met.groupBy("doc_id", "start", "kind", "end").agg(F.bool_or(F.col("near_role") == "id").alias("id"), F.bool_or(F.col("near_role") == "secret").alias("secret"))
+    support = met.groupBy("row", "start", "kind", "end").agg(F.bool_or(F.col("near_role") == "id").alias("id"), F.bool_or(F.col("near_role") == "secret").alias("secret"))
     wanted = F.when(F.col("kind") == kinds.index("login"), F.col("secret")).when(F.col("kind") == kinds.index("opaque"), F.col("id")).otherwise(F.col("id") & F.col("secret"))
-    return support.where(wanted).groupBy("doc_id").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
+    return support.where(wanted).groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
 
 
 def scan_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
     """n_assign, n_access, n_hex, base_sha256 and spans of every document row."""
     found = written(parts(docs), "secret-parts")
-    more = linked(found, scope).withColumnRenamed("doc_id", "of")
-    both = found.join(more, found["doc_id"].eqNullSafe(more["of"]), "left")
+    both = found.join(linked(found, scope), "row", "left")
     base = F.filter("parts", lambda x: x["kind"] < len(BASE))
     count = lambda k: F.size(F.filter("parts", lambda x: x["kind"] == k)).cast("long")
     everything = F.concat(base, F.coalesce(F.col("more"), F.array().cast("array<struct<start:int,kind:int,end:int>>")))
