@@ -6,7 +6,9 @@ an item's weight is in the passage.  Items lie in blocks; each term has its
 greatest weight in each block.  A passage whose sum of block maxima is under the
 threshold can't hold an item of that block (the bound of block-max WAND), and
 only the other blocks are scored; every item at or above the threshold is kept.
-Bounds are summed for all passages of a batch at once.
+A block is looked at only if it has an essential term of the passage: with the
+passage's terms in order of their greatest weight anywhere, those after the longest
+prefix that can't reach the threshold alone.  All passages of a batch go at once.
 
 A candidate counts when the item's question and its answer both overlap the
 passage.  A part overlaps when `overlap` of its weight (each word weighs its idf)
@@ -16,12 +18,14 @@ weight.  So an edit costs the words it touches, whatever the part's length.  The
 answer is an item's last sentence, or the second half of its words if it has one
 sentence.  ASCII punctuation at a word's ends is no part of the word.
 
-An index pass holds at most `pass_items` items of at most `item_words` words
-(longer ones are cut into several), which bounds what is broadcast; more items
-take more passes over the documents.
+Equal texts are one item of the index.  A pass over the documents holds at most
+about `pass_items` items and `pass_words` words, which bounds what is broadcast;
+more take more passes.  Passages are as long as the longest item of a pass asks, so
+items over `item_words` words are searched apart from others, by powers of two of
+their length.
 
-Defined results: null and empty texts and items match nothing; an item id that
-repeats counts as several texts of one item; a null item id is an id of its own;
+Defined results: null and empty texts and items match nothing; only space and
+0x09-0x0D part words; an item id that repeats counts as several texts of one item; a null item id is an id of its own;
 extra columns are ignored; empty tables give empty results.
 """
 
@@ -37,9 +41,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import documents
+from .common import documents, written
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+FOUND = SCHEMA.replace("item_id", "text_key")
 BLOCK = 8
 FORGIVE = 4
 K1, B = 1.2, 0.75
@@ -47,7 +52,7 @@ K1, B = 1.2, 0.75
 
 def split_item(text: str) -> tuple[list[bytes], list[bytes]]:
     """Lower-cased words of the question and of the answer."""
-    sentences = [s for s in re.split(r"(?<=[.?!])[\x20\x09-\x0D]+", text.strip()) if s]
+    sentences = [s for s in re.split(r"(?<=[.?!])[\x20\x09-\x0D]+", text.strip(" \t\n\v\f\r")) if s]
     parts = [" ".join(sentences[:-1]).encode().lower().split(), sentences[-1].encode().lower().split()] if len(sentences) > 1 else []
     if len(parts) == 2 and min(map(len, parts)) >= 3:
         return parts[0], parts[1]
@@ -117,7 +122,7 @@ _IS_PUNCTUATION = np.isin(np.arange(256), list(_PUNCTUATION))
 class Index:
     """Impacts of one pass's items, with block maxima."""
 
-    def __init__(self, items: list[tuple[int | None, list[bytes], list[bytes]]], n: int, mean: float, frequency: dict[bytes, int]):
+    def __init__(self, items: list[tuple[int, list[bytes], list[bytes]]], n: int, mean: float, frequency: dict[bytes, int]):
         self.ids = [i for i, _, _ in items]
         self.longest = max(len(q) + len(a) for _, q, a in items)
         terms = sorted({w for _, q, a in items for w in q + a})
@@ -139,9 +144,13 @@ class Index:
             values += [v / total for v in impact.values()]
         self.terms, self.items, self.weights = np.array(rows), np.array(cols), np.array(values, np.float32)
         blocks = (len(items) + BLOCK - 1) // BLOCK
-        self.most = np.zeros((len(terms), blocks), np.float32)
-        np.maximum.at(self.most, (self.terms, self.items // BLOCK), self.weights)
         self.edges = np.searchsorted(self.items // BLOCK, np.arange(blocks + 1))
+        # postings: for each term its blocks, in order, with the greatest weight in each
+        self.cells, at = np.unique(self.terms.astype(np.int64) * blocks + self.items // BLOCK, return_inverse=True)
+        self.most = np.zeros(len(self.cells), np.float32)
+        np.maximum.at(self.most, at, self.weights)
+        self.blocks, self.first = blocks, np.searchsorted(self.cells, np.arange(len(terms) + 1) * blocks)
+        self.anywhere = np.maximum.reduceat(self.most, self.first[:-1])
         self.parts = [tuple((word_hashes(p), np.array([idf[w] for w in p])) for p in (q, a)) for _, q, a in items]
 
     def share(self, item: int, side: int, words: np.ndarray, overlap: float) -> float | None:
@@ -156,10 +165,38 @@ class Index:
         found = in_order(part, weights, words, least)
         return min(1.0, found / total) if found else None
 
+    def bounds(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of passage and block whose block maxima reach the threshold; (passage, term) are distinct and in order."""
+        order = np.lexsort((self.anywhere[term], passage))
+        p, t = passage[order], term[order]
+        so_far = np.cumsum(self.anywhere[t], dtype=np.float64)
+        head = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+        size = np.diff(np.append(head, len(p)))
+        so_far -= np.repeat(so_far[head] - self.anywhere[t[head]], size)
+        low = so_far < threshold - 1e-4  # terms that can't reach the threshold, all together
+        rest = np.maximum.reduceat(np.where(low, so_far, 0.0), head)  # what they can add
+        of, t_high = np.repeat(np.arange(len(head)), size)[~low], t[~low]
+        count = self.first[t_high + 1] - self.first[t_high]
+        cell = np.repeat(self.first[t_high] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        found, at = np.unique(np.repeat(of, count) * np.int64(self.blocks) + self.cells[cell] % self.blocks, return_inverse=True)
+        total = np.bincount(at, weights=self.most[cell], minlength=len(found))
+        live = total + rest[found // self.blocks] >= threshold - 1e-4
+        found, total = found[live], total[live]
+        own, block = found // self.blocks, found % self.blocks
+        n_low = np.add.reduceat(low.astype(np.int64), head)[own]  # the low terms come first
+        pair = np.repeat(np.arange(len(found)), n_low)
+        step = np.arange(len(pair)) - np.repeat(np.cumsum(n_low) - n_low, n_low)
+        wanted = t[head[own[pair]] + step] * np.int64(self.blocks) + block[pair]
+        place = np.minimum(np.searchsorted(self.cells, wanted), len(self.cells) - 1)
+        total += np.bincount(pair, weights=np.where(self.cells[place] == wanted, self.most[place], 0.0), minlength=len(found))
+        live = total >= threshold - 1e-4
+        return p[head[own[live]]], block[live]
+
     def search(self, hashes: np.ndarray, rows: np.ndarray, n: int, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
         """(row, item, score, question overlap, answer overlap) of the passages of n rows of words."""
+        out: list[tuple[int, int, float, float, float]] = []
         if not len(hashes):
-            return []
+            return out
         first = np.searchsorted(rows, np.arange(n))
         stride = stretch(self.longest)
         local = np.arange(len(rows)) - first[rows]
@@ -174,77 +211,79 @@ class Index:
         size = np.int64(len(self.hashes))
         pairs = np.unique(np.concatenate([a, b]) * size + np.concatenate([term, term]))
         passage, term = pairs // size, pairs % size
-        heads = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]])) if len(pairs) else np.zeros(0, np.int64)
-        out = []
-        if not len(heads):
+        if not len(pairs):
             return out
+        heads = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
         tails = np.append(heads[1:], len(pairs))
-        row_of = np.searchsorted(base, passage[heads], "right") - 1  # every row has a passage at least
-        for lo in range(0, len(heads), 2048):
-            hi = min(lo + 2048, len(heads))
-            bounds = np.add.reduceat(self.most[term[heads[lo] : tails[hi - 1]]], heads[lo:hi] - heads[lo], axis=0)
-            for p, block in zip(*np.nonzero(bounds >= threshold - 1e-4), strict=True):
-                p = lo + int(p)
+        load = np.cumsum(np.add.reduceat(self.first[term + 1] - self.first[term], heads))
+        lo = 0
+        while lo < len(heads):
+            hi = max(lo + 1, int(np.searchsorted(load, (load[lo - 1] if lo else 0) + (1 << 20), "right")))
+            part = slice(heads[lo], tails[hi - 1])
+            for p, block in zip(*self.bounds(passage[part], term[part], threshold), strict=True):
+                of = lo + int(np.searchsorted(passage[heads[lo:hi]], p))
                 own = slice(self.edges[block], self.edges[block + 1])
-                present = np.isin(self.terms[own], term[heads[p] : tails[p]])
+                present = np.isin(self.terms[own], term[heads[of] : tails[of]])
                 scores = np.bincount(self.items[own][present] - block * BLOCK, weights=self.weights[own][present], minlength=BLOCK)
+                r = int(np.searchsorted(base, p, "right") - 1)  # every row has a passage at least
+                k0 = int(p - base[r])
+                end = count[r] if k0 == passages[r] - 1 else min((k0 + 2) * stride, count[r])
+                words = hashes[first[r] + k0 * stride : first[r] + end]
                 for k in np.flatnonzero(scores >= threshold):
-                    r, item = int(row_of[p]), int(block * BLOCK + k)
-                    k0 = int(passage[heads[p]] - base[r])
-                    end = count[r] if k0 == passages[r] - 1 else min((k0 + 2) * stride, count[r])
-                    words = hashes[first[r] + k0 * stride : first[r] + end]
+                    item = int(block * BLOCK + k)
                     shares = [self.share(item, side, words, overlap) for side in (0, 1)]
                     if None not in shares:
                         out.append((r, item, float(scores[k]), *shares))
+            lo = hi
         return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.7, overlap: float = 0.8, pass_items: int = 2000, item_words: int = 256) -> DataFrame:
+PARTS = "text_key long, question array<binary>, answer array<binary>"
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = [tuple(map(stripped, split_item(t))) for t in batch.column("text").to_pylist()]
+        columns = [pa.array([x[k] for x in both], pa.list_(pa.binary())) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("text_key"), *columns], ["text_key", "question", "answer"])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.7, overlap: float = 0.8, pass_items: int = 20_000, pass_words: int = 2_000_000, item_words: int = 256) -> DataFrame:
     """One row for each document and test item that it holds, with score and overlaps."""
-    found = None
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    n = items.count()
-    passes = max(1, -(-n // pass_items))
-    statistics = _statistics(items)
-    for k in range(passes):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
-        index = build_index(own, statistics, item_words)
-        part = _search(docs, index, threshold, overlap)
-        found = part if found is None else found.unionByName(part)
-    return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"), F.max("answer_overlap").alias("answer_overlap"))
-
-
-def _statistics(items: DataFrame) -> tuple[DataFrame, int, float]:
-    """Document frequency of each term, number of items, mean length."""
-    words = items.select(F.filter(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"))
-    words = words.select(F.filter(F.transform("words", lambda w: F.regexp_replace(w, r"^\p{Punct}+|\p{Punct}+$", "")), lambda w: w != "").alias("words"))
-    row = words.where(F.size("words") > 0).agg(F.count("*"), F.avg(F.size("words"))).first()
-    return words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count(), row[0], row[1] or 1.0
-
-
-def build_index(items: DataFrame, statistics: tuple[DataFrame, int, float], item_words: int) -> Index | None:
-    frequency, n, mean = statistics
-    texts = []
-    for row in items.orderBy("item_id", "text").collect():
-        question, answer = map(stripped, split_item(row["text"]))
-        words = question + answer
-        if len(words) <= item_words:
-            texts += [(row["item_id"], question, answer)] if words else []
-        else:
-            for lo in range(0, len(words), item_words):
-                piece = words[lo : lo + item_words]
-                texts.append((row["item_id"], piece[: (len(piece) + 1) // 2], piece[(len(piece) + 1) // 2 :]))
+    keyed = items.select("item_id", F.xxhash64("text").alias("text_key"), "text")
+    parts = keyed.groupBy("text_key").agg(F.first("text").alias("text")).mapInArrow(_parts, PARTS)
+    parts = parts.withColumn("n", F.size("question") + F.size("answer")).where("n > 0")
+    parts = written(parts.withColumn("level", F.when(F.col("n") > item_words, F.ceil(F.log2(F.col("n") / item_words))).otherwise(0).cast("int")), "item-parts")
+    terms = parts.select("text_key", F.explode(F.array_distinct(F.concat("question", "answer"))).alias("term"))
+    frequency = written(terms.groupBy("term").count(), "item-terms")
+    n, mean = parts.agg(F.count("*"), F.avg("n")).first()
+    found = None
+    for level in parts.groupBy("level").agg(F.count("*").alias("items"), F.sum("n").alias("words")).orderBy("level").collect():
+        passes = max(-(-level["items"] // pass_items), -(-level["words"] // pass_words))
+        for k in range(passes):
+            own = parts.where((F.col("level") == level["level"]) & (F.pmod(F.hash("text_key"), F.lit(passes)) == k))
+            index = build_index(own, frequency, n, mean)
+            if index is not None:
+                part = _search(docs, index, threshold, overlap)
+                found = part if found is None else found.unionByName(part)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], SCHEMA)
+    best = [F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")]
+    return found.join(keyed.select("item_id", "text_key").distinct(), "text_key").groupBy("doc_id", "item_id").agg(*best)
+
+
+def build_index(own: DataFrame, frequency: DataFrame, n: int, mean: float) -> Index | None:
+    """The index of one pass's items."""
+    texts = [(r["text_key"], [bytes(w) for w in r["question"]], [bytes(w) for w in r["answer"]]) for r in own.orderBy("text_key").collect()]
     if not texts:
         return None
-    own = items.sparkSession.createDataFrame([(w.decode(),) for w in sorted({w for _, q, a in texts for w in q + a})], "term string")
-    known = {r["term"].encode(): r["count"] for r in frequency.join(own, "term").collect()}
-    return Index(texts, n, mean, known)
+    terms = own.select(F.explode(F.array_distinct(F.concat("question", "answer"))).alias("term")).distinct()
+    return Index(texts, n, mean, {bytes(r["term"]): r["count"] for r in frequency.join(terms, "term").collect()})
 
 
-def _search(docs: DataFrame, index: Index | None, threshold: float, overlap: float) -> DataFrame:
+def _search(docs: DataFrame, index: Index, threshold: float, overlap: float) -> DataFrame:
     spark = docs.sparkSession
-    if index is None:
-        return spark.createDataFrame([], SCHEMA)
     shared = spark.sparkContext.broadcast(index)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,9 +298,9 @@ def _search(docs: DataFrame, index: Index | None, threshold: float, overlap: flo
                     out.append((ids[lo + r].as_py(), index.ids[item], *numbers))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], SCHEMA.replace(",", "").split()[::2])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], FOUND.replace(",", "").split()[::2])
 
-    return documents(docs).mapInArrow(found, SCHEMA)
+    return documents(docs).mapInArrow(found, FOUND)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -4,8 +4,10 @@ import hashlib
 import math
 import re
 
+import numpy as np
 import pytest
 
+from ledgerline.llm import decontamination as D
 from ledgerline.llm.decontamination import contaminated, remove_contaminated, split_item
 from ledgerline.llm.mixing import mix, sized
 from ledgerline.llm.secrets import scan_secrets
@@ -42,6 +44,18 @@ def test_secrets(spark):
     assert scan_secrets(X.empty(spark)).count() == 0
 
 
+def test_secrets_of_rows_with_one_id(spark):
+    rows = [(5, "user: someone then 0123456789abcdef0123"), (5, "nothing at all here"), (None, "user: somebody"), (None, "0123456789abcdef0123")]
+    found = sorted((r["doc_id"] or 0, r["spans"]) for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == [(0, ""), (0, "hex:0:20"), (5, ""), (5, "login:0:13,hex:19:39")]
+
+
+def test_secrets_of_a_text_with_many_matches(spark):
+    text = "é 0123456789abcdef " * 1000 + "x"
+    (row,) = scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row["spans"] == ",".join(f"hex:{19 * k + 2}:{19 * k + 18}" for k in range(1000)) and row["n_hex"] == 1000
+
+
 def low(text):
     return b" ".join(text.encode().lower().split())
 
@@ -56,7 +70,7 @@ def test_decontamination(spark):
     want = {(r[0], i) for r in X.rows() for i, t in items if t and r[1] and b" %b " % low(t) in b" %b " % low(r[1])}
     assert found == want and len(want) >= 2
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, bench, pass_items=1).collect()} == want
-    assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, bench, item_words=12).collect()} >= want
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, bench, item_words=12).collect()} == want
     left = remove_contaminated(docs, bench)
     assert left.columns == docs.columns
     assert {r["doc_id"] for r in left.collect()} == {r[0] for r in X.rows()} - {d for d, _ in want}
@@ -109,3 +123,32 @@ def test_mix(spark):
         assert all(e == 0 for e in extra[cut + 1 :])
     assert sorted(map(tuple, mix(docs).collect()), key=repr) == sorted(map(tuple, rows), key=repr)
     assert mix(X.empty(spark)).count() == 0
+
+
+def test_items_with_other_spaces_and_long_items(spark):
+    words = X.words(__import__("random").Random(2), 900)
+    question, answer = " ".join(words[:500]) + "?", " ".join(words[500:800])
+    items = [(1, "What is the capital of France? The answer is Paris\u00a0"), (2, question + " " + answer), (3, "one two three four five? six seven eight nine."), (4, "one two three four five? six seven eight nine.")]
+    texts = ["so what is the capital of France? The answer is Paris\u00a0 yes", "a " + question + " " + answer + " b", question + " then nothing of it", " ".join(words[300:560]), "one two three four five? six seven eight nine."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for options in ({}, {"pass_items": 1}, {"pass_words": 5}):
+        found = sorted((r["doc_id"], r["item_id"]) for r in contaminated(docs, bench, **options).collect())
+        assert found == [(0, 1), (1, 2), (4, 3), (4, 4)]
+
+
+def test_bounds_are_those_of_all_blocks():
+    rng = np.random.default_rng(6)
+    items = [(k, *([b"w%d" % min(rng.geometric(0.03), 200) for _ in range(int(rng.integers(3, 30)))] for _ in range(2))) for k in range(300)]
+    counts = {}
+    for _, q, a in items:
+        for w in set(q + a):
+            counts[w] = counts.get(w, 0) + 1
+    index = D.Index(items, 300, 30.0, counts)
+    passage = np.repeat(np.arange(60), 40)
+    term = np.concatenate([np.sort(rng.choice(len(index.hashes), 40, replace=False)) for _ in range(60)])
+    dense = np.zeros((len(index.hashes), index.blocks))
+    np.maximum.at(dense, (index.terms, index.items // D.BLOCK), index.weights)
+    for threshold in (0.7, 0.3):
+        want = {(p, b) for p in range(60) for b in range(index.blocks) if dense[term[passage == p], b].sum() >= threshold - 1e-4}
+        assert set(zip(*(x.tolist() for x in index.bounds(passage, term, threshold)), strict=True)) == want and want
