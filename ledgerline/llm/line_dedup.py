@@ -13,12 +13,15 @@ first place of a line always stays.  One line over and over leaves its first.
 
 Counts are summed by chunk hash before any rows meet, so a chunk that very many
 documents share is one row for each task.  Rows of such a chunk meet only its
-first occurrence, in a join that Spark may split.
+first occurrence, in a join that Spark may split.  Chunks next to each other that
+repeat chunks next to each other of one document are a stretch: its first place's
+bytes travel once to the later one, which compares them with its own.
 
 Defined results: null and empty texts have no lines and stay as they are; blank
-lines belong to the chunk around them; rows with one id are ordered by text;
-one-line chunks are never removed; a null id takes no part; other columns are
-kept.
+lines belong to the chunk around them; different texts of one id are documents of
+their own, and equal rows count as one;
+one-line chunks are never removed; a null id takes no part; all columns are
+kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import documents, only_ids, written
 
@@ -81,39 +85,97 @@ def _repeatable(text: bytes, runs: bool) -> Iterator[tuple[int, int, int, bytes]
 
 def _hashed(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(doc, k, h) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True) for k, _, h, _ in _repeatable((text.as_py() or "").encode(), runs)]
-        columns = list(zip(*rows, strict=True)) or [[]] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "at", "hash"])
+        rows = [(*own, k, h) for *own, text in zip(*_keys(batch), batch.column("text"), strict=True) for k, _, h, _ in _repeatable((text.as_py() or "").encode(), runs)]
+        yield _batch(rows, LIGHT)
 
 
-def _contents(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
-    """Bytes of the listed chunks only."""
+#: A document is told by its id and a hash of its text.
+LIGHT = "doc_id long, part long, at int, hash long"
+STRETCHES = "doc_id long, part long, at int, size int, of long, of_part long, of_at int"
+FIRSTS = "of long, of_part long, of_at int, size int, bytes binary"
+GONE = "doc_id long, part long, gone array<int>"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+
+
+def _keys(batch: pa.RecordBatch) -> tuple[list, list]:
+    return batch.column("doc_id").to_pylist(), batch.column("part").to_pylist()
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], [name for name, _ in fields])
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks that follow each other and repeat chunks that follow each other of one document, joined."""
+    for batch in batches:
+        out = []
+        for doc, part, listed in zip(*_keys(batch), batch.column("listed").to_pylist(), strict=True):
+            open_ = None
+            for at, *of, of_at in sorted((x["at"], x["of"], x["of_part"], x["of_at"]) for x in listed):
+                if open_ and [at, *of, of_at] == [open_[0] + open_[1], *open_[2:4], open_[4] + open_[1]]:
+                    open_[1] += 1
+                else:
+                    open_ = [at, 1, *of, of_at]
+                    out.append((doc, part, open_))
+        yield _batch([(doc, part, *x) for doc, part, x in out], STRETCHES)
+
+
+def _joined(pieces: dict[int, bytes], at: int, size: int, runs: bool) -> bytes:
+    """The bytes of a stretch; two pairs of lines that follow each other share a line."""
+    if not runs:
+        return b"\n".join(pieces[k] for k in range(at, at + size))
+    return b"\n".join([pieces[at], *(pieces[k].split(b"\n", 1)[1] for k in range(at + 1, at + size))])
+
+
+def _first_bytes(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
+    """Bytes of the listed stretches of first places."""
     for batch in batches:
         rows = []
-        for doc, text, listed in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("listed").to_pylist(), strict=True):
-            wanted = {x["at"]: x["is_first"] for x in listed}
-            rows += [(doc, k, h, piece, wanted[k]) for k, _, h, piece in _repeatable((text.as_py() or "").encode(), runs) if k in wanted]
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.bool_())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "at", "hash", "bytes", "is_first"])
+        for *own, text, listed in zip(*_keys(batch), batch.column("text"), batch.column("listed").to_pylist(), strict=True):
+            pieces = {k: piece for k, _, _, piece in _repeatable((text.as_py() or "").encode(), runs)}
+            rows += [(*own, x["of_at"], x["size"], _joined(pieces, x["of_at"], x["size"], runs)) for x in listed]
+        yield _batch(rows, FIRSTS)
+
+
+def _same_bytes(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
+    """Places of the stretches whose bytes are those of the first place; of others, the chunks that differ stay."""
+    for batch in batches:
+        gone = []
+        for text, listed in zip(batch.column("text"), batch.column("listed").to_pylist(), strict=True):
+            pieces, places = {k: piece for k, _, _, piece in _repeatable((text.as_py() or "").encode(), runs)}, set()
+            for x in listed:
+                at, size = x["at"], x["size"]
+                if _joined(pieces, at, size, runs) == x["bytes"]:
+                    places |= set(range(at, at + size))
+                elif runs:  # a collision of hashes: line by line
+                    lines = x["bytes"].split(b"\n")
+                    places |= {at + k for k in range(size) if lines[k : k + 2] == pieces[at + k].split(b"\n")}
+            gone.append(sorted(places))
+        yield _batch(list(zip(*_keys(batch), gone, strict=True)), GONE)
 
 
 def repeated_chunks(docs: DataFrame, runs: bool = False) -> DataFrame:
-    """doc_id and the places (array) of the chunks (or pairs of lines) to remove.
+    """doc_id, a hash of the text, and the places (array) of the chunks (or pairs of lines) to remove.
 
-    Hashes of all chunks meet first; bytes travel only for those that repeat.
+    Hashes of all chunks meet first; bytes travel once for each stretch that repeats.
     """
-    texts = documents(docs).where("doc_id is not null")
-    light = texts.mapInArrow(partial(_hashed, runs=runs), "doc_id long, at int, hash long")
-    first = light.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").drop("n")
-    both = light.join(first, "hash").withColumn("is_first", F.struct("doc_id", "at") == F.col("first"))
-    listed = written(both.groupBy("doc_id").agg(F.collect_list(F.struct("at", "is_first")).alias("listed")), "repeated-chunks")
-    some = only_ids(texts, listed.select("doc_id")).join(listed, "doc_id")
-    rows = written(some.mapInArrow(partial(_contents, runs=runs), "doc_id long, at int, hash long, bytes binary, is_first boolean"), "chunk-bytes")
-    kept = rows.where("is_first").groupBy(F.col("hash").alias("of")).agg(F.min("bytes").alias("kept"))
-    later = rows.where("not is_first")
-    same = later.join(kept, (later["hash"] == kept["of"]) & (later["bytes"] == kept["kept"]))
-    return same.groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("gone"))
+    texts = documents(docs).where("doc_id is not null").withColumn("part", F.xxhash64("text"))
+    light = texts.mapInArrow(partial(_hashed, runs=runs), LIGHT)
+    place = F.struct("doc_id", "part", "at")
+    first = light.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    later = light.join(first, "hash").where(place != F.col("first"))
+    of = F.struct("at", F.col("first.doc_id").alias("of"), F.col("first.part").alias("of_part"), F.col("first.at").alias("of_at"))
+    stretches = written(later.groupBy("doc_id", "part").agg(F.collect_set(of).alias("listed")).mapInArrow(_stretches, STRETCHES), "repeated-stretches")
+    firsts = stretches.select("of", "of_part", "of_at", "size").distinct().groupBy(F.col("of").alias("doc_id"), F.col("of_part").alias("part")).agg(F.collect_list(F.struct("of_at", "size")).alias("listed"))
+    firsts = written(firsts, "first-stretches")
+    own = ["doc_id", "part"]
+    content = only_ids(texts, firsts.select("doc_id")).join(firsts, own).mapInArrow(partial(_first_bytes, runs=runs), FIRSTS)
+    given = stretches.join(content, ["of", "of_part", "of_at", "size"]).groupBy(*own).agg(F.collect_list(F.struct("at", "size", "bytes")).alias("listed"))
+    some = only_ids(texts, written(stretches.select("doc_id").distinct(), "repeating-ids")).join(given, own)
+    same = some.mapInArrow(partial(_same_bytes, runs=runs), GONE)
+    return same.where(F.size("gone") > 0).groupBy(*own).agg(F.first("gone").alias("gone"))
 
 
 def without_pairs(raw: bytes, gone: set[int]) -> tuple[bytes, int]:
@@ -146,26 +208,24 @@ def _rebuilt(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.Recor
             lines.append(sum(n for _, _, n in parts))
             removed.append(sum(n for k, (_, _, n) in enumerate(parts) if k in drop))
             texts.append(text.as_py() if not drop else b"".join(raw[s:e] for k, (s, e, _) in enumerate(parts) if k not in drop).decode())
-        keep = [c for c in batch.schema.names if c not in ("text", "gone")]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in keep), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], [*keep, "text", "n_lines", "n_removed"]
-        )
+        yield pa.RecordBatch.from_arrays([batch.column("others"), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], ["others", "text", "n_lines", "n_removed"])
 
 
-def line_dedup(docs: DataFrame, runs: bool = False) -> DataFrame:
-    """The documents with repeated chunks (or runs of lines) cut from their texts, and n_lines and n_removed.
+def line_dedup(docs: DataFrame, runs: bool = False, counts: bool = True) -> DataFrame:
+    """The documents with repeated chunks (or runs of lines) cut from their texts.
 
-    Texts that lose nothing stay where they are read.
+    With `counts`, n_lines and n_removed follow, and columns of the documents with
+    those names give way; without, all columns are those of the documents.  Texts
+    that lose nothing stay where they are read.
     """
     gone = written(repeated_chunks(docs, runs), "gone-chunks")
-    # a column of the documents that has one of our names gives way
-    own = docs.select(*[c for c in docs.columns if c not in ("gone", "n_lines", "n_removed")]).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    ids = gone.select("doc_id")
-    cut = only_ids(own, ids).join(gone, "doc_id")
+    names = [c for c in docs.columns if c != "text" and not (counts and c in ("n_lines", "n_removed"))]
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("part"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("others"))
+    ids = written(gone.select("doc_id").distinct(), "cut-ids")
+    cut = only_ids(own, ids).join(gone, ["doc_id", "part"], "left")
     whole = only_ids(own, ids, "left_anti").withColumn("gone", F.lit(None).cast("array<int>"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text"]
-    schema = ", ".join([*fields, "text string", "n_lines long", "n_removed long"])
-    order = [*[f.name for f in own.schema if f.name != "text"], "text", "gone"]
+    schema = T.StructType([own.schema["others"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
     rebuilt = partial(_rebuilt, runs=runs)
-    out = cut.select(*order).mapInArrow(rebuilt, schema).unionByName(whole.select(*order).mapInArrow(rebuilt, schema))
-    return out.select(*own.columns, "n_lines", "n_removed")
+    out = cut.select("others", "text", "gone").mapInArrow(rebuilt, schema).unionByName(whole.select("others", "text", "gone").mapInArrow(rebuilt, schema))
+    kept = [F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns if c == "text" or c in names]
+    return out.select(*kept, *(["n_lines", "n_removed"] if counts else []))
