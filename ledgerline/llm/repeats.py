@@ -7,8 +7,14 @@ by gram in one sorted stream.  Rows with equal surroundings form a class whose
 later members lose all their windows at once; only the first members of grams
 with several classes need their windows compared one by one.
 
-Order of occurrence is by (doc_id, position).  `at` packs position, windows to
-the left of the anchor and their number.
+Before rows are dealt out by gram, each task takes out those that repeat a class it
+has met before: its first place is enough for the others to meet.  So a gram that a
+third of all documents share sends a row or so for each task.
+
+Order of occurrence is by (doc_id, variant, position).  Different texts of one id
+are its variants, in order of a hash; a document without an id gets one from a hash
+of its text, before all others.  `at` packs variant, position, windows to the left
+of the anchor and their number.
 """
 
 from __future__ import annotations
@@ -18,16 +24,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
 from .common import documents, only_ids, written
 
-ANCHORS = "gram long, around long, doc_id long, at long"
 PLACES = "kind int, gram long, around long, doc_id long, at long"
 NO_ID = -(1 << 63)
 LATER, FIRST, HEAD = 0, 1, 2
+VARIANTS = 1 << 15
+#: Classes that a task remembers to have met.
+REMEMBERED = 1 << 20
+LOCAL = (1 << 48) - 1
 
 
 @dataclass(frozen=True)
@@ -93,37 +102,95 @@ def anchors(values: np.ndarray, offsets: np.ndarray, units: Units) -> tuple[np.n
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 4
 
 
-def _ids(batch: pa.RecordBatch, column: str = "doc_id") -> np.ndarray:
-    return batch.column(column).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-
-
-def anchor_rows(docs: DataFrame, units: Units) -> DataFrame:
-    """ANCHORS of every whole text; a null id comes before all others."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """own_id, doc_id (never null), variant and text of each row; an id with more than VARIANTS texts is an error."""
+    texts = documents(docs).withColumnRenamed("doc_id", "own_id")
+    mark = F.xxhash64("text")
+    texts = texts.withColumn("doc_id", F.coalesce("own_id", F.lit(NO_ID) + F.shiftrightunsigned(mark, 3)))
+    several = texts.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("doc_id")
+    several = written(several, "ids-with-texts")
+    if not several.limit(1).count():
+        return texts.select("own_id", "doc_id", F.lit(0).cast("long").alias("variant"), "text")
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("mark")) - 1
+    known = only_ids(texts, several).select("doc_id", mark.alias("mark")).distinct().withColumn("variant", rank.cast("long"))
+    known = written(known.withColumn("variant", F.when(F.col("variant") < VARIANTS, F.col("variant")).otherwise(F.raise_error(F.lit("too many texts of one id")))), "variants")
+    return texts.withColumn("mark", mark).join(known, ["doc_id", "mark"], "left").select("own_id", "doc_id", F.coalesce("variant", F.lit(0)).alias("variant"), "text")
+
+
+class Met:
+    """Classes that a task has met more than once, each with a first place."""
+
+    def __init__(self):
+        self.key, self.rows = np.zeros(0, np.uint64), [np.zeros(0, np.int64) for _ in range(4)]
+
+    def later(self, gram: np.ndarray, around: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which rows have their class's equal before them, in these rows or in those met."""
+        order = np.lexsort((at, doc, around, gram))
+        rows = [c[order] for c in (gram, around, doc, at)]
+        fresh = np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])])
+        head = np.flatnonzero(fresh)
+        first = head[np.cumsum(fresh) - 1]
+        out = np.zeros(len(gram), bool)
+        out[order] = (rows[2] != rows[2][first]) | (rows[3] != rows[3][first])  # a repeated row is the same place
+        size = np.diff(np.append(head, len(gram)))
+        heads = [c[head] for c in rows]
+        key = K.mix(heads[0].view(np.uint64) ^ K.mix(heads[1].view(np.uint64)))
+        if len(self.key):
+            place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            old = [c[place] for c in self.rows]
+            same = (self.key[place] == key) & (old[0] == heads[0]) & (old[1] == heads[1])
+            after = same & ((old[2] < heads[2]) | ((old[2] == heads[2]) & (old[3] < heads[3])))
+            out[order[head[after]]] = True
+            for c, new in zip(self.rows[2:], heads[2:], strict=True):
+                c[place[same & ~after]] = new[same & ~after]
+            size = np.where(same, 1, size)
+        add = np.flatnonzero(size > 1)
+        if len(add):
+            if len(self.key) + len(add) > REMEMBERED:
+                self.__init__()
+            merged = np.argsort(np.concatenate([self.key, key[add]]), kind="stable")
+            self.key = np.concatenate([self.key, key[add]])[merged]
+            self.rows = [np.concatenate([c, h[add]])[merged] for c, h in zip(self.rows, heads, strict=True)]
+        return out
+
+
+def anchor_rows(texts: DataFrame, units: Units) -> DataFrame:
+    """PLACES of every whole text of `numbered` rows: LATER where the task has met the class before, else FIRST."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = Met()
         for batch in batches:
-            ids = _ids(batch)
+            ids, variants = batch.column("doc_id").to_numpy(), batch.column("variant").to_numpy()
             buf, at = K.text_column(batch.column("text"))
             for lo, _, b, a in K.slices(buf, at):
                 gram, around, row, place, left, count = anchors(*units.values(b, a), units)
-                columns = [gram.view(np.int64), around.view(np.int64), ids[lo + row], pack(place, left, count)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "around", "doc_id", "at"])
+                if not len(gram):
+                    continue
+                columns = [gram.view(np.int64), around.view(np.int64), ids[lo + row], pack(place + (variants[lo + row] << 32), left, count)]
+                later = met.later(*columns)
+                kind = np.where(later, LATER, FIRST).astype(np.int32)
+                for c in columns[:2]:
+                    c[later] = 0  # these rows meet nothing more
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (kind, *columns)], ["kind", "gram", "around", "doc_id", "at"])
 
-    return documents(docs).mapInArrow(run, ANCHORS)
+    return texts.select("doc_id", "variant", "text").mapInArrow(run, PLACES)
 
 
 def _classes(heads: bool):
-    """Over rows in order of (gram, around, doc_id, at): what to remove and what to compare.
+    """Over rows in order of (kind, gram, around, doc_id, at): what to remove and what to compare.
 
-    LATER rows repeat a class; FIRST rows are first of a class whose gram has
+    LATER rows repeat a class, those that are so already come first; FIRST rows are first of a class whose gram has
     others; HEAD rows, if asked for, are the first of each class.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # gram, around, doc and at of the open class's first row, and whether it has been given as FIRST
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            done = int(np.searchsorted(batch.column("kind").to_numpy(), LATER, "right"))
+            if done:
+                yield batch.slice(0, done)
+            batch = batch.slice(done)
+            if not batch.num_rows:
                 continue
             gram, around, doc, at = (batch.column(c).to_numpy() for c in ("gram", "around", "doc_id", "at"))
             shift = 0
@@ -159,16 +226,17 @@ def _classes(heads: bool):
 
 def meet(rows: DataFrame, heads: bool = False) -> DataFrame:
     """PLACES of rows that meet by gram; a sorted stream keeps one row in memory, however many share a gram."""
-    ordered = rows.repartition("gram").sortWithinPartitions("gram", "around", "doc_id", "at")
+    dealt = F.when(F.col("kind") == LATER, F.xxhash64("doc_id")).otherwise(F.col("gram"))
+    ordered = rows.repartition(dealt).sortWithinPartitions("kind", "gram", "around", "doc_id", "at")
     return ordered.mapInArrow(_classes(heads), PLACES)
 
 
-def surroundings(docs: DataFrame, firsts: DataFrame, make, schema: str) -> DataFrame:
-    """`make(values, lists)` over the documents that `firsts` (gram, doc_id, at) names."""
-    wanted = written(firsts.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "at")).alias("wanted")), "wanted")
-    texts = documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    texts = only_ids(texts, wanted.select("doc_id"))
-    return texts.join(wanted, "doc_id").mapInArrow(make, schema)
+def surroundings(texts: DataFrame, firsts: DataFrame, make, schema: str) -> DataFrame:
+    """`make(values, lists)` over the `numbered` rows that `firsts` (gram, doc_id, at) names."""
+    own = ["doc_id", "variant"]
+    wanted = written(firsts.groupBy("doc_id", F.shiftright("at", 48).alias("variant")).agg(F.collect_list(F.struct("gram", "at")).alias("wanted")), "wanted")
+    some = only_ids(texts, written(wanted.select("doc_id").distinct(), "wanted-ids"))
+    return some.select(*own, "text").join(wanted, own).mapInArrow(make, schema)
 
 
 def ranges(docs: np.ndarray, starts: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,18 +261,17 @@ def window_rows(units: Units):
             for lo, hi, b, a in K.slices(buf, at):
                 listed = [wanted[i].values.field("at").to_numpy() for i in range(lo, hi)]
                 row = np.repeat(np.arange(hi - lo), [len(x) for x in listed])
-                start, _, count = unpack(np.concatenate(listed))
+                packed = np.concatenate(listed)
+                start, _, count = unpack(packed & LOCAL)
                 steps = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                row, start = np.repeat(row, count), np.repeat(start, count) + steps
+                row, start, base = np.repeat(row, count), np.repeat(start, count) + steps, np.repeat(packed >> 48 << 32, count)
                 hashes = []
                 for seed in (1, 2):
                     values, offsets = units.values(b, a, seed)
                     runs = K.run_hashes(values, units.window)
                     place = offsets[row] + start
-                    if not seed - 1:  # a text that another row of this id replaced may be shorter
-                        fits = np.flatnonzero(place + units.window <= offsets[row + 1])
-                    hashes.append(runs[place[fits]])
-                columns = [*(h.view(np.int64) for h in hashes), ids[lo + row[fits]], start[fits]]
+                    hashes.append(runs[place])
+                columns = [*(h.view(np.int64) for h in hashes), ids[lo + row], base + start]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash_a", "hash_b", "doc_id", "start"])
 
     return run
@@ -239,8 +306,8 @@ def removed_units(ranges: tuple[np.ndarray, np.ndarray], window: int, n: int) ->
     return np.cumsum(depth)[:n] > 0
 
 
-def rebuilt(docs: DataFrame, gone: DataFrame, digest, schema: str, columns: list[str]) -> DataFrame:
-    """`digest(text bytes, ranges or None)` of every document row.
+def rebuilt(texts: DataFrame, gone: DataFrame, digest, schema: str, columns: list[str]) -> DataFrame:
+    """`digest(text bytes, ranges or None)` of every `numbered` row.
 
     Documents that lose nothing get theirs in place; only the others' texts meet
     their ranges.
@@ -252,21 +319,20 @@ def rebuilt(docs: DataFrame, gone: DataFrame, digest, schema: str, columns: list
                 if with_ranges:
                     lists = batch.column("gone")
                     edges = lists.offsets.to_numpy()
-                    first, last = (lists.values.field(c).to_numpy() for c in ("first", "last"))
+                    first, last = (lists.values.field(c).to_numpy() & 0xFFFFFFFF for c in ("first", "last"))
                 out = []
                 for i, text in enumerate(batch.column("text")):
-                    own = (first[edges[i] : edges[i + 1]], last[edges[i] : edges[i + 1]]) if with_ranges else None
+                    own = (first[edges[i] : edges[i + 1]], last[edges[i] : edges[i + 1]]) if with_ranges and edges[i] < edges[i + 1] else None
                     out.append(digest((text.as_py() or "").encode(), own))
-                ids = batch.column("doc_id")
                 values = list(zip(*out, strict=True)) or [[] for _ in columns]
                 kinds = [pa.string() if c.endswith("sha256") else pa.int64() for c in columns]
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array(v, k) for v, k in zip(values, kinds, strict=True))], ["doc_id", *columns])
+                yield pa.RecordBatch.from_arrays([batch.column("own_id"), *(pa.array(v, k) for v, k in zip(values, kinds, strict=True))], ["doc_id", *columns])
 
         return each
 
-    gone = written(gone.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("gone")), "ranges")
-    texts = documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    some = only_ids(texts, gone.select("doc_id")).join(gone, "doc_id").mapInArrow(run(True), schema)
-    ids = gone.select("doc_id")
+    own = ["doc_id", "variant"]
+    gone = written(gone.groupBy("doc_id", F.shiftright("first", 32).alias("variant")).agg(F.collect_list(F.struct("first", "last")).alias("gone")), "ranges")
+    ids = written(gone.select("doc_id").distinct(), "range-ids")
+    some = only_ids(texts, ids).join(gone, own, "left").mapInArrow(run(True), schema)
     rest = only_ids(texts, ids, "left_anti").mapInArrow(run(False), schema)
-    return some.unionByName(rest).withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+    return some.unionByName(rest)

@@ -11,8 +11,9 @@ Batches come in order of doc_id, so what a run holds stands earlier than what a
 later batch brings.
 
 Defined results: null and empty texts have no words; texts under 20 words lose
-nothing; rows that repeat an id and its text count as one document; a null id
-comes before all others; extra columns are ignored.
+nothing; rows that repeat an id and its text count as one document, different texts
+of one id are documents of their own, and those without an id come before all
+others, by a hash of their texts; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import repeats as R
-from .common import documents, shared_folder
+from .common import shared_folder
 
 UNITS = R.Units("words", 20, 8)
 
@@ -40,12 +41,12 @@ class FingerprintIndex:
     def rows(self) -> DataFrame:
         """All fingerprints; no two have one gram and surroundings."""
         if not self.runs:
-            return self.spark.createDataFrame([], R.ANCHORS)
-        return self.spark.read.schema(R.PLACES).parquet(*self.runs).where(F.col("kind") == R.HEAD).drop("kind")
+            return self.spark.createDataFrame([], R.PLACES)
+        return self.spark.read.schema(R.PLACES).parquet(*self.runs).where(F.col("kind") == R.HEAD)
 
     def merge(self, batch: DataFrame, least: int) -> DataFrame:
         """Merges a batch whose ids start at `least`; adds its run and returns what repeats and what to compare."""
-        met = R.meet(self.rows().unionByName(R.anchor_rows(batch, UNITS)), heads=True)
+        met = R.meet(self.rows().withColumn("kind", F.lit(R.FIRST)).unionByName(R.anchor_rows(batch, UNITS)), heads=True)
         path = f"{self.folder}/run-{uuid.uuid4().hex}"
         met.where((F.col("kind") != R.HEAD) | (F.col("doc_id") >= least)).write.parquet(path)
         self.runs.append(path)
@@ -56,8 +57,7 @@ class FingerprintIndex:
         if len(self.runs) <= self.fan_in:
             return
         path, old = f"{self.folder}/run-{uuid.uuid4().hex}", self.runs
-        rows = self.rows().withColumn("kind", F.lit(R.HEAD)).select("kind", "gram", "around", "doc_id", "at")
-        rows.repartition("gram").sortWithinPartitions("gram", "around").write.parquet(path)
+        self.rows().repartition("gram").sortWithinPartitions("gram", "around").write.parquet(path)
         self.runs = [path]
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for run in old:
@@ -66,7 +66,10 @@ class FingerprintIndex:
 
 
 def repeated_ranges(batch: DataFrame, archive: DataFrame, index: FingerprintIndex, least: int) -> DataFrame:
-    """(doc_id, first, last): window starts of the batch whose words stand earlier in it or in the index."""
+    """(doc_id, first, last): window starts of the batch whose words stand earlier in it or in the index.
+
+    Batch and archive are `numbered` rows.
+    """
     places = index.merge(batch, least)
     later = R.as_ranges(places.where(F.col("kind") == R.LATER))
     firsts = places.where(F.col("kind") == R.FIRST)
@@ -90,10 +93,10 @@ def _digest(text: bytes, gone) -> tuple[int, int, str]:
 def substring_dedup(docs: DataFrame, batches: int = 2, index: FingerprintIndex | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document row, ingested in `batches` ranges of ids."""
     index = index or FingerprintIndex(docs.sparkSession)
-    texts = documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(R.NO_ID)))
-    low, high = texts.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    edges = [low + (high - low + 1) * k // batches for k in range(batches + 1)]
+    texts = R.numbered(docs)
+    shares = [k / batches for k in range(1, batches)] or [0.5]
+    low, inner, high = texts.agg(F.min("doc_id"), F.percentile_approx("doc_id", shares), F.max("doc_id")).first()
+    edges = [low, *inner[: batches - 1], high] if low is not None else [0] * (batches + 1)
     gone = None
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         if b > a or a == edges[0]:
@@ -101,4 +104,4 @@ def substring_dedup(docs: DataFrame, batches: int = 2, index: FingerprintIndex |
             found = repeated_ranges(batch, texts, index, a)
             gone = found if gone is None else gone.unionByName(found)
             index.compact()
-    return R.rebuilt(docs, gone, _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string", ["n_words", "n_removed", "kept_sha256"])
+    return R.rebuilt(texts, gone, _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string", ["n_words", "n_removed", "kept_sha256"])

@@ -12,8 +12,9 @@ task: its windows meet by two 64-bit hashes in a grouped minimum instead.
 
 Defined results: null and empty texts have no bytes; texts under 100 bytes lose
 nothing; cuts may fall inside a character, as texts are bytes here; rows that
-repeat an id and its text count as one document; a null id comes before all
-others; extra columns are ignored.
+repeat an id and its text count as one document, different texts of one id are
+documents of their own, and those without an id come before all others, by a hash
+of their texts; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -135,13 +136,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, text in enumerate(batch.column("text")):
             raw, wanted = (text.as_py() or "").encode(), batch.column("wanted")[i].values
             at = wanted.field("at").to_numpy()
-            start, _, count = R.unpack(at)
+            start, _, count = R.unpack(at & R.LOCAL)
             end = start + count - 1 + UNITS.window
-            fits = np.flatnonzero(end <= len(raw))
-            pieces = [raw[s:e] for s, e in zip(start[fits].tolist(), end[fits].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [wanted.field("gram").take(pa.array(fits)), pa.array(np.repeat(ids[i], len(fits))), pa.array(at[fits]), pa.array(pieces, pa.binary())], ["gram", "doc_id", "at", "context"]
-            )
+            pieces = [raw[s:e] for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([wanted.field("gram"), pa.array(np.repeat(ids[i], len(at))), pa.array(at), pa.array(pieces, pa.binary())], ["gram", "doc_id", "at", "context"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,16 +186,17 @@ def _digest(text: bytes, gone) -> tuple[int, int, int, str]:
 
 def suffix_dedup(docs: DataFrame, group_rows: int = 5000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document row."""
-    places = written(R.meet(R.anchor_rows(docs, UNITS)), "places")
+    texts = R.numbered(docs)
+    places = written(R.meet(R.anchor_rows(texts, UNITS)), "places")
     later = R.as_ranges(places.where(F.col("kind") == R.LATER))
     firsts = places.where(F.col("kind") == R.FIRST).select("gram", "doc_id", "at")
     crowded = written(firsts.groupBy("gram").count().where(F.col("count") > group_rows).select("gram"), "crowded-grams")
-    usual = R.surroundings(docs, firsts.join(crowded, "gram", "left_anti"), _contexts, CONTEXTS)
+    usual = R.surroundings(texts, firsts.join(crowded, "gram", "left_anti"), _contexts, CONTEXTS)
     sorted_ = usual.repartition("gram").sortWithinPartitions("gram", "doc_id", "at").mapInArrow(_compared, RANGES)
     gone = later.unionByName(sorted_)
     if crowded.limit(1).count():
-        windows = R.surroundings(docs, firsts.join(crowded, "gram", "left_semi"), R.window_rows(UNITS), R.WINDOWS)
+        windows = R.surroundings(texts, firsts.join(crowded, "gram", "left_semi"), R.window_rows(UNITS), R.WINDOWS)
         single = R.later_windows(windows)
         gone = gone.unionByName(single.select("doc_id", F.col("start").alias("first"), F.col("start").alias("last")))
     columns = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return R.rebuilt(docs, gone, _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", columns)
+    return R.rebuilt(texts, gone, _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", columns)

@@ -10,7 +10,6 @@ from ledgerline.llm import suffix_dedup as S
 from ledgerline.llm.line_dedup import LEAST, chunks, line_dedup
 from ledgerline.llm.minhash import near_duplicates
 from ledgerline.llm.substring_dedup import FingerprintIndex, repeated_ranges, substring_dedup
-from ledgerline.llm.common import documents
 
 from . import fixtures as X
 
@@ -75,7 +74,7 @@ def test_substring_dedup(spark):
 
 
 def test_index_is_incremental_and_compacts(spark):
-    docs = documents(X.docs(spark)).where("doc_id is not null")
+    docs = R.numbered(X.docs(spark).where("doc_id is not null"))
     index = FingerprintIndex(spark, fan_in=2)
     found = []
     for lo, hi in ((0, 40), (40, 100), (100, 140), (140, 10**6)):
@@ -150,3 +149,42 @@ def test_line_dedup(spark):
 def test_empty_tables(spark):
     for op in (near_duplicates, substring_dedup, S.suffix_dedup, line_dedup):
         assert op(X.empty(spark)).count() == 0
+
+
+def test_texts_of_one_id_are_apart(spark):
+    """Repeated ids and missing ones: each text keeps its own ranges."""
+    rng = np.random.default_rng(3)
+    fresh = lambda n: " ".join(map(str, rng.integers(10**6, 10**7, n)))
+    w, v, u, t = (fresh(n) for n in (40, 45, 50, 60))
+    rows = [(1, w), (2, w), (2, v), (2, v), (3, v + " " + u), (None, t), (None, u), (5, t)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in substring_dedup(docs).collect())
+    assert got == [(0, 50, 0), (0, 60, 0), (1, 40, 0), (2, 40, 40), (2, 45, 0), (2, 45, 0), (3, 95, 95), (5, 60, 60)]
+    got = sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in S.suffix_dedup(docs).collect())
+    size = lambda x: len(x.encode())
+    both = size(v + " " + u)
+    assert got == [(0, size(u), 0), (0, size(t), 0), (1, size(w), 0), (2, size(w), size(w)), (2, size(v), 0), (2, size(v), 0), (3, both, both - 1), (5, size(t), size(t))]
+
+
+def test_tasks_tell_what_they_have_met():
+    rng = np.random.default_rng(5)
+    met, seen = R.Met(), {}
+    for _ in range(6):
+        gram, around, doc, at = (rng.integers(0, k, 300) for k in (6, 3, 50, 20))
+        later = met.later(gram, around, doc, at)
+        for g, a, d, p, gone in zip(*(x.tolist() for x in (gram, around, doc, at, later)), strict=True):
+            seen.setdefault((g, a), []).append(((d, p), gone))
+    for places in seen.values():
+        least = min(p for p, _ in places)
+        assert all(p >= least for p, gone in places if gone) and not all(gone for p, gone in places if p == least)
+        assert sum(gone for _, gone in places) >= len(places) - 6
+
+
+@pytest.mark.parametrize("op,schema", [(substring_dedup, "n_words"), (S.suffix_dedup, "n_bytes")])
+def test_very_long_texts(spark, op, schema):
+    """A text over several slices, whose second half repeats a part of the first."""
+    rng = np.random.default_rng(9)
+    words = [str(x) for x in rng.integers(10**7, 10**8, 150_000)]
+    text = " ".join(words[:140_000] + words[20_000:120_000] + words[140_000:])
+    found = {r["doc_id"]: r for r in op(spark.createDataFrame([(1, text), (2, "short one")], "doc_id long, text string")).collect()}
+    assert found[1]["n_removed"] == (100_000 if schema == "n_words" else 9 * 100_000 + 1) and found[2]["n_removed"] == 0
