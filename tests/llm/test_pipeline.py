@@ -21,7 +21,7 @@ def test_stages(spark, tmp_path):
     assert [n for n, _ in P.STAGES] == ["quality rules", "line dedup", "MinHash near-dedup", "benchmark decontamination", "mixing"]
     checks = [
         lambda a, b: ids(b) == ids(quality_rules(a, labels).where("kept")),
-        lambda a, b: sorted((r["doc_id"], r["text"]) for r in b.collect()) == sorted((r["doc_id"], r["text"]) for r in line_dedup(a).collect()),
+        lambda a, b: sorted((r["doc_id"], r["text"]) for r in b.collect()) == sorted((r["doc_id"], r["text"]) for r in line_dedup(a, runs=True).collect()),
         lambda a, b: ids(b) == ids(near_duplicates(a).where("kept")),
         lambda a, b: ids(b) == sorted(set(ids(a)) - set(ids(contaminated(a, bench)))),
         lambda a, b: sorted(map(tuple, b.collect()), key=repr) == sorted(map(tuple, mix(a).collect()), key=repr),
@@ -43,3 +43,58 @@ def test_registered():
     names = set(entry.queries())
     assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()}
     assert "pipeline" in names
+
+
+def plain_lines(rows):
+    """Texts without the lines of pairs of lines that stand earlier."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        lines = [x + "\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] else [])
+        own, gone = [(k, x.encode().strip()) for k, x in enumerate(lines) if x.encode().strip()], set()
+        for (a, x), (b, y) in zip(own[:-1], own[1:]):
+            if (x, y) in seen:
+                gone |= set(range(a, b + 1))
+            seen.add((x, y))
+        out[i] = "".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_line_near_and_mixing_stages_against_plain_loops(spark):
+    """Stages over the whole small table, each against loops of its own."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(10**9)
+    rows = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    cut = plain_lines(rows.items())
+    lined = P.lines(spark, docs, FOLDER)
+    assert {r["doc_id"]: r["text"] or "" for r in lined.collect()} == cut
+
+    sets = {i: (lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()))(t.encode().lower().split()) for i, t in rows.items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b]) if a < b else 0
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    assert set(ids(P.near(spark, docs, FOLDER))) == {i for i in sets if find(i) == i}
+
+    mixed = P.mixture(spark, docs, FOLDER).collect()
+    size = {i: len(t.encode().split()) for i, t in rows.items()}
+    assert {r["doc_id"]: r["size"] for r in mixed} == size
+    for source in {r["source"] for r in mixed}:
+        own = [r for r in mixed if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 1 and all(r["taken"] <= 2 * r["size"] for r in own)
+
+
+def test_clashing_columns_pass_the_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr("*", "'a' gone", "33 n_lines", "'b' kept", "1.5d score", "'c' signature", "'d' others")
+    for _, stage in P.STAGES[:-1]:
+        docs_out = stage(spark, docs, FOLDER)
+        assert docs_out.columns == docs.columns
+        assert {(r["gone"], r["n_lines"], r["kept"]) for r in docs_out.collect()} == {("a", 33, "b")}
