@@ -243,14 +243,42 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(_sets(words), "doc_id long, elements binary")
 
 
+#: Links that one task makes a forest of.
+FOREST = 50_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node of a task's links with the least node they reach from it."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    nodes = [x for x in root if find(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["node", "other"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node that links reach from each linked node.
 
-    Each round gives a node the least label among its neighbours and then the
-    label of that label, so chains shorten geometrically.
+    Tasks first leave a forest of about FOREST links each, so that a large group
+    has at most a link for each node and task.  Each round then gives a node the
+    least label among its neighbours and then the label of that label, so chains
+    shorten geometrically.
     """
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct()
+    edges = written(links.where("a <> b").distinct(), "edges")
+    trees = edges.repartition(1 + edges.count() // FOREST).mapInArrow(_forest, "node long, other long")
+    trees = written(trees, "forest")
+    both = trees.union(trees.select("other", "node")).distinct()
     both = written(both, "graph")
+    forget(edges, trees)
     labels = written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     few = labels.count() <= BROADCAST_IDS
     side = F.broadcast if few else (lambda df: df.hint("merge"))
