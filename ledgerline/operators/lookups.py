@@ -64,7 +64,8 @@ def prefix_hierarchy(df: DataFrame, code: str, sections: DataFrame) -> DataFrame
 
 def explode_delimited(df: DataFrame, keys: list[str], column: str, out: str, separator: str = ",") -> DataFrame:
     """One row for each non-empty trimmed part of a delimited text; repeats stay."""
-    parts = df.select(*keys, F.explode(F.split(F.col(column), f"[{separator}]")).alias("_part"))
+    quoted = "".join(f"\\x{{{ord(c):x}}}" for c in separator)
+    parts = df.select(*keys, F.explode(F.split(F.col(column), quoted)).alias("_part"))
     return parts.select(*keys, F.trim("_part").alias(out)).where(F.col(out) != "")
 
 

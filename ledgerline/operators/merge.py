@@ -45,20 +45,41 @@ def upsert(target: DataFrame, incoming: DataFrame, key: list[str], by: list[str]
     return target.join(fresh.select(*key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
+def _paths(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts back the table that a swap had moved away before it broke off, and clears what swaps left."""
+    fs, make = _paths(spark, path)
+    left = [f.getPath() for f in (fs.globStatus(make(f"{path}.old-*")) or [])]
+    if left and not fs.exists(make(path)):
+        fs.rename(left.pop(), make(path))
+    for f in left:
+        fs.delete(f, True)
+
+
 def staged_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Writes beside a path and swaps, so that a table may be read while it is replaced."""
+    """Writes beside a path and swaps by two renames.
+
+    Between them there is no table at the path.  If the writer is lost there,
+    `recover` puts the old table back before the next write or `exists`, so
+    nothing of it is lost and the batch can run again.
+    """
     spark = df.sparkSession
     staging, old = f"{path}.staging-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place, before = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(old)
-    fs = place.getFileSystem(conf)
-    if fs.exists(place):
-        fs.rename(place, before)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), place):
+    recover(spark, path)
+    fs, make = _paths(spark, path)
+    if fs.exists(make(path)) and not fs.rename(make(path), make(old)):
+        raise OSError(f"could not move the table at {path}")
+    if not fs.rename(make(staging), make(path)):
+        recover(spark, path)
         raise OSError(f"could not move the new table to {path}")
-    fs.delete(before, True)
+    fs.delete(make(old), True)
 
 
 def replace_load(batches: DataFrame, key: list[str], by: list[str], path: str) -> None:
@@ -67,5 +88,7 @@ def replace_load(batches: DataFrame, key: list[str], by: list[str], path: str) -
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    """Whether there is a table, after `recover`."""
+    recover(spark, path)
+    fs, make = _paths(spark, path)
+    return fs.exists(make(path))

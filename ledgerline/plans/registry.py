@@ -23,7 +23,8 @@ from ..operators import quality as Q
 from ..sources import landing as S
 from ..sources.tables import scratch, table
 from ..streaming.ingest import ingest_once, stream_files, upsert_once
-from .specs import section_rows
+from . import marts
+from .specs import CAPITAL_SENTINEL, FAMILIES, section_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -92,9 +93,9 @@ def pending_files(spark, sf_dir):
     return S.pending_files(files, files.where("filename < 'm'"))
 
 
-@query(f"SELECT * FROM ({FILES_SQL}) WHERE directory <> (SELECT max(strftime(ts, '%Y-%m')) FROM events)")
+@query("SELECT DISTINCT strftime(ts, '%Y-%d') AS directory, event_type AS filename FROM events WHERE strftime(ts, '%Y-%d') <> (SELECT max(strftime(ts, '%Y-%d')) FROM events)")
 def force_reprocess(spark, sf_dir):
-    files = _files(spark, sf_dir)
+    files = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-dd").alias("directory"), F.col("event_type").alias("filename")).distinct()
     return S.force_reprocess(files, S.latest_delivery(files.withColumnRenamed("directory", "source_month")))
 
 
@@ -415,12 +416,12 @@ def exploded_lines(spark, sf_dir):
 
 SEARCH_SQL = """
     SELECT o_orderkey, o_orderpriority, c_custkey, c_name, c_mktsegment, c_nationkey, CASE WHEN c_nationkey < 20 THEN n_name END AS nation_name, CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS activity
-    FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus = 'O' AND o_orderkey % 2 = 1"""
+    FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW'"""
 
 
 def _search(spark, sf_dir):
     t = lambda name: table(spark, sf_dir, name)
-    active = t("orders").where("o_orderstatus = 'O' and o_orderkey % 2 = 1").select("o_orderkey", "o_orderpriority", F.col("o_custkey").alias("c_custkey"))
+    active = t("orders").where("o_orderstatus = 'O' and o_orderpriority <> '5-LOW'").select("o_orderkey", "o_orderpriority", F.col("o_custkey").alias("c_custkey"))
     out = active.join(t("customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"), "c_custkey")
     out = L.with_lookup(out, t("nation").where("n_nationkey < 20"), "c_nationkey", "nation_name", key="n_nationkey", label="n_name")
     return out.withColumn("activity", F.when(F.col("c_custkey") % 6 != 0, F.col("c_mktsegment"))).select(
@@ -609,12 +610,85 @@ def batch_latest(spark, sf_dir):
     return M.latest_by_key(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value"), ["user_id"], ["event_id"])
 
 
-@query("SELECT user_id, event_id % 97 AS slot, event_type FROM events GROUP BY ALL")
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def stream_upsert(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("user_id", (F.col("event_id") % 97).alias("slot"), "event_type").distinct()
-    path, out, checkpoint = scratch(spark, "events"), scratch(spark, "merged"), scratch(spark, "checkpoint")
-    events.repartition(3).write.parquet(path)
-    stream = stream_files(spark, path, events.schema)
-    upsert_once(stream, out, ["user_id", "slot", "event_type"], [], checkpoint)
-    upsert_once(stream, out, ["user_id", "slot", "event_type"], [], scratch(spark, "checkpoint"))  # all batches again
+    """Later events of a user come in later files and change the user's row; all batches run twice."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    path, out = scratch(spark, "events"), scratch(spark, "merged")
+    edges = [None, *events.agg(F.percentile_approx("event_id", [0.33, 0.67])).first()[0], None]
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = events.where((F.col("event_id") > low if low is not None else F.lit(True)) & (F.col("event_id") <= high if high is not None else F.lit(True)))
+        part.repartition("user_id").write.mode("append").parquet(path)
+    for _ in range(2):
+        upsert_once(stream_files(spark, path, events.schema, files_per_batch=8), out, ["user_id"], ["event_id"], scratch(spark, "checkpoint"))
     return spark.read.parquet(out)
+
+
+# The registry's own marts, over registry tables that stand on the given ones
+
+REGISTRY_SQL = """
+    WITH empresas AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, c_name AS razao_social, CASE WHEN c_custkey % 20 = 0 THEN 999999999999.0 ELSE c_acctbal END AS capital_social FROM customer),
+    estabelecimentos AS (
+      SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cnpj_basico, CAST(o_orderkey AS VARCHAR) AS cnpj_ordem, lpad(CAST(o_orderkey % 97 AS VARCHAR), 2, '0') AS cnpj_dv,
+        CASE WHEN o_orderkey % 11 = 0 THEN '00000000' WHEN o_orderkey % 13 = 0 THEN '12A' WHEN o_orderkey % 17 <> 0 THEN lpad(CAST((o_orderkey * 7919) % 100000000 AS VARCHAR), 8, '0') END AS cep,
+        CASE WHEN o_orderpriority LIKE '1%' THEN 'EX' ELSE 'SP' END AS uf, CASE WHEN o_orderkey % 7 > 0 THEN lpad(CAST(o_custkey % 40 AS VARCHAR), 3, '0') END AS pais, lpad(CAST(o_orderkey % 30 AS VARCHAR), 2, '0') AS motivo FROM orders),
+    simples AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, CASE WHEN c_nationkey < 12 THEN 'S' ELSE 'N' END AS opcao_pelo_simples FROM customer WHERE c_mktsegment <> 'BUILDING'),
+    codes AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS codigo, n_name AS descricao FROM nation),
+    reasons AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS codigo FROM nation)"""
+
+
+def _registry_tables(spark, sf_dir):
+    t = lambda name: table(spark, sf_dir, name)
+    pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    key, customer, codes = F.col("o_orderkey"), pad(F.col("c_custkey"), 8).alias("cnpj_basico"), t("nation")
+    cep = F.when(key % 11 == 0, "00000000").when(key % 13 == 0, "12A").when(key % 17 != 0, pad((key * 7919) % 100000000, 8))
+    places = t("orders").select(
+        pad(F.col("o_custkey"), 8).alias("cnpj_basico"), key.cast("string").alias("cnpj_ordem"), pad(key % 97, 2).alias("cnpj_dv"), cep.alias("cep"),
+        F.when(F.col("o_orderpriority").like("1%"), "EX").otherwise("SP").alias("uf"), F.when(key % 7 > 0, pad(F.col("o_custkey") % 40, 3)).alias("pais"), pad(key % 30, 2).alias("motivo_situacao_cadastral"),
+        F.lit("02").alias("situacao_cadastral"), F.lit(1).alias("identificador_matriz_filial"),
+    )
+    for c in FAMILIES["ESTABELE"].columns:
+        if c not in places.columns:
+            places = places.withColumn(c, F.lit(None).cast("string"))
+    companies = t("customer").select(
+        customer, F.col("c_name").alias("razao_social"), F.when(F.col("c_custkey") % 20 == 0, F.lit(CAPITAL_SENTINEL)).otherwise(F.col("c_acctbal")).alias("capital_social"),
+        *[F.lit(None).cast("string").alias(c) for c in ("natureza_juridica", "qualificacao_responsavel", "porte", "ente_federativo_responsavel")],
+    )
+    simples = t("customer").where("c_mktsegment <> 'BUILDING'").select(customer, F.when(F.col("c_nationkey") < 12, "S").otherwise("N").alias("opcao_pelo_simples"))
+    for c in FAMILIES["SIMPLESCSV"].columns:
+        if c not in simples.columns:
+            simples = simples.withColumn(c, F.lit(None).cast("string"))
+    countries, reasons = (codes.select(pad(F.col("n_nationkey"), n).alias("codigo"), F.col("n_name").alias("descricao")) for n in (3, 2))
+    some = {"paises": countries, "paises_enriched": countries, "motivos": reasons, "motivos_enriched": reasons}
+    rest = dict.fromkeys(("cnaes", "municipios", "qualificacoes_socios_enriched", "naturezas_juridicas", "portes_empresa", "situacoes_cadastrais", "indicadores_matriz_filial"), reasons)
+    return some | rest | {"empresas": companies, "estabelecimentos": places, "dados_simples": simples}
+
+
+@query(REGISTRY_SQL + """
+    SELECT cnpj_basico, cnpj_ordem, cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, razao_social, pais, codes.descricao AS pais_descricao, opcao_pelo_simples
+    FROM empresas JOIN estabelecimentos USING (cnpj_basico) LEFT JOIN codes ON codigo = pais LEFT JOIN simples USING (cnpj_basico)""")
+def company_detail_mart(spark, sf_dir):
+    """All 52 columns are made; the ones that the given tables fill are compared."""
+    mart = marts.empresa_detalhe(_registry_tables(spark, sf_dir))
+    return mart.select("cnpj_basico", "cnpj_ordem", "cnpj", "razao_social", "pais", "pais_descricao", "opcao_pelo_simples")
+
+
+FLAGS_SQL = REGISTRY_SQL + """,
+    flags AS (SELECT cnpj_basico, cnpj_ordem, cnpj_dv, cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, cep, capital_social,
+        CASE WHEN cep IS NULL THEN 'missing' WHEN cep = '00000000' THEN 'zero_sentinel' WHEN regexp_full_match(cep, '[0-9]{8}') THEN 'valid_shape' ELSE 'malformed' END AS cep_status, uf = 'EX' AS is_exterior,
+        pais IS NOT NULL AND pais NOT IN (SELECT codigo FROM codes) AS pais_lookup_missing, motivo NOT IN (SELECT codigo FROM reasons) AS motivo_lookup_missing, capital_social = 999999999999.0 AS capital_social_is_suspicious_sentinel
+      FROM estabelecimentos JOIN empresas USING (cnpj_basico))"""
+
+
+@query(FLAGS_SQL + " SELECT cnpj, cep_status, is_exterior, pais_lookup_missing, motivo_lookup_missing, capital_social_is_suspicious_sentinel FROM flags")
+def company_flags_mart(spark, sf_dir):
+    flags = marts.data_quality_flags(_registry_tables(spark, sf_dir))
+    return flags.select("cnpj", "cep_status", "is_exterior", "pais_lookup_missing", "motivo_lookup_missing", "capital_social_is_suspicious_sentinel")
+
+
+@query(FLAGS_SQL + """
+    SELECT cnpj, cep_status, cep AS cep_raw, CASE WHEN cep_status = 'valid_shape' THEN cep END AS cep_clean, CASE WHEN NOT capital_social_is_suspicious_sentinel THEN capital_social END AS capital_social_clean FROM flags""")
+def company_clean_mart(spark, sf_dir):
+    """The flags meet the establishments by their three keys."""
+    t = _registry_tables(spark, sf_dir)
+    return marts.estabelecimentos_clean(t, marts.data_quality_flags(t)).select("cnpj", "cep_status", "cep_raw", "cep_clean", "capital_social_clean")

@@ -274,3 +274,26 @@ def test_sample_bounds(spark):
 def test_percent(spark):
     rows = spark.createDataFrame([(1, 3), (0, 0)], "a long, b long").select(Q.percent(F.col("a"), F.col("b")).alias("p")).collect()
     assert [r["p"] for r in rows] == ["33.3333%", "n/a"]
+
+
+def test_a_swap_that_breaks_off_loses_nothing(spark, tmp_path):
+    """The writer is lost between the two renames: the next batch finds the old table."""
+    path, source = str(tmp_path / "table"), str(tmp_path / "batches")
+    spark.range(100).selectExpr("id k", "'old' v").write.parquet(path)
+    (tmp_path / "table").rename(tmp_path / "table.old-1")
+    spark.createDataFrame([(1, "new"), (200, "new")], "k long, v string").write.parquet(source)
+    stream = stream_files(spark, source, spark.read.parquet(source).schema)
+    upsert_once(stream, path, ["k"], [], str(tmp_path / "checkpoint"))
+    rows = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 101 and rows[1] == rows[200] == "new" and rows[2] == "old"
+    assert not list(tmp_path.glob("table.*"))
+
+
+def test_separators_and_composed_letters(spark):
+    df = spark.createDataFrame([(1, "a^b]c^ d "), (2, "a||b|c")], "k long, t string")
+    parts = lambda sep: [(r["k"], r["x"]) for r in L.explode_delimited(df, ["k"], "t", "x", sep).orderBy("k", "x").collect()]
+    assert parts("^") == [(1, "a"), (1, "b]c"), (1, "d"), (2, "a||b|c")]
+    assert parts("]") == [(1, "a^b"), (1, "c^ d"), (2, "a||b|c")]
+    assert parts("||") == [(1, "a^b]c^ d"), (2, "a"), (2, "b|c")]
+    names = spark.createDataFrame([("Jose\u0301  SA\u0303O c\u0327a",), ("Jos\u00e9 S\u00c3O \u00e7a",), (None,)], "n string")
+    assert [r[0] for r in names.select(N.canonical_text(F.col("n"))).collect()] == ["jos\u00e9 s\u00e3o \u00e7a", "jos\u00e9 s\u00e3o \u00e7a", ""]
