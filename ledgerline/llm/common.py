@@ -16,9 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set."""
+    """The folder that driver and executors share; on one machine, a local one where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = f"file://{tempfile.gettempdir()}/ledgerline-{spark.sparkContext.applicationId}"
     return folder.rstrip("/")
 
