@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of spark.checkpoint.dir; a local one only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/ledgerline-{spark.sparkContext.applicationId}"
+    """A new path in the folder of spark.checkpoint.dir; on one machine, a local one where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"file://{tempfile.gettempdir()}/ledgerline-{spark.sparkContext.applicationId}"
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
