@@ -142,44 +142,70 @@ class Model:
         weights["embed"] = weights["embed"][of]
         return cls(pair_logs(np.zeros((CLASSES + 1, CLASSES)), single), weights, of)
 
+    def projections(self) -> np.ndarray:
+        """Query (scaled), key and value weights side by side, for one product over all positions."""
+        w = self.weights
+        return np.hstack([w["query"] * _SCALE, w["key"], w["value"]])
+
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Inputs of the layer, queries with keys and values, attention, its means, and logits.
+
+        Products run window by window, so a window's logits are the same to the last bit wherever it stands in a batch.
+        """
         w = self.weights
         h = w["embed"][x] + w["place"]
-        q, k, v = h @ w["query"], h @ w["key"], h @ w["value"]
-        s = np.matmul(q, k.transpose(0, 2, 1)) * np.float32(WIDTH**-0.5) + _CAUSAL
-        np.exp(np.minimum(s, 40, out=s), out=s)
-        s *= 1 / np.matmul(s, _COLUMN)
-        z = h + np.matmul(s, v)
-        logits = z @ w["out"]
+        qkv = h @ self.projections()
+        q, k, v = thirds(qkv)
+        s = np.matmul(q, k.transpose(0, 2, 1))
+        s += _CAUSAL
+        if s.max() > 40:
+            np.minimum(s, 40, out=s)
+        np.exp(s, out=s)
+        s /= s @ _COLUMN
+        mean = np.matmul(s, v)
+        logits = (h + mean) @ w["out"]
         logits += self.pairs[self.of[x]]
         # pairs are log probabilities and corrections to them stay small, so no maximum is taken out
-        return h, q, k, v, s, z, logits
+        return h, qkv, s, mean, logits
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Logs of each target's probability, and of all classes' that a word can start with."""
         logits = self.forward(x)[-1]
-        own = np.take_along_axis(logits, y[..., None], -1)[..., 0]
+        own = logits.reshape(-1, CLASSES)[np.arange(y.size), y.ravel()].reshape(y.shape)
         sums = np.log(np.exp(logits, out=logits) @ groups)
         return own - sums[..., 0], sums[..., 1] - sums[..., 0]
 
     def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
-        w = self.weights
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        h, q, k, v, a, z, p = self.forward(x)
+        w, windows = self.weights, (*x.shape, WIDTH)
+        h, qkv, a, mean, p = self.forward(x)
+        q, k, v = thirds(qkv)
+        h, mean, p = (m.reshape(-1, m.shape[-1]) for m in (h, mean, p))
         np.exp(p, out=p)
-        share = (live / max(live.sum(), 1)).astype(np.float32)
-        p *= (share / (p @ _ONES)[..., 0])[..., None]
-        flat(p)[np.arange(y.size), y.ravel()] -= share.ravel()
+        share = (live.ravel() / max(live.sum(), 1)).astype(np.float32)
+        p *= (share / (p @ _ONES)[:, 0])[:, None]
+        p[np.arange(y.size), y.ravel()] -= share
         dz = p @ w["out"].T
-        da = np.matmul(dz, v.transpose(0, 2, 1))
-        da -= np.matmul(da * a, _COLUMN)
+        of_mean = dz.reshape(windows)
+        da = np.matmul(of_mean, v.transpose(0, 2, 1))
+        # a row's mean of da under the attention is what its gradient makes of the mean of values
+        da -= np.einsum("ij,ij->i", dz, mean).reshape(*x.shape, 1)
         da *= a
-        da *= np.float32(WIDTH**-0.5)
-        dv, dq, dk = np.matmul(a.transpose(0, 2, 1), dz), np.matmul(da, k), np.matmul(da.transpose(0, 2, 1), q)
-        dh = dz + dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T
-        cells = (x.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-        embed = np.bincount(cells, weights=dh.ravel(), minlength=w["embed"].size).reshape(w["embed"].shape).astype(dh.dtype)
-        return {"embed": embed, "place": dh.sum(0), "query": flat(h).T @ flat(dq), "key": flat(h).T @ flat(dk), "value": flat(h).T @ flat(dv), "out": flat(z).T @ flat(p)}
+        dqkv = np.empty_like(qkv)
+        dq, dk, dv = thirds(dqkv)
+        np.matmul(da, k, out=dq)
+        np.matmul(da.transpose(0, 2, 1), q, out=dk)
+        np.matmul(a.transpose(0, 2, 1), of_mean, out=dv)
+        dqkv = dqkv.reshape(-1, 3 * WIDTH)
+        dh = dz + dqkv @ self.projections().T
+        into = h.T @ dqkv
+        query, key, value = (into[:, c : c + WIDTH] for c in range(0, 3 * WIDTH, WIDTH))
+        symbols = x.ravel().astype(np.uint16)  # all ids fit, and short integers sort by radix
+        order = np.argsort(symbols, kind="stable")
+        symbols = symbols[order]
+        head = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1]))
+        embed = np.zeros_like(w["embed"])
+        embed[symbols[head]] = np.add.reduceat(dh[order], head)
+        return {"embed": embed, "place": dh.reshape(windows).sum(0), "query": query * _SCALE, "key": key, "value": value, "out": (h + mean).T @ p}
 
     def train(self, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], single: np.ndarray, rate: float = 0.01) -> tuple[int, np.ndarray, np.ndarray]:
         """Adam over batches of windows, moving only embeddings that a batch has.
@@ -191,13 +217,16 @@ class Model:
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
         seen, times, pairs = 0, np.zeros(len(self.of), np.int64), np.zeros((CLASSES + 1) * CLASSES)
+        where = np.zeros(len(self.of), np.int64)
         for step, (x, y, live) in enumerate(batches, 1):
             seen += int(live.sum())
-            used, local = np.unique(x, return_inverse=True)
+            used = np.flatnonzero(np.bincount(x.ravel(), minlength=1))
+            where[used] = np.arange(len(used))
+            local = where[x]
             times[used] += np.bincount(local.ravel(), minlength=len(used))
             some = Model(self.pairs, self.weights | {"embed": self.weights["embed"][used]}, self.of[used])
             pace = np.float32(rate / (1 + step / 200))
-            for name, g in some.gradients(local.reshape(x.shape), y, live).items():
+            for name, g in some.gradients(local, y, live).items():
                 at = used if name == "embed" else slice(None)
                 m, v = first[name][at], second[name][at]
                 m += 0.1 * (g - m)
@@ -230,18 +259,62 @@ def pair_logs(counts: np.ndarray, single: np.ndarray) -> np.ndarray:
     return np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32)
 
 
+def thirds(qkv: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Queries, keys and values of each window."""
+    return qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
+
+
+_SCALE = np.float32(WIDTH**-0.5)
 _ONES, _COLUMN = np.ones((CLASSES, 1), np.float32), np.ones((WINDOW, 1), np.float32)
 _CAUSAL = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
 
 
-def sequences(encode, opens: np.ndarray, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+class Speller:
+    """Ids of words; a task keeps those of words that it has spelled, told apart by hash."""
+
+    def __init__(self, ranks: dict[bytes, int], opens: np.ndarray, most: int = 1 << 20):
+        self.encode, self.opens, self.most = encoder(ranks), opens, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.starts, self.lengths, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        ids = np.array(self.encode(" " + b" ".join(words).decode("utf-8", "replace")), np.int32)
+        starts = np.flatnonzero(self.opens[ids])
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.starts = np.insert(self.starts, place, starts + len(self.ids))
+        self.lengths = np.insert(self.lengths, place, np.diff(np.append(starts, len(ids))))
+        self.ids = np.append(self.ids, ids)
+
+    def spell(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each word, and all ids."""
+        if not len(hashes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > self.most:
+            self.forget()
+        place = np.searchsorted(self.hashes, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = place < len(self.hashes)
+        new[inside] = self.hashes[place[inside]] != distinct[inside]
+        if new.any():
+            raw = low.tobytes()
+            self.learn([raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)], distinct[new])
+            place = np.searchsorted(self.hashes, distinct)
+        place = place[which]
+        lengths = self.lengths[place]
+        edge = np.cumsum(lengths)
+        return lengths, self.ids[np.repeat(self.starts[place] - edge + lengths, lengths) + np.arange(edge[-1])]
+
+
+def sequences(speller: Speller, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     """Word rows, hashes and lengths in ids; all rows' ids with an end each, and offsets."""
     low = K.LOWER[buf]
     starts, ends, rows = K.word_spans(low, at)
     hashes = K.span_hashes(low, starts, ends)
-    text = b" ".join(np.insert(low, at[1:-1], 32).tobytes().split())
-    ids = np.array(encode(" " + text.decode("utf-8", "replace")) if text else [], np.int32)
-    lengths = np.diff(np.append(np.flatnonzero(opens[ids]), len(ids)))
+    lengths, ids = speller.spell(low, starts, ends, hashes)
     n = len(at) - 1
     sizes = np.bincount(rows, weights=lengths, minlength=n).astype(np.int64)
     out = np.empty(len(ids) + n, np.int32)
@@ -335,12 +408,12 @@ def train_attention(docs: DataFrame, tools, start: Model, single: np.ndarray, sh
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given, (begin, single) = tools.value, shared.value
-        encode = encoder(given.ranks)
+        speller = Speller(given.ranks, given.opens)
         model = Model(begin.pairs, {k: v.copy() for k, v in begin.weights.items()}, begin.of)
 
         def stream():
             for _, _, _, b, a in _each_slice(batches):
-                *_, ids, offsets = sequences(encode, given.opens, b, a)
+                *_, ids, offsets = sequences(speller, b, a)
                 x, y, live, _ = windows(ids, offsets, IDS, 0)
                 order = np.random.default_rng(len(x)).permutation(len(x))
                 for lo in range(0, len(x), batch_windows):
@@ -416,14 +489,14 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = tools.value
-        encode = encoder(given.ranks)
+        speller = Speller(given.ranks, given.opens)
         hashes, counts, model, class_words, all_known = head.value
         groups = np.stack([np.ones(CLASSES), given.starting()], 1).astype(np.float32)
         log_class = np.log(np.maximum(class_words, 1.0))
         with np.errstate(divide="ignore"):
             log_count = np.log(np.append(counts, 0))
         for batch, lo, hi, b, a in _each_slice(batches):
-            rows, words_, lengths, spelled, offsets = sequences(encode, given.opens, b, a)
+            rows, words_, lengths, spelled, offsets = sequences(speller, b, a)
             n = hi - lo
             x, y, live, _ = windows(spelled, offsets, IDS)
             y = model.of[y]

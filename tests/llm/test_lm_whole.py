@@ -23,7 +23,7 @@ def tools():
 
 
 def test_class_pairs_are_those_of_the_texts():
-    _, encode, opens = tools()
+    ranks, encode, opens = tools()
     classes, _ = M.id_classes(np.random.default_rng(4).integers(0, 9, M.IDS).astype(float), opens)
     want, texts = collections.Counter(), [(r[1] or "").encode() for r in X.rows()]
     for raw in texts:
@@ -32,7 +32,7 @@ def test_class_pairs_are_those_of_the_texts():
         own = [M.START, *(int(classes[i]) for i in ids)]
         want.update(zip(own[:-1], own[1:], strict=True))
     at = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    *_, ids, offsets = M.sequences(encode, opens, np.frombuffer(b"".join(texts), np.uint8), at)
+    *_, ids, offsets = M.sequences(M.Speller(ranks, opens), np.frombuffer(b"".join(texts), np.uint8), at)
     x, y, live, _ = M.windows(ids, offsets, M.IDS, 0)
     single = np.ones(M.CLASSES)
     model = M.Model.start(single, np.append(classes, M.START))
@@ -42,6 +42,17 @@ def test_class_pairs_are_those_of_the_texts():
     assert seen == len(ids) == sum(want.values())
 
 
+def test_spelling_is_kept_from_text_to_text():
+    ranks, encode, opens = tools()
+    speller = M.Speller(ranks, opens, most=4)
+    for text in ("", "one two", "two three one two", "a b c d e f", "one", "\u00e9t\u00e9 two"):
+        low = np.frombuffer(text.encode(), np.uint8)
+        starts, ends, _ = M.K.word_spans(low, np.array([0, len(low)]))
+        lengths, ids = speller.spell(low, starts, ends, M.K.span_hashes(low, starts, ends))
+        assert ids.tolist() == [i for w in text.split() for i in encode(" " + w)]
+        assert lengths.tolist() == [len(encode(" " + w)) for w in text.split()]
+
+
 def test_ids_of_one_class_learn_apart():
     of = np.append(np.arange(M.CLASSES) % 7, M.START)
     single = np.ones(M.CLASSES)
