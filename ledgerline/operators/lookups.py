@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 #: Rows of a code table that may be broadcast; the largest has some 6,000.
 LOOKUP_ROWS = 100_000
+#: Bytes of its values as text, and a few for each value.
+LOOKUP_BYTES = 64 << 20
 
 
-def small(dim: DataFrame, rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Broadcast a table if a bounded count shows that it is small; else leave the join to Spark."""
-    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
+def small(dim: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> DataFrame:
+    """Broadcast a table if a bounded look shows that its rows and bytes are few; else leave the join to Spark."""
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in dim.columns), F.lit(0))
+    found = dim.select(width.cast("long").alias("width")).limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
+    return F.broadcast(dim) if found[0] <= rows and found[1] <= size else dim
 
 
 def with_lookup(df: DataFrame, dim: DataFrame, code: str, out: str, key: str = "codigo", label: str = "descricao") -> DataFrame:

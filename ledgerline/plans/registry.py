@@ -253,10 +253,6 @@ def manifest_totals(spark, sf_dir):
 
 # Lookups
 
-ENRICHED_SQL = """
-    SELECT CAST(n_nationkey AS VARCHAR) AS codigo, n_name AS descricao, 'receita_monthly' AS source_kind, NULL AS source_url, false AS is_supplemental, 'high' AS confidence, NULL AS notes FROM nation WHERE n_nationkey < 20
-    UNION ALL SELECT CAST(n_nationkey AS VARCHAR), upper(n_name) || '*', 'official', 'https://example.org/codes', true, CASE WHEN n_nationkey % 2 = 0 THEN 'high' ELSE 'medium' END, NULL FROM nation WHERE n_nationkey BETWEEN 20 AND 22"""
-
 
 def _monthly(spark, sf_dir):
     return table(spark, sf_dir, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").cast("string").alias("codigo"), F.col("n_name").alias("descricao"))
@@ -270,15 +266,27 @@ def _enriched(spark, sf_dir):
     return L.enrich_domain(_monthly(spark, sf_dir), extra, "official", "https://example.org/codes")
 
 
-@query(ENRICHED_SQL)
+@query("""
+    SELECT CAST(p_partkey AS VARCHAR) AS codigo, p_name AS descricao, 'receita_monthly' AS source_kind, NULL AS source_url, false AS is_supplemental, 'high' AS confidence, NULL AS notes FROM part WHERE p_size <= 40
+    UNION ALL SELECT CAST(p_partkey AS VARCHAR), upper(p_name) || '*', 'official', 'https://example.org/codes', true, CASE WHEN p_size > 45 THEN 'high' ELSE 'medium' END, p_brand FROM part WHERE p_size > 40""")
 def enrich_domain(spark, sf_dir):
-    return _enriched(spark, sf_dir)
+    parts = table(spark, sf_dir, "part").withColumn("codigo", F.col("p_partkey").cast("string"))
+    extra = parts.where("p_size > 30").select(
+        "codigo", F.concat(F.upper("p_name"), F.lit("*")).alias("descricao"), F.when(F.col("p_size") > 45, "high").otherwise("medium").alias("confidence"), F.col("p_brand").alias("notes")
+    )
+    return L.enrich_domain(parts.where("p_size <= 40").select("codigo", F.col("p_name").alias("descricao")), extra, "official", "https://example.org/codes")
 
 
-@query("SELECT count(*) AS gaps FROM (SELECT n_nationkey, CASE WHEN n_nationkey % 3 <> 0 THEN n_name END AS name FROM nation WHERE n_nationkey >= 23)")
+SUPERSET_SQL = "(SELECT o_custkey AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS p FROM orders WHERE o_orderstatus {})"
+
+
+@query(f"""
+    SELECT count(*) AS gaps, count(*) FILTER (p IS NULL) AS null_gaps FROM {SUPERSET_SQL.format("= 'O'")} s
+    WHERE NOT EXISTS (SELECT 1 FROM {SUPERSET_SQL.format("<> 'O'")} l WHERE l.k = s.k AND l.p IS NOT DISTINCT FROM s.p)""")
 def superset_check(spark, sf_dir):
-    names = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 3 != 0, F.col("n_name")).alias("name"))
-    return L.superset_gaps(names.where("n_nationkey < 23"), names).agg(F.count("*").alias("gaps"))
+    rows = table(spark, sf_dir, "orders").select("o_orderstatus", "o_custkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("p"))
+    larger, smaller = (rows.where(where).drop("o_orderstatus") for where in ("o_orderstatus <> 'O'", "o_orderstatus = 'O'"))
+    return L.superset_gaps(larger, smaller).agg(F.count("*").alias("gaps"), F.count_if(F.col("p").isNull()).alias("null_gaps"))
 
 
 @query("""

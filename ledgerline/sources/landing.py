@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +17,8 @@ from ..functions.validate import Rule, domain_rule, format_rule, length_rule, re
 from ..plans.specs import FAMILIES, NO_DOCUMENT, PARTNER_IDENTITY, UFS, Family
 
 CORRUPT = "_corrupt_record"
+#: Bytes of a member that a task holds at a time.
+BLOCK = 1 << 20
 # Beginnings of archive names.
 ARCHIVES = [
     ("SIMPLES", "SIMPLESCSV"), ("CNAE", "CNAECSV"), ("MOTI", "MOTICSV"), ("MUNIC", "MUNICCSV"), ("NATUR", "NATJUCSV"), ("PAIS", "PAISCSV"), ("QUALIFICAC", "QUALSCSV"),
@@ -166,36 +168,42 @@ def force_reprocess(ledger: DataFrame, directory: str) -> DataFrame:
 
 
 def extract_archives(paths: DataFrame, target: str) -> DataFrame:
-    """(archive, member, bytes, crc_ok) of each wanted member, written under `target`, a folder that all tasks share.
+    """(archive, member, file, bytes, crc_ok) of each wanted member, written under `target`, a folder that all tasks share.
 
-    One row of `paths` (column path) is one archive; members stream through a
-    fixed buffer; members of no known family are left out.
+    One row of `paths` (column path) is one archive. Paths and target may be plain
+    or of any store that Arrow opens (file, hdfs, s3, gs). Members stream through a
+    fixed buffer into a folder of their archive, so equal names in two archives don't
+    meet; a file gets its name when it is whole. Members of no known family are left
+    out; a broken member has a null file.
     """
-    schema = "archive string, member string, bytes long, crc_ok boolean"
+    schema = "archive string, member string, file string, bytes long, crc_ok boolean"
     patterns = ("SIMPLES", *FAMILIES)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
         import uuid
 
-        for batch in batches:
-            out = []
-            for path in batch["path"]:
-                with zipfile.ZipFile(path) as archive:
-                    for member in archive.namelist():
-                        if not any(p in member.upper() for p in patterns):
-                            continue
-                        name = os.path.join(target, os.path.basename(member))
-                        size, ok, part = 0, True, f"{name}.{uuid.uuid4().hex}.part"
-                        try:
-                            with archive.open(member) as source, open(part, "wb") as sink:
-                                while block := source.read(io.DEFAULT_BUFFER_SIZE * 128):
-                                    size += sink.write(block)
-                            os.replace(part, name)
-                        except zipfile.BadZipFile:
-                            ok = False
-                            os.remove(part)
-                        out.append((path, member, size, ok))
-            yield pd.DataFrame(out, columns=["archive", "member", "bytes", "crc_ok"])
+        from pyarrow.fs import FileSystem
+
+        store, base = FileSystem.from_uri(target)
+        for path in (path for batch in batches for path in batch["path"]):
+            own, place = FileSystem.from_uri(path)
+            folder = f"{place.rsplit('/', 1)[-1].rsplit('.', 1)[0]}-{zlib.crc32(path.encode()):08x}"
+            store.create_dir(f"{base}/{folder}")
+            with own.open_input_file(place) as opened, zipfile.ZipFile(opened) as archive:
+                for member in archive.namelist():
+                    if not any(p in member.upper() for p in patterns):
+                        continue
+                    name = "_".join(p for p in member.split("/") if p not in ("", ".", ".."))
+                    size, ok, part = 0, True, f"{base}/{folder}/_{uuid.uuid4().hex}"  # scans pass over such names
+                    try:
+                        with archive.open(member) as source, store.open_output_stream(part) as sink:
+                            while block := source.read(BLOCK):
+                                size += sink.write(block)
+                        store.move(part, f"{base}/{folder}/{name}")
+                    except (zipfile.BadZipFile, zlib.error):
+                        ok = False
+                        store.delete_file(part)
+                    file = f"{target.rstrip('/')}/{folder}/{name}" if ok else None
+                    yield pd.DataFrame([(path, member, file, size, ok)], columns=["archive", "member", "file", "bytes", "crc_ok"])
 
     return paths.mapInPandas(run, schema)

@@ -243,11 +243,33 @@ def test_archives(spark, tmp_path):
     for k in range(2):
         with zipfile.ZipFile(tmp_path / f"{k}.zip", "w") as z:
             z.writestr(f"K{k}.EMPRECSV", "x" * 1000)
+            z.writestr("in/K.SOCIOCSV", str(k))
             z.writestr("readme.txt", "no")
     paths = spark.createDataFrame([(str(tmp_path / f"{k}.zip"),) for k in range(2)], "path string")
     rows = S.extract_archives(paths, str(target)).collect()
-    assert sorted((r["member"], r["bytes"], r["crc_ok"]) for r in rows) == [("K0.EMPRECSV", 1000, True), ("K1.EMPRECSV", 1000, True)]
-    assert sorted(p.name for p in target.iterdir()) == ["K0.EMPRECSV", "K1.EMPRECSV"]
+    assert sorted((r["member"], r["bytes"], r["crc_ok"]) for r in rows) == [("K0.EMPRECSV", 1000, True), ("K1.EMPRECSV", 1000, True)] + 2 * [("in/K.SOCIOCSV", 1, True)]
+    assert sorted(r["file"] for r in rows) == sorted(str(p) for p in target.rglob("*") if p.is_file())
+    same = [r["file"] for r in rows if r["member"] == "in/K.SOCIOCSV"]
+    assert sorted(r["value"] for r in spark.read.text(same).collect()) == ["0", "1"]
+    again = S.extract_archives(paths.selectExpr("concat('file://', path) as path"), f"file://{target}").where("bytes = 1000").collect()
+    assert sorted(r["value"] for r in spark.read.text([r["file"] for r in again]).collect()) == 2 * ["x" * 1000]
+
+
+def test_broken_archive_member(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        z.writestr("K.EMPRECSV", "abcdefgh" * 50)
+    raw = (tmp_path / "b.zip").read_bytes()
+    (tmp_path / "b.zip").write_bytes(raw.replace(b"abcdefgh", b"abcdefgX", 1))
+    rows = S.extract_archives(spark.createDataFrame([(str(tmp_path / "b.zip"),)], "path string"), str(tmp_path / "out")).collect()
+    assert [(r["crc_ok"], r["file"]) for r in rows] == [(False, None)]
+    assert not [p for p in (tmp_path / "out").rglob("*") if p.is_file()]
+
+
+def test_wide_lookups_are_not_broadcast(spark):
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) as label", "array(id, null) as more")
+    hint = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hint(L.small(wide)) and not hint(L.small(wide, size=5_000)) and not hint(L.small(wide, rows=9))
+    assert hint(L.small(wide.where("id < 0")))
 
 
 def test_streams(spark, tmp_path):
