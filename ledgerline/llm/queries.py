@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontamination import contaminated
+from .hard_negatives import hard_negatives
 from .line_dedup import line_dedup
 from .lm_scoring import lm_scores
 from .minhash import near_duplicates
@@ -18,6 +19,7 @@ from .secrets import scan_secrets
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
+from .whitening import whiten
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +63,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a seventh of the labels are shifted, so that labels and vectors disagree
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash, op2_toxicity, op3_mixing, op4_decontamination, op5_lm_scoring, op6_substring_dedup, op7_line_dedup, op8_quality_rules, op9_secrets, op10_suffix_dedup,
+        op11_hard_negatives, op13_whitening,
     )
 }
 
@@ -105,4 +118,17 @@ ORACLE_SQL: dict[str, str] = {
         c AS (SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM f),
         k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
         SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
+    "op11_hard_negatives": """
+        WITH q AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT a.vec_id AS anchor, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+          FROM q a JOIN q b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+        c AS (
+          SELECT p.anchor AS anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+            s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+          FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+        SELECT * FROM c WHERE rank <= 3""",
 }
