@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontamination import contaminated
 from .hard_negatives import hard_negatives
+from .html_extract import extract
 from .line_dedup import line_dedup
 from .lm_scoring import lm_scores
 from .minhash import near_duplicates
@@ -69,6 +70,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -77,7 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash, op2_toxicity, op3_mixing, op4_decontamination, op5_lm_scoring, op6_substring_dedup, op7_line_dedup, op8_quality_rules, op9_secrets, op10_suffix_dedup,
-        op11_hard_negatives, op13_whitening,
+        op11_hard_negatives, op12_html, op13_whitening,
     )
 }
 
