@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import string
-import unicodedata
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,23 +43,19 @@ def strip_nul(c: Column) -> Column:
     return F.translate(c, "\u0000", "")
 
 
-#: Grave, acute, circumflex, tilde, diaeresis, ring, caron and cedilla.
-MARKS = "\u0300\u0301\u0302\u0303\u0308\u030a\u030c\u0327"
-
-
 def composed(c: Column) -> Column:
-    """Letters a-z with one of MARKS after them as the one composed letter, where there is one."""
-    out = c
-    for letter in string.ascii_lowercase:
-        for mark in MARKS:
-            if len(one := unicodedata.normalize("NFC", letter + mark)) == 1:
-                out = F.replace(out, F.lit(letter + mark), F.lit(one))
-    return F.when(c.rlike(f"[{MARKS}]"), out).otherwise(c)
+    """A text in Unicode's composed form, NFC.
+
+    Spark ships the library that does it (ICU, for collations) but no function, so it is
+    called by name.  Texts without a character from U+0300 on are composed as they are.
+    """
+    made = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
+    return F.when(c.rlike("[^\u0000-\u02ff]"), made).otherwise(c)
 
 
 def canonical_text(c: Column) -> Column:
-    """Composed letters, lower case, outer white space cut, inner runs of it as one space; null as empty."""
-    return F.trim(F.regexp_replace(composed(F.lower(F.coalesce(c, F.lit("")))), r"(?U)\s+", " "))
+    """Composed (NFC), outer white space cut, inner runs of it as one space, lower case; null as empty."""
+    return F.lower(F.trim(F.regexp_replace(composed(F.coalesce(c, F.lit(""))), "(?U)[\\s\\x1c-\\x1f]+", " ")))
 
 
 def composite_key(*columns: Column) -> Column:

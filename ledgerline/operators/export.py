@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .merge import exists
-
 SCHEMA_VERSION = "2"
 
 
@@ -17,7 +15,8 @@ def export_table(df: DataFrame, path: str) -> None:
 
 def is_exported(spark: SparkSession, path: str) -> bool:
     """Whether a table is complete: a half-written folder is not."""
-    return exists(spark, f"{path}/_SUCCESS")
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def export_all(tables: dict[str, DataFrame], folder: str, resume: bool = True) -> list[str]:
@@ -69,6 +68,16 @@ def save_mart(df: DataFrame, table: str) -> None:
     df.sparkSession.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def column_statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """(column_name, low, high, nulls, distinct) as the catalog has them; text has no low and high."""
+    rows = []
+    for c in columns:
+        found = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} {c}").collect()}
+        known = lambda k: None if found.get(k) in (None, "NULL") else found[k]  # noqa: E731, B023
+        rows.append((c, known("min"), known("max"), *(int(v) if (v := known(k)) else None for k in ("num_nulls", "distinct_count"))))
+    return spark.createDataFrame(rows, "column_name string, low string, high string, nulls long, distinct long")
+
+
 def write_search_layout(df: DataFrame, path: str, region: str, name: str, key: list[str], parts: int) -> None:
     """Partitioned by region and in order of name, so that files and row groups prune by both."""
     ordered = df.repartitionByRange(parts, region, name).sortWithinPartitions(region, name, *key)

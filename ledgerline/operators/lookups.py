@@ -111,10 +111,10 @@ def count_rollups(df: DataFrame, kinds: dict[str, list[str]], representatives: d
 
 
 def count_of(rollup: DataFrame, kind: str, **keys: object) -> DataFrame:
-    """The row of a rollup for one bucket, or none."""
+    """The row of a rollup for one bucket, that of nulls too, or none."""
     out = rollup.where(F.col("kind") == kind)
     for name, value in keys.items():
-        out = out.where(F.col(name) == F.lit(value))
+        out = out.where(F.col(name).eqNullSafe(F.lit(value)))
     return out.select("total")
 
 

@@ -1,10 +1,8 @@
-"""Keys, deduplication, upsert and staged replacement on plain tables."""
+"""Keys, deduplication and upsert of rows."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,8 +27,17 @@ def latest_by_key(df: DataFrame, key: list[str], by: list[str]) -> DataFrame:
     return best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
+def _same_key(left: DataFrame, right: DataFrame, key: list[str]) -> tuple[DataFrame, Column]:
+    """The right side's keys under other names, and the test that keys are equal, nulls too."""
+    side = right.withColumnsRenamed({c: f"_key_{k}" for k, c in enumerate(key)})
+    on = F.lit(True)
+    for k, c in enumerate(key):
+        on = on & left[c].eqNullSafe(F.col(f"_key_{k}"))
+    return side, on
+
+
 def upsert(target: DataFrame, incoming: DataFrame, key: list[str], by: list[str], now: Column | None = None) -> DataFrame:
-    """The target with incoming rows put over it; the last row by `by` wins among incoming ones.
+    """The target with incoming rows put over it; the last row by `by` wins among incoming ones; null keys are keys like others.
 
     With `now`, inserted rows get it as data_criacao, changed ones keep theirs,
     and both get it as data_atualizacao.
@@ -38,57 +45,11 @@ def upsert(target: DataFrame, incoming: DataFrame, key: list[str], by: list[str]
     fresh = latest_by_key(incoming, key, by)
     values = [c for c in fresh.columns if c not in key]
     if now is not None:
-        known = target.select(*key, F.col("data_criacao").alias("_made"))
-        fresh = fresh.join(known, key, "left").withColumn("data_criacao", F.coalesce("_made", now)).withColumn("data_atualizacao", now).drop("_made")
+        known, on = _same_key(fresh, target.select(*key, F.col("data_criacao").alias("_made")), key)
+        kept = [c for c in fresh.columns if c not in ("data_criacao", "data_atualizacao")]
+        fresh = fresh.join(known, on, "left").withColumn("data_criacao", F.coalesce("_made", now)).withColumn("data_atualizacao", now).select(*kept, "data_criacao", "data_atualizacao")
     if not values:  # only keys: nothing to update
-        return target.unionByName(fresh.join(target.select(*key), key, "left_anti"))
-    return target.join(fresh.select(*key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
-
-
-def _paths(spark: SparkSession, path: str):
-    """The file system of a path, and a maker of its paths."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Puts back the table that a swap had moved away before it broke off, and clears what swaps left."""
-    fs, make = _paths(spark, path)
-    left = [f.getPath() for f in (fs.globStatus(make(f"{path}.old-*")) or [])]
-    if left and not fs.exists(make(path)):
-        fs.rename(left.pop(), make(path))
-    for f in left:
-        fs.delete(f, True)
-
-
-def staged_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Writes beside a path and swaps by two renames.
-
-    Between them there is no table at the path.  If the writer is lost there,
-    `recover` puts the old table back before the next write or `exists`, so
-    nothing of it is lost and the batch can run again.
-    """
-    spark = df.sparkSession
-    staging, old = f"{path}.staging-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
-    recover(spark, path)
-    fs, make = _paths(spark, path)
-    if fs.exists(make(path)) and not fs.rename(make(path), make(old)):
-        raise OSError(f"could not move the table at {path}")
-    if not fs.rename(make(staging), make(path)):
-        recover(spark, path)
-        raise OSError(f"could not move the new table to {path}")
-    fs.delete(make(old), True)
-
-
-def replace_load(batches: DataFrame, key: list[str], by: list[str], path: str) -> None:
-    """Replaces a table by its batches; duplicates inside and across batches fall to the last by `by`."""
-    staged_overwrite(latest_by_key(batches, key, by), path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a table, after `recover`."""
-    recover(spark, path)
-    fs, make = _paths(spark, path)
-    return fs.exists(make(path))
+        known, on = _same_key(fresh, target.select(*key), key)
+        return target.unionByName(fresh.join(known, on, "left_anti"))
+    known, on = _same_key(target, fresh.select(*key), key)
+    return target.join(known, on, "left_anti").unionByName(fresh, allowMissingColumns=True)

@@ -65,3 +65,29 @@ def sample_rows(df: DataFrame, percent_: float, seed: int) -> DataFrame:
     if not 0 < percent_ <= 100:  # also false for nan
         raise ValueError(f"sample percentage {percent_} is not in (0, 100]")
     return df.sample(fraction=percent_ / 100, seed=seed)
+
+
+def hash_sample(df: DataFrame, key: list[str], percent_: float, salt: str = "sample") -> DataFrame:
+    """The rows whose key's hash is among the lowest so many percent, in (0, 100].
+
+    The same keys are taken at every run, in every order of rows and in every engine that
+    has MD5; all rows of a key go together, and a greater percentage takes all of a smaller one's.
+    """
+    if not 0 < percent_ <= 100:
+        raise ValueError(f"sample percentage {percent_} is not in (0, 100]")
+    text = F.concat_ws(":", F.lit(salt), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    return df.where(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") < F.lit(int(percent_ / 100 * 2**32)))
+
+
+def cleared(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
+    """(column, cleared): how many values each change turns into null, all in one pass."""
+    row = df.agg(*[F.count_if(F.col(c).isNotNull() & change.isNull()).alias(f"_{k}") for k, (c, change) in enumerate(changes.items())])
+    pairs = ", ".join(f"'{c}', _{k}" for k, c in enumerate(changes))
+    return row.select(F.expr(f"stack({len(changes)}, {pairs}) as (column, cleared)"))
+
+
+def reconciled(rollup: DataFrame, base: DataFrame) -> DataFrame:
+    """(kind, total, agrees): whether the buckets of each kind add up to the rows that were rolled up."""
+    whole = base.agg(F.count("*").alias("_all")).withColumn("_one", F.lit(1))  # one row
+    sums = rollup.groupBy("kind").agg(F.sum("total").alias("total")).withColumn("_one", F.lit(1))
+    return sums.join(F.broadcast(whole), "_one").select("kind", "total", (F.col("total") == F.col("_all")).alias("agrees"))

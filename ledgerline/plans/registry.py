@@ -20,6 +20,7 @@ from ..operators import export as X
 from ..operators import lookups as L
 from ..operators import merge as M
 from ..operators import quality as Q
+from ..operators import versions as V
 from ..sources import landing as S
 from ..sources.tables import scratch, table
 from ..streaming.ingest import ingest_once, stream_files, upsert_once
@@ -222,8 +223,9 @@ def dedup_by_key(spark, sf_dir):
 @query(LINE_DEDUP % "")
 def replace_load(spark, sf_dir):
     path = scratch(spark, "replaced")
-    M.replace_load(table(spark, sf_dir, "lineitem"), LINE_KEY, ["l_shipdate"], path)
-    return spark.read.parquet(path)
+    for lines in (table(spark, sf_dir, "lineitem").where("l_partkey % 2 = 1"), table(spark, sf_dir, "lineitem")):  # the second replaces the first
+        V.replace_load(lines, path, LINE_KEY, ["l_shipdate"])
+    return V.read(spark, path)
 
 
 @query(f"""
@@ -628,8 +630,8 @@ def stream_upsert(spark, sf_dir):
         part = events.where((F.col("event_id") > low if low is not None else F.lit(True)) & (F.col("event_id") <= high if high is not None else F.lit(True)))
         part.repartition("user_id").write.mode("append").parquet(path)
     for _ in range(2):
-        upsert_once(stream_files(spark, path, events.schema, files_per_batch=8), out, ["user_id"], ["event_id"], scratch(spark, "checkpoint"))
-    return spark.read.parquet(out)
+        upsert_once(stream_files(spark, path, events.schema, files_per_batch=8), out, ["user_id"], ["event_id"], scratch(spark, "checkpoint"), buckets=16)
+    return V.read(spark, out)
 
 
 # The registry's own marts, over registry tables that stand on the given ones
@@ -681,20 +683,20 @@ def company_detail_mart(spark, sf_dir):
     return mart.select("cnpj_basico", "cnpj_ordem", "cnpj", "razao_social", "pais", "pais_descricao", "opcao_pelo_simples")
 
 
-FLAGS_SQL = REGISTRY_SQL + """,
+MART_FLAGS_SQL = REGISTRY_SQL + """,
     flags AS (SELECT cnpj_basico, cnpj_ordem, cnpj_dv, cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, cep, capital_social,
         CASE WHEN cep IS NULL THEN 'missing' WHEN cep = '00000000' THEN 'zero_sentinel' WHEN regexp_full_match(cep, '[0-9]{8}') THEN 'valid_shape' ELSE 'malformed' END AS cep_status, uf = 'EX' AS is_exterior,
         pais IS NOT NULL AND pais NOT IN (SELECT codigo FROM codes) AS pais_lookup_missing, motivo NOT IN (SELECT codigo FROM reasons) AS motivo_lookup_missing, capital_social = 999999999999.0 AS capital_social_is_suspicious_sentinel
       FROM estabelecimentos JOIN empresas USING (cnpj_basico))"""
 
 
-@query(FLAGS_SQL + " SELECT cnpj, cep_status, is_exterior, pais_lookup_missing, motivo_lookup_missing, capital_social_is_suspicious_sentinel FROM flags")
+@query(MART_FLAGS_SQL + " SELECT cnpj, cep_status, is_exterior, pais_lookup_missing, motivo_lookup_missing, capital_social_is_suspicious_sentinel FROM flags")
 def company_flags_mart(spark, sf_dir):
     flags = marts.data_quality_flags(_registry_tables(spark, sf_dir))
     return flags.select("cnpj", "cep_status", "is_exterior", "pais_lookup_missing", "motivo_lookup_missing", "capital_social_is_suspicious_sentinel")
 
 
-@query(FLAGS_SQL + """
+@query(MART_FLAGS_SQL + """
     SELECT cnpj, cep_status, cep AS cep_raw, CASE WHEN cep_status = 'valid_shape' THEN cep END AS cep_clean, CASE WHEN NOT capital_social_is_suspicious_sentinel THEN capital_social END AS capital_social_clean FROM flags""")
 def company_clean_mart(spark, sf_dir):
     """The flags meet the establishments by their three keys."""

@@ -47,16 +47,28 @@ def family_of_archive(name: Column) -> Column:
     return out
 
 
+#: How landing files are read.
+OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "encoding": "ISO-8859-1", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+
+
+def raw_schema(columns: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
+
+
 def read_strings(spark: SparkSession, path: str | list[str], columns: tuple[str, ...]) -> DataFrame:
     """All fields as strings, by position; empty ones are null; records of another width carry their raw line.
 
     Column pruning is off, else a reader that skips fields misses wrong widths.
+    """
+    return tidy_strings(spark.read.schema(raw_schema(columns)).options(**OPTIONS).csv(path), columns)
+
+
+def tidy_strings(read: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Records as they were read, with the file's name and null for empty fields.
+
     The raw line goes with a data column, as Spark refuses to read it alone.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
-    reader = spark.read.schema(schema).option("sep", ";").option("quote", '"').option("escape", '"').option("encoding", "ISO-8859-1")
-    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false")
-    rows = reader.csv(path).withColumn("file_name", F.col("_metadata.file_name"))
+    rows = read.withColumn("file_name", F.col("_metadata.file_name"))
     there = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
     return rows.withColumn(CORRUPT, F.when(there, F.col(CORRUPT))).withColumns({c: N.empty_to_null(F.col(c)) for c in columns})
 
@@ -150,6 +162,12 @@ def latest_delivery(deliveries: DataFrame, wanted: str | None = None) -> str:
     return month
 
 
+def write_delivery(df: DataFrame, path: str, month: str) -> None:
+    """Puts a month's rows into a table that is partitioned by source_month; that month's rows are replaced, no other's."""
+    rows = df.withColumn("source_month", F.lit(month))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("source_month").parquet(path)
+
+
 LEDGER_KEY = ["directory", "filename"]
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from ledgerline.plans import registry
+from ledgerline.plans import registry, stores  # noqa: F401 (stores registers its queries)
 
 from .compare import duck, same
 
