@@ -224,11 +224,15 @@ def _classes(heads: bool):
     return run
 
 
-def meet(rows: DataFrame, heads: bool = False) -> DataFrame:
-    """PLACES of rows that meet by gram; a sorted stream keeps one row in memory, however many share a gram."""
+def meet(rows: DataFrame, heads: bool = False, buckets: int | None = None) -> DataFrame:
+    """PLACES of rows that meet by gram; a sorted stream keeps one row in memory, however many share a gram.
+
+    With `buckets`, rows are dealt as Spark deals a table of so many buckets of gram,
+    and rows that meet nothing take a gram by their document.
+    """
     dealt = F.when(F.col("kind") == LATER, F.xxhash64("doc_id")).otherwise(F.col("gram"))
-    ordered = rows.repartition(dealt).sortWithinPartitions("kind", "gram", "around", "doc_id", "at")
-    return ordered.mapInArrow(_classes(heads), PLACES)
+    dealt_rows = rows.withColumn("gram", dealt).repartition(buckets, "gram") if buckets else rows.repartition(dealt)
+    return dealt_rows.sortWithinPartitions("kind", "gram", "around", "doc_id", "at").mapInArrow(_classes(heads), PLACES)
 
 
 def surroundings(texts: DataFrame, firsts: DataFrame, make, schema: str) -> DataFrame:

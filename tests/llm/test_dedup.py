@@ -9,7 +9,7 @@ from ledgerline.llm import repeats as R
 from ledgerline.llm import suffix_dedup as S
 from ledgerline.llm.line_dedup import LEAST, chunks, line_dedup
 from ledgerline.llm.minhash import near_duplicates
-from ledgerline.llm.substring_dedup import FingerprintIndex, repeated_ranges, substring_dedup
+from ledgerline.llm.substring_dedup import FingerprintIndex, _stored_order, repeated_ranges, substring_dedup
 
 from . import fixtures as X
 
@@ -65,7 +65,7 @@ def windows_removed(units, size):
 def test_substring_dedup(spark):
     units = [(i, t.encode().split()) for i, t in ordered()]
     removed = windows_removed(units, 20)
-    for batches in (1, 3):
+    for batches in (1, 7):
         found = X.by_id(substring_dedup(X.docs(spark), batches=batches))
         for i, w in units:
             kept = b" ".join(x for x, gone in zip(w, removed[i]) if not gone)
@@ -89,6 +89,35 @@ def test_index_is_incremental_and_compacts(spark):
     assert spread(set().union(*found)) == spread({tuple(r) for r in repeated_ranges(docs, docs, whole, 0).collect()})
 
 
+def test_an_index_is_opened_again(spark, tmp_path):
+    """A second session has the folder alone: it goes on, and equals one run over all."""
+    docs, folder = X.docs(spark).where("doc_id is not null"), f"file://{tmp_path}/index"
+    early, late = docs.where("doc_id < 70"), docs.where("doc_id >= 70")
+    first = substring_dedup(early, batches=2, index=FingerprintIndex(spark, folder, fan_in=1, buckets=3)).collect()
+    again = FingerprintIndex(spark, folder, fan_in=1)
+    assert again.buckets == 3 and len(again.runs) == 1 and again.rows().count() > 0
+    second = substring_dedup(late, batches=3, index=again, archive=early).collect()
+    assert len(again.runs) == 1
+    whole = {tuple(r) for r in substring_dedup(docs, batches=1).collect()}
+    assert {tuple(r) for r in first + second} == whole
+
+
+def test_runs_are_merge_joined_where_they_lie(spark):
+    """A batch's grams move; the runs do not, and are not sorted again."""
+    docs = R.numbered(X.docs(spark).where("doc_id is not null"))
+    index = FingerprintIndex(spark, fan_in=9, buckets=4)
+    for lo, hi in ((0, 60), (60, 120)):
+        repeated_ranges(docs.where(f"doc_id >= {lo} and doc_id < {hi}"), docs, index, lo)
+    assert len(index.runs) == 2
+    grams = spark.range(5).selectExpr("id as gram")
+    with _stored_order(spark):
+        plan = index.known(grams)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Bucketed: true") == 2
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Sort [") == 2  # both for the grams
+    some = index.rows().select("gram").limit(7)
+    assert index.known(some).select("gram").distinct().count() == some.distinct().count()
+
+
 @pytest.mark.parametrize("group_rows", [5000, 1])
 def test_suffix_dedup(spark, group_rows):
     units = [(i, t.encode()) for i, t in ordered()]
