@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +15,30 @@ LOOKUP_BYTES = 64 << 20
 
 
 def small(dim: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> DataFrame:
-    """Broadcast a table if a bounded look shows that its rows and bytes are few; else leave the join to Spark."""
+    """Broadcast a table if a bounded look shows that its rows and bytes are few; else leave the join to Spark.
+
+    A table that has been looked at keeps its hint through selections, and one that
+    is part of the plan itself, as static dictionaries are, tells its rows: neither is
+    looked at again.
+    """
+    plan = dim._jdf.queryExecution()
+    node = plan.analyzed()
+    while node.nodeName() != "ResolvedHint" and node.children().size() == 1:
+        node = node.children().head()
+    if node.nodeName() == "ResolvedHint":
+        return dim
+    if plan.optimizedPlan().nodeName() == "LocalRelation" and plan.optimizedPlan().data().size() <= rows:
+        return F.broadcast(dim)
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in dim.columns), F.lit(0))
     found = dim.select(width.cast("long").alias("width")).limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
     return F.broadcast(dim) if found[0] <= rows and found[1] <= size else dim
 
 
+def looked_at(tables: dict[str, DataFrame], names: list[str]) -> dict[str, DataFrame]:
+    """The tables, with each of the named code tables looked at once, however many joins use it."""
+    return tables | {name: small(tables[name]) for name in dict.fromkeys(names)}
+
+
 def with_lookup(df: DataFrame, dim: DataFrame, code: str, out: str, key: str = "codigo", label: str = "descricao") -> DataFrame:
     """Adds a code's label as `out`; unknown and null codes keep their row with a null label."""
     side = small(dim.select(F.col(key).alias("_key"), F.col(label).alias(out)))
@@ -35,7 +54,12 @@ def lookup_missing_flag(df: DataFrame, dim: DataFrame, code: str, out: str, key:
 
 
 def static_dictionary(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """Rows that are part of the plan."""
+    kinds = spark.createDataFrame([], schema).schema
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    data = pa.table({f.name: pa.array(list(c), arrow[f.dataType.simpleString()]) for f, c in zip(kinds, columns, strict=True)})
+    return spark.createDataFrame(data, kinds)
 
 
 def enrich_domain(monthly: DataFrame, supplement: DataFrame, kind: str, url: str, monthly_kind: str = "receita_monthly") -> DataFrame:

@@ -50,14 +50,16 @@ def _cnpj() -> Column:
 
 def empresa_detalhe(t: Tables) -> DataFrame:
     """One row for each establishment of a company, with nine labels and the tax regime."""
-    out = t["empresas"].join(t["estabelecimentos"], "cnpj_basico")
-    for dim, code, label in (
+    labels = (
         ("cnaes", "cnae_fiscal_principal", "cnae_fiscal_principal_descricao"), ("municipios", "municipio", "municipio_nome"),
         ("motivos_enriched", "motivo_situacao_cadastral", "motivo_situacao_cadastral_descricao"), ("paises_enriched", "pais", "pais_descricao"),
         ("qualificacoes_socios_enriched", "qualificacao_responsavel", "qualificacao_responsavel_descricao"), ("naturezas_juridicas", "natureza_juridica", "natureza_juridica_descricao"),
         ("portes_empresa", "porte", "porte_descricao"), ("situacoes_cadastrais", "situacao_cadastral", "situacao_cadastral_descricao"),
         ("indicadores_matriz_filial", "identificador_matriz_filial", "identificador_matriz_filial_descricao"),
-    ):
+    )
+    t = L.looked_at(t, [dim for dim, _, _ in labels])
+    out = t["empresas"].join(t["estabelecimentos"], "cnpj_basico")
+    for dim, code, label in labels:
         out = L.with_lookup(out, t[dim], code, label)
     out = out.join(t["dados_simples"], "cnpj_basico", "left")
     company = ["natureza_juridica", "natureza_juridica_descricao", "qualificacao_responsavel", "qualificacao_responsavel_descricao", "capital_social", "porte", "porte_descricao", "ente_federativo_responsavel"]
@@ -75,6 +77,7 @@ def socios_detalhe(t: Tables) -> DataFrame:
         ("identificadores_socio", "identificador_de_socio"), ("qualificacoes_socios_enriched", "qualificacao_do_socio"), ("paises_enriched", "pais"),
         ("qualificacoes_socios_enriched", "qualificacao_do_representante_legal"), ("faixas_etarias", "faixa_etaria"),
     ]
+    t = L.looked_at(t, [dim for dim, _ in pairs])
     for dim, code in pairs:
         out = L.with_lookup(out, t[dim], code, f"{code}_descricao")
     labelled = {code for _, code in pairs}
@@ -114,6 +117,7 @@ def estabelecimentos_clean(t: Tables, flags: DataFrame) -> DataFrame:
 
 
 def socios_quality_flags(t: Tables) -> DataFrame:
+    t = L.looked_at(t, ["paises", "qualificacoes_socios", "paises_enriched", "qualificacoes_socios_enriched"])
     out = t["socios"]
     for suffix, table in (("", ""), ("_enriched", "_enriched")):
         for dim, code, name, ignore in (

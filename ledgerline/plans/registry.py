@@ -20,7 +20,8 @@ from ..operators import export as X
 from ..operators import lookups as L
 from ..operators import merge as M
 from ..operators import quality as Q
-from ..operators import versions as V
+from ..operators.versions import read as read_version
+from ..operators.versions import replace_load as replace_version
 from ..sources import landing as S
 from ..sources.tables import scratch, table
 from ..streaming.ingest import ingest_once, stream_files, upsert_once
@@ -224,8 +225,8 @@ def dedup_by_key(spark, sf_dir):
 def replace_load(spark, sf_dir):
     path = scratch(spark, "replaced")
     for lines in (table(spark, sf_dir, "lineitem").where("l_partkey % 2 = 1"), table(spark, sf_dir, "lineitem")):  # the second replaces the first
-        V.replace_load(lines, path, LINE_KEY, ["l_shipdate"])
-    return V.read(spark, path)
+        replace_version(lines, path, LINE_KEY, ["l_shipdate"])
+    return read_version(spark, path)
 
 
 @query(f"""
@@ -631,7 +632,7 @@ def stream_upsert(spark, sf_dir):
         part.repartition("user_id").write.mode("append").parquet(path)
     for _ in range(2):
         upsert_once(stream_files(spark, path, events.schema, files_per_batch=8), out, ["user_id"], ["event_id"], scratch(spark, "checkpoint"), buckets=16)
-    return V.read(spark, out)
+    return read_version(spark, out)
 
 
 # The registry's own marts, over registry tables that stand on the given ones

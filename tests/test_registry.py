@@ -2,7 +2,7 @@
 
 import pytest
 
-from ledgerline.plans import registry, stores  # noqa: F401 (stores registers its queries)
+from ledgerline.plans import registry, registry_marts, stores  # noqa: F401 (modules register their queries)
 
 from .compare import duck, same
 

@@ -110,6 +110,27 @@ def test_a_join_that_doubles_rows_is_refused(spark, tmp_path):
     assert [tuple(r) for r in K.repeated_keys(doubled, ["codigo"]).collect()] == [("1", 2)]
 
 
+def test_a_code_table_is_looked_at_once(spark):
+    """Its hint lasts through selections; static dictionaries need no look; a hint on a part of a plan is not one on the whole."""
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("looks"))
+    spark.sparkContext.setJobGroup("looks", "looks")
+    fixed = L.static_dictionary(spark, [("1", "a"), (None, None)], "codigo string, descricao string")
+    assert fixed.count() == 2 and L.static_dictionary(spark, [], "codigo string, n int").count() == 0
+    before = jobs()
+    L.small(fixed)
+    assert jobs() == before
+    once = L.looked_at({"d": spark.range(5).selectExpr("string(id) as codigo", "'x' as descricao")}, ["d", "d"])["d"]
+    after = jobs()
+    assert after > before
+    L.with_lookup(L.with_lookup(spark.range(3).selectExpr("string(id) as c"), once, "c", "one"), once, "c", "two")
+    L.lookup_missing_flag(spark.range(3).selectExpr("string(id) as c"), once, "c", "gone")
+    assert jobs() == after
+    part = L.enrich_domain(once, L.static_dictionary(spark, [("7", "b", "high", None)], "codigo string, descricao string, confidence string, notes string"), "k", "u")
+    L.small(part)
+    assert jobs() > after
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_counts_that_ran_twice_are_counted_again(spark, tmp_path, monkeypatch):
     """A task that runs again may be observed twice: that alone refuses nothing."""
 
