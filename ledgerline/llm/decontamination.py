@@ -11,11 +11,12 @@ passage's terms in order of their greatest weight anywhere, those after the long
 prefix that can't reach the threshold alone.  All passages of a batch go at once.
 
 A candidate counts when the item's question and its answer both overlap the
-passage.  A part overlaps when `overlap` of its weight (each word weighs its idf)
+passage.  A part's overlap is the share of its weight (each word weighs its idf) that
 stands in order in a stretch of the passage at most a quarter longer than the
-part, and two words; from `FORGIVE` words on, a part may also lack one word of any
-weight.  So an edit costs the words it touches, whatever the part's length.  The
-answer is an item's last sentence, or the second half of its words if it has one
+part, and two words.  Either both parts have `overlap`, where from `FORGIVE` words on
+a part may lack one word of any weight; or both have half, and together they
+have `overlap` of the item's weight.  So an edit costs the words it touches, and several
+may fall into one part.  The answer is an item's last sentence, or the second half of its words if it has one
 sentence.  ASCII punctuation at a word's ends is no part of the word.
 
 Equal texts are one item of the index.  A pass over the documents holds at most
@@ -47,6 +48,7 @@ SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answ
 FOUND = SCHEMA.replace("item_id", "text_key")
 BLOCK = 8
 FORGIVE = 4
+HALF = 0.5
 K1, B = 1.2, 0.75
 
 
@@ -153,17 +155,20 @@ class Index:
         self.anywhere = np.maximum.reduceat(self.most, self.first[:-1])
         self.parts = [tuple((word_hashes(p), np.array([idf[w] for w in p])) for p in (q, a)) for _, q, a in items]
 
-    def share(self, item: int, side: int, words: np.ndarray, overlap: float) -> float | None:
-        """Share of a part's weight in order in the words; None if too little."""
-        part, weights = self.parts[item][side]
-        if not len(part):
-            return 1.0
-        total = float(weights.sum())
-        least = overlap * total
-        if len(part) >= FORGIVE:
-            least = min(least, total - float(weights.max()))
-        found = in_order(part, weights, words, least)
-        return min(1.0, found / total) if found else None
+    def shares(self, item: int, words: np.ndarray, overlap: float) -> list[float] | None:
+        """Shares of the question's and the answer's weight in order in the words; None if too little of either or of both."""
+        out, sums, strict = [], [], True
+        for part, weights in self.parts[item]:
+            total = float(weights.sum())
+            forgiven = total - float(weights.max()) if len(part) >= FORGIVE else total
+            found = in_order(part, weights, words, min(HALF * total, overlap * total, forgiven)) if len(part) else 0.0
+            if len(part) and not found:
+                return None
+            strict &= found >= min(overlap * total, forgiven) - 1e-9
+            out.append(min(1.0, found / total) if total else 1.0)
+            sums.append((found, total))
+        together = sum(f for f, _ in sums) >= overlap * sum(t for _, t in sums) - 1e-9
+        return out if strict or together else None
 
     def bounds(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of passage and block whose block maxima reach the threshold; (passage, term) are distinct and in order."""
@@ -231,8 +236,8 @@ class Index:
                 words = hashes[first[r] + k0 * stride : first[r] + end]
                 for k in np.flatnonzero(scores >= threshold):
                     item = int(block * BLOCK + k)
-                    shares = [self.share(item, side, words, overlap) for side in (0, 1)]
-                    if None not in shares:
+                    shares = self.shares(item, words, overlap)
+                    if shares:
                         out.append((r, item, float(scores[k]), *shares))
             lo = hi
         return out

@@ -43,6 +43,29 @@ def test_every_single_edit_is_found(spark):
     assert found == want
 
 
+def test_three_edits_anywhere(spark):
+    """Random words of real items are replaced, and other texts stand around: nearly all are found, and no clean text."""
+    rng = random.Random(5)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    rest = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) > 400").orderBy("doc_id").collect()]
+    docs, want = [], {}
+    for edits in (0, 1, 2, 3):
+        for i, text in items:
+            for _ in range(3):
+                words = text.split()
+                for at in rng.sample(range(len(words)), min(edits, len(words))):
+                    words[at] = "edit" + "".join(rng.choices("abcdef", k=5))
+                want[len(docs)] = (edits, i)
+                docs.append((len(docs), " ".join(["lead in", *words, "and out"])))
+    clean = len(docs)
+    docs += [(clean + k, " ".join(rng.sample(t.split(), len(t.split())))) for k, t in enumerate(rest)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = {(r["doc_id"], r["item_id"]) for r in D.contaminated(table, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    recall = [np.mean([(d, i) in found for d, (e, i) in want.items() if e == edits]) for edits in range(4)]
+    assert recall[0] == 1 and recall[1] >= 0.98 and recall[2] >= 0.95 and recall[3] >= 0.9, recall
+    assert not [d for d, _ in found if d >= clean]
+
+
 def brute(part, weights, words):
     best = 0.0
     size = len(part) + len(part) // 4 + 2
