@@ -11,8 +11,8 @@ which a source's budget ends is found on those sums, and only its documents are
 sorted.
 
 Defined results: null or empty texts have size 0 and take 0; a null source is a
-source of its own, last in order; a source with no words has target 0; repeated
-rows count each; extra columns are ignored; empty tables give empty results.
+source of its own, last in order; a source with no words has target 0; a null id
+takes its key from the text; repeated rows count each; extra columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -38,16 +38,19 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(K.count_words(b, a), K.row_counts(_junk[b], a)) for _, _, b, a in K.slices(buf, at)]
         size, junk = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
         weight = 1.0 - 0.9 * junk / np.maximum(at[1:] - at[:-1], 1)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(size), pa.array(weight)], ["doc_id", "source", "size", "weight"])
+        kept = ["doc_id", "source", "salt"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(size), pa.array(weight)], [*kept, "size", "weight"])
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, quality weight, key and key bin of each row.
 
     The quality weight is 1, less nine tenths of the part of the bytes that are in JUNK.
+    Where there is no id, the text's hash stands for it, so such rows are dealt over the bins too.
     """
-    out = documents(docs, F.col("source").cast("string").alias("source")).mapInArrow(_measured, "doc_id long, source string, size long, weight double")
-    unit = (F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") + 1.0) / F.lit(2.0**48 + 1)
+    salt = F.when(F.col("doc_id").isNull(), F.concat(F.lit(":"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))).alias("salt")
+    out = documents(docs, F.col("source").cast("string").alias("source"), salt).mapInArrow(_measured, "doc_id long, source string, salt string, size long, weight double")
+    unit = (F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.col("salt")))), 1, 12), 16, 10).cast("double") + 1.0) / F.lit(2.0**48 + 1)
     out = out.withColumn("key", -F.log(unit) / F.col("weight"))
     # exp(-key) is spread almost evenly over 0..1, so bins hold about as many rows each
     return out.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int"))

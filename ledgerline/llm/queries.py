@@ -100,10 +100,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, len(sh) AS n_shingles, component_id, component_id = doc_id AS kept FROM n JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) ON x = doc_id""",
     "op3_mixing": f"""
         WITH d AS (
-          SELECT doc_id, source, len({WORDS_SQL.format("coalesce(text, '')")}) AS size, strlen(coalesce(text, '')) AS bytes,
+          SELECT doc_id, source, text, len({WORDS_SQL.format("coalesce(text, '')")}) AS size, strlen(coalesce(text, '')) AS bytes,
             length(coalesce(text, '')) - length(translate(coalesce(text, ''), '{JUNK}', '')) AS junk FROM documents),
         k AS (
-          SELECT *, -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 1)::DOUBLE / 281474976710657::DOUBLE) / (1::DOUBLE - 0.9::DOUBLE * junk / greatest(bytes, 1)) AS key FROM d),
+          SELECT *, -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), ':' || md5(coalesce(text, '')))), 1, 12) AS BIGINT) + 1)::DOUBLE / 281474976710657::DOUBLE) / (1::DOUBLE - 0.9::DOUBLE * junk / greatest(bytes, 1)) AS key FROM d),
         b AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
         w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS weight FROM b),
         t AS (

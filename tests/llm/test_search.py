@@ -152,3 +152,9 @@ def test_bounds_are_those_of_all_blocks():
     for threshold in (0.7, 0.3):
         want = {(p, b) for p in range(60) for b in range(index.blocks) if dense[term[passage == p], b].sum() >= threshold - 1e-4}
         assert set(zip(*(x.tolist() for x in index.bounds(passage, term, threshold)), strict=True)) == want and want
+
+
+def test_rows_without_an_id_have_keys_of_their_own(spark):
+    rows = [(None, "w " * (k % 7 + 1) + str(k), "s") for k in range(300)] + [(k, "a b", "s") for k in range(50)]
+    got = sized(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("doc_id is null")
+    assert got.select("key").distinct().count() == 300 and got.select("bin").distinct().count() > 100
