@@ -8,7 +8,7 @@ import numpy as np
 class Trees:
     """Boosted trees of a fixed depth; a node's children stand at 2k+1 and 2k+2."""
 
-    def __init__(self, bins: int = 48, rounds: int = 60, depth: int = 5, rate: float = 0.2, ridge: float = 1.0, least: float = 4.0):
+    def __init__(self, bins: int = 48, rounds: int = 80, depth: int = 6, rate: float = 0.2, ridge: float = 1.0, least: float = 4.0):
         self.bins, self.rounds, self.depth, self.rate, self.ridge, self.least = bins, rounds, depth, rate, ridge, least
         self.cuts: list[np.ndarray] = []
         self.feature: list[np.ndarray] = []
@@ -30,6 +30,18 @@ class Trees:
         self.base = float(np.log(rate / (1 - rate)))
         at = np.full(len(y), self.base)
         rng = np.random.default_rng(len(y))
+        every = np.arange(len(y))
+
+        def histograms(rows: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+            """Sums of g and h by feature, node and bin."""
+            out = np.empty((2, len(some), width, self.bins))
+            place = at * self.bins
+            for k, f in enumerate(some):
+                cell = place + b[rows, f]
+                for side, v in enumerate((g, h)):
+                    out[side, k] = np.bincount(cell, v[rows], width * self.bins).reshape(width, -1)
+            return out
+
         for _ in range(self.rounds):
             # each tree looks at half of the features
             some = np.sort(rng.choice(b.shape[1], (b.shape[1] + 1) // 2, replace=False))
@@ -38,25 +50,29 @@ class Trees:
             inner = (1 << self.depth) - 1
             feature, bound = np.zeros(inner, np.int64), np.full(inner, 255)
             node = np.zeros(len(y), np.int64)
+            sums = histograms(every, node, 1)
             for level in range(self.depth):
                 lo, width = (1 << level) - 1, 1 << level
-                place = (node - lo) * self.bins
-                best = np.full(width, 1e-6)
-                total_g, total_h = (np.bincount(node - lo, v, width) for v in (g, h))
-                whole = total_g**2 / (total_h + self.ridge)
-                for k in some:
-                    if not len(self.cuts[k]):
-                        continue
-                    left_g, left_h = (np.bincount(place + b[:, k], v, width * self.bins).reshape(width, -1).cumsum(1) for v in (g, h))
-                    right_g, right_h = total_g[:, None] - left_g, total_h[:, None] - left_h
-                    gain = left_g**2 / (left_h + self.ridge) + right_g**2 / (right_h + self.ridge) - whole[:, None]
-                    gain[(left_h < self.least) | (right_h < self.least)] = 0
-                    top = gain.argmax(1)
-                    value = gain[np.arange(width), top]
-                    better = value > best
-                    best[better] = value[better]
-                    feature[lo : lo + width][better], bound[lo : lo + width][better] = k, top[better]
-                node = 2 * node + 1 + (b[np.arange(len(y)), feature[node]] > bound[node])
+                total = sums[:, 0].sum(2)  # any feature's bins add up to the node
+                left = sums.cumsum(3)
+                right = total[:, None, :, None] - left
+                gain = left[0] ** 2 / (left[1] + self.ridge) + right[0] ** 2 / (right[1] + self.ridge) - (total[0] ** 2 / (total[1] + self.ridge))[:, None]
+                gain[(left[1] < self.least) | (right[1] < self.least)] = 0
+                flat = gain.transpose(1, 0, 2).reshape(width, -1)
+                top = flat.argmax(1)
+                better = flat[np.arange(width), top] > 1e-6
+                feature[lo : lo + width][better], bound[lo : lo + width][better] = some[top[better] // self.bins], top[better] % self.bins
+                node = 2 * node + 1 + (b[every, feature[node]] > bound[node])
+                if level + 1 < self.depth:
+                    # only the smaller child of each node is counted; the other is what is left of the node
+                    child = node - (2 * width - 1)
+                    size = np.bincount(child, minlength=2 * width).reshape(width, 2)
+                    small = np.arange(0, 2 * width, 2) + (size[:, 1] < size[:, 0])
+                    rows = np.flatnonzero(child == small[child // 2])
+                    part = histograms(rows, child[rows] // 2, width)
+                    both = np.empty((2, len(some), 2 * width, self.bins))
+                    both[:, :, small], both[:, :, small ^ 1] = part, sums - part
+                    sums = both
             leaf = node - inner
             value = self.rate * np.bincount(leaf, g, inner + 1) / (np.bincount(leaf, h, inner + 1) + self.ridge)
             at += value[leaf]

@@ -226,7 +226,7 @@ def _marked_by_tags(page: Page) -> bool:
     return False
 
 
-def extract(pages: DataFrame, sample: int = 300, drawn: int = 700, most_bytes: int = 1 << 16) -> DataFrame:
+def extract(pages: DataFrame, sample: int = 300, drawn: int = 1500, most_bytes: int = 1 << 16) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages."""
     whole = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     teach = whole.where(F.octet_length("html") <= most_bytes).select(F.col("page_id").alias("doc_id"), "html")

@@ -96,7 +96,7 @@ def given():
 
 @pytest.fixture(scope="module")
 def model(given):
-    return Extractor([h for _, h in given[:30]], 500)
+    return Extractor([h for _, h in given[:30]], 1500)
 
 
 def test_layouts_that_were_not_taught(model):
@@ -114,6 +114,8 @@ BY_HAND = [
     (f'<body><div id="cookie-banner"><p>We use cookies to make this site better for you, please agree.</p><button>OK</button></div><div class="navbar"><a href="/">Home</a> <a href="/n">News</a></div><div class="post-content"><h1>The river</h1><p>{TEXT}</p><div class="ad-slot">Buy two pairs of shoes today</div><p>{TEXT}</p></div><div class="sidebar"><h3>Popular</h3><ul><li><a href=/1>One thing</a><li><a href=/2>Another</a></ul></div><div id="footer">&copy; The Daily</div>', ["The river", TEXT, TEXT]),
     (f'<body><header><a href="/">Site</a><nav><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul></nav></header><main><article><h1>Hills</h1><p>{TEXT}<ul><li>north of the lake<li>south of it</ul></article><section class="comments"><h2>Comments</h2><div class="comment"><b>Ann</b><p>{TEXT} I was there last year and it was all quite different.</div></section></main><aside><p>Sign up for our letter, every week in your box.</p></aside><footer><p>All rights reserved by the owners of this site.</p></footer>', ["Hills", TEXT, "north of the lake", "south of it"]),
     (f"<p>{TEXT}</p><p>{TEXT}</p>", [TEXT, TEXT]),
+    (f'<body><div><div><ul><li><a href=/a>One</a><li><a href=/b>Two</a><li><a href=/c>Three</a></ul></div><div><h1>The river</h1><p>{TEXT}</p><p>It is long.</p><p>{TEXT}</p></div><div><h3>More</h3><ul><li><a href=/d>Four</a><li><a href=/e>Five</a></ul></div></div></body>', ["The river", TEXT, "It is long.", TEXT]),
+    (f'<body><div class="navbar"><a href=/>Home</a></div><div class="post"><h1>Hills</h1><div class="post-body"><h2>North</h2><p>{TEXT}<p>{TEXT}</div><div class="share"><a href=/f>F</a><a href=/t>T</a></div><div class="comment-list"><div class="comment"><b>Ann</b><p>{TEXT} So it was.</div></div></div><div class="footer"><p>{TEXT} All rights reserved.</div></body>', ["Hills", "North", TEXT, TEXT]),
 ]
 
 
