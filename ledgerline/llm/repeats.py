@@ -11,6 +11,9 @@ Before rows are dealt out by gram, each task takes out those that repeat a class
 has met before: its first place is enough for the others to meet.  So a gram that a
 third of all documents share sends a row or so for each task.
 
+A row that repeats a class names an earlier place of it instead of gram and
+surroundings, so that what the hashes say can be held against the bytes.
+
 Order of occurrence is by (doc_id, variant, position).  Different texts of one id
 are its variants, in order of a hash; a document without an id gets one from a hash
 of its text, before all others.  `at` packs variant, position, windows to the left
@@ -123,15 +126,17 @@ class Met:
     def __init__(self):
         self.key, self.rows = np.zeros(0, np.uint64), [np.zeros(0, np.int64) for _ in range(4)]
 
-    def later(self, gram: np.ndarray, around: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Which rows have their class's equal before them, in these rows or in those met."""
+    def later(self, gram: np.ndarray, around: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which rows have their class's equal before them, in these rows or in those met, and the document and place of that."""
         order = np.lexsort((at, doc, around, gram))
         rows = [c[order] for c in (gram, around, doc, at)]
         fresh = np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])])
         head = np.flatnonzero(fresh)
         first = head[np.cumsum(fresh) - 1]
-        out = np.zeros(len(gram), bool)
+        out, lead = np.zeros(len(gram), bool), (np.empty_like(doc), np.empty_like(at))
         out[order] = (rows[2] != rows[2][first]) | (rows[3] != rows[3][first])  # a repeated row is the same place
+        for own, c in zip(lead, rows[2:], strict=True):
+            own[order] = c[first]
         size = np.diff(np.append(head, len(gram)))
         heads = [c[head] for c in rows]
         key = K.mix(heads[0].view(np.uint64) ^ K.mix(heads[1].view(np.uint64)))
@@ -141,6 +146,8 @@ class Met:
             same = (self.key[place] == key) & (old[0] == heads[0]) & (old[1] == heads[1])
             after = same & ((old[2] < heads[2]) | ((old[2] == heads[2]) & (old[3] < heads[3])))
             out[order[head[after]]] = True
+            for own, c in zip(lead, old[2:], strict=True):
+                own[order[head[after]]] = c[after]
             for c, new in zip(self.rows[2:], heads[2:], strict=True):
                 c[place[same & ~after]] = new[same & ~after]
             size = np.where(same, 1, size)
@@ -151,7 +158,7 @@ class Met:
             merged = np.argsort(np.concatenate([self.key, key[add]]), kind="stable")
             self.key = np.concatenate([self.key, key[add]])[merged]
             self.rows = [np.concatenate([c, h[add]])[merged] for c, h in zip(self.rows, heads, strict=True)]
-        return out
+        return out, *lead
 
 
 def anchor_rows(texts: DataFrame, units: Units) -> DataFrame:
@@ -167,10 +174,10 @@ def anchor_rows(texts: DataFrame, units: Units) -> DataFrame:
                 if not len(gram):
                     continue
                 columns = [gram.view(np.int64), around.view(np.int64), ids[lo + row], pack(place + (variants[lo + row] << 32), left, count)]
-                later = met.later(*columns)
+                later, *lead = met.later(*columns)
                 kind = np.where(later, LATER, FIRST).astype(np.int32)
-                for c in columns[:2]:
-                    c[later] = 0  # these rows meet nothing more
+                for c, v in zip(columns[:2], lead, strict=True):  # these rows meet nothing more
+                    c[later] = v[later]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (kind, *columns)], ["kind", "gram", "around", "doc_id", "at"])
 
     return texts.select("doc_id", "variant", "text").mapInArrow(run, PLACES)
@@ -179,7 +186,7 @@ def anchor_rows(texts: DataFrame, units: Units) -> DataFrame:
 def _classes(heads: bool):
     """Over rows in order of (kind, gram, around, doc_id, at): what to remove and what to compare.
 
-    LATER rows repeat a class, those that are so already come first; FIRST rows are first of a class whose gram has
+    LATER rows repeat a class, those that are so already come first; with `heads` they keep their gram, else they name the class's first place; FIRST rows are first of a class whose gram has
     others; HEAD rows, if asked for, are the first of each class.
     """
 
@@ -219,7 +226,10 @@ def _classes(heads: bool):
             fresh = head[head >= shift] if heads else head[:0]
             rows = np.concatenate([later, firsts, fresh])
             kind = np.repeat(np.array([LATER, FIRST, HEAD], np.int32), [len(later), len(firsts), len(fresh)])
-            yield pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(x[rows]) for x in (gram, around, doc, at))], ["kind", "gram", "around", "doc_id", "at"])
+            columns = [x[rows] for x in (gram, around, doc, at)]
+            if not heads:
+                columns[0][: len(later)], columns[1][: len(later)] = doc[mine[later]], at[mine[later]]
+            yield pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, columns)], ["kind", "gram", "around", "doc_id", "at"])
 
     return run
 
@@ -285,7 +295,7 @@ WINDOWS = "hash_a long, hash_b long, doc_id long, start long"
 
 
 def later_windows(windows: DataFrame) -> DataFrame:
-    """(doc_id, start) of the windows whose two hashes stand earlier too.
+    """(doc_id, start, lead, lead_start) of the windows whose two hashes stand earlier too, and where they stand first.
 
     First places are minima, summed in part before they meet; the join back to
     them may be split by Spark where one window is very common.
@@ -293,7 +303,55 @@ def later_windows(windows: DataFrame) -> DataFrame:
     first = windows.groupBy("hash_a", "hash_b").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last"))
     first = first.where("first <> last").drop("last")
     met = windows.join(first, ["hash_a", "hash_b"])
-    return met.where(F.struct("doc_id", "start") != F.col("first")).select("doc_id", "start")
+    return met.where(F.struct("doc_id", "start") != F.col("first")).select("doc_id", "start", F.col("first.doc_id").alias("lead"), F.col("first.start").alias("lead_start"))
+
+
+def as_links(places: DataFrame) -> DataFrame:
+    """(doc_id, first, last, lead, lead_first) of LATER places: window starts, and those of the earlier place that each names."""
+    start = lambda c: F.shiftright(c, 16) - F.shiftright(c, 8).bitwiseAND(F.lit(255))
+    last = start("at") + F.col("at").bitwiseAND(F.lit(255)) - 1
+    return places.select("doc_id", start("at").alias("first"), last.alias("last"), F.col("gram").alias("lead"), start("around").alias("lead_first"))
+
+
+def stretches(links: DataFrame) -> DataFrame:
+    """Joins links of a document that touch and whose earlier places touch alike."""
+    links = links.withColumn("shift", F.col("lead_first") - F.col("first"))
+    order = Window.partitionBy("doc_id", "lead", "shift").orderBy("first", "last")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.coalesce(F.col("first") > reach + 1, F.lit(True)), 1).otherwise(0)
+    parts = links.withColumn("fresh", fresh).withColumn("part", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = parts.groupBy("doc_id", "lead", "shift", "part").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return joined.select("doc_id", "first", "last", "lead", (F.col("first") + F.col("shift")).alias("lead_first"))
+
+
+PIECES = "lead long, lead_first long, size long, proof binary"
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, variants = batch.column("doc_id").to_numpy(), batch.column("variant").to_numpy()
+        for i, text in enumerate(batch.column("text")):
+            raw, wanted = (text.as_py() or "").encode(), batch.column("wanted")[i].values
+            first, size = (wanted.field(c).to_numpy() for c in ("first", "size"))
+            pieces = [raw[s : s + n] for s, n in zip((first & 0xFFFFFFFF).tolist(), size.tolist(), strict=True)]
+            columns = [np.repeat(ids[i], len(first)), (first & 0xFFFFFFFF) + (variants[i] << 32), size]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(pieces, pa.binary())], ["lead", "lead_first", "size", "proof"])
+
+
+def proven(links: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """(doc_id, first, last, proof): stretches of byte windows with the bytes that the earlier place has.
+
+    A piece of an earlier text that many documents repeat is cut out once.
+    """
+    asked = written(stretches(links).withColumn("size", F.col("last") - F.col("first") + window), "stretches")
+    own = ["doc_id", "variant"]
+    wanted = asked.groupBy(F.col("lead").alias("doc_id"), F.shiftright("lead_first", 32).alias("variant")).agg(F.collect_set(F.struct(F.col("lead_first").alias("first"), "size")).alias("wanted"))
+    wanted = written(wanted, "wanted-pieces")
+    some = only_ids(texts, written(wanted.select("doc_id").distinct(), "wanted-ids"))
+    pieces = some.select(*own, "text").join(wanted, own).mapInArrow(_pieces, PIECES)
+    # rows that repeat an id and its text cut a piece each
+    pieces = pieces.groupBy("lead", "lead_first", "size").agg(F.first("proof").alias("proof"))
+    return asked.join(pieces, ["lead", "lead_first", "size"]).select("doc_id", "first", "last", "proof")
 
 
 def as_ranges(places: DataFrame) -> DataFrame:
@@ -310,12 +368,14 @@ def removed_units(ranges: tuple[np.ndarray, np.ndarray], window: int, n: int) ->
     return np.cumsum(depth)[:n] > 0
 
 
-def rebuilt(texts: DataFrame, gone: DataFrame, digest, schema: str, columns: list[str]) -> DataFrame:
+def rebuilt(texts: DataFrame, gone: DataFrame, digest, schema: str, columns: list[str], window: int = 0) -> DataFrame:
     """`digest(text bytes, ranges or None)` of every `numbered` row.
 
     Documents that lose nothing get theirs in place; only the others' texts meet
-    their ranges.
+    their ranges.  A range of byte windows that comes with a proof counts if the text has
+    just those bytes there.
     """
+    proofs = ["proof"] * ("proof" in gone.columns)
 
     def run(with_ranges: bool):
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,10 +384,18 @@ def rebuilt(texts: DataFrame, gone: DataFrame, digest, schema: str, columns: lis
                     lists = batch.column("gone")
                     edges = lists.offsets.to_numpy()
                     first, last = (lists.values.field(c).to_numpy() & 0xFFFFFFFF for c in ("first", "last"))
+                    proof = lists.values.field("proof") if proofs else None
                 out = []
                 for i, text in enumerate(batch.column("text")):
-                    own = (first[edges[i] : edges[i + 1]], last[edges[i] : edges[i + 1]]) if with_ranges and edges[i] < edges[i + 1] else None
-                    out.append(digest((text.as_py() or "").encode(), own))
+                    raw = (text.as_py() or "").encode()
+                    own = None
+                    if with_ranges and edges[i] < edges[i + 1]:
+                        own = first[edges[i] : edges[i + 1]], last[edges[i] : edges[i + 1]]
+                        if proofs:
+                            spans = zip(*(c.tolist() for c in own), proof[edges[i] : edges[i + 1]].to_pylist(), strict=True)
+                            sound = np.array([p is None or raw[a : b + window] == p for a, b, p in spans])
+                            own = (own[0][sound], own[1][sound]) if sound.any() else None
+                    out.append(digest(raw, own))
                 values = list(zip(*out, strict=True)) or [[] for _ in columns]
                 kinds = [pa.string() if c.endswith("sha256") else pa.int64() for c in columns]
                 yield pa.RecordBatch.from_arrays([batch.column("own_id"), *(pa.array(v, k) for v, k in zip(values, kinds, strict=True))], ["doc_id", *columns])
@@ -335,7 +403,7 @@ def rebuilt(texts: DataFrame, gone: DataFrame, digest, schema: str, columns: lis
         return each
 
     own = ["doc_id", "variant"]
-    gone = written(gone.groupBy("doc_id", F.shiftright("first", 32).alias("variant")).agg(F.collect_list(F.struct("first", "last")).alias("gone")), "ranges")
+    gone = written(gone.groupBy("doc_id", F.shiftright("first", 32).alias("variant")).agg(F.collect_list(F.struct("first", "last", *proofs)).alias("gone")), "ranges")
     ids = written(gone.select("doc_id").distinct(), "range-ids")
     some = only_ids(texts, ids).join(gone, own, "left").mapInArrow(run(True), schema)
     rest = only_ids(texts, ids, "left_anti").mapInArrow(run(False), schema)

@@ -1,14 +1,17 @@
 """Suffix-array dedup over bytes: a hash-compared suffix sort of what may repeat.
 
-Only bytes around grams that occur in different surroundings are sorted (equal
-surroundings are repeats as they are).  Suffixes at one offset from one gram are
-put in order by a mergesort.  Two suffixes are compared by prefix polynomial
+Bytes around grams that occur in different surroundings are sorted.  Equal
+surroundings, by two 64-bit hashes, are repeats as they are, once the bytes of the
+later place equal those of an earlier one: touching places that repeat touching places
+are one stretch, and its earlier bytes travel once.  Suffixes at one offset from
+one gram are put in order by a mergesort.  Two suffixes are compared by prefix polynomial
 hashes: a binary search finds their common extension, and the next byte decides.
 Neighbours that agree over a whole window are compared byte by byte against
 collisions; the first by (doc_id, start) stays.
 
 A gram with more than `group_rows` different surroundings isn't sorted in one
-task: its windows meet by two 64-bit hashes in a grouped minimum instead.
+task: its windows meet by two 64-bit hashes in a grouped minimum instead, and are
+held against the first's bytes in the same way.  So no byte goes by hashes alone.
 
 Defined results: null and empty texts have no bytes; texts under 100 bytes lose
 nothing; cuts may fall inside a character, as texts are bytes here; rows that
@@ -188,15 +191,15 @@ def suffix_dedup(docs: DataFrame, group_rows: int = 5000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document row."""
     texts = R.numbered(docs)
     places = written(R.meet(R.anchor_rows(texts, UNITS)), "places")
-    later = R.as_ranges(places.where(F.col("kind") == R.LATER))
+    links = R.as_links(places.where(F.col("kind") == R.LATER))
     firsts = places.where(F.col("kind") == R.FIRST).select("gram", "doc_id", "at")
     crowded = written(firsts.groupBy("gram").count().where(F.col("count") > group_rows).select("gram"), "crowded-grams")
     usual = R.surroundings(texts, firsts.join(crowded, "gram", "left_anti"), _contexts, CONTEXTS)
     sorted_ = usual.repartition("gram").sortWithinPartitions("gram", "doc_id", "at").mapInArrow(_compared, RANGES)
-    gone = later.unionByName(sorted_)
     if crowded.limit(1).count():
         windows = R.surroundings(texts, firsts.join(crowded, "gram", "left_semi"), R.window_rows(UNITS), R.WINDOWS)
         single = R.later_windows(windows)
-        gone = gone.unionByName(single.select("doc_id", F.col("start").alias("first"), F.col("start").alias("last")))
+        links = links.unionByName(single.select("doc_id", F.col("start").alias("first"), F.col("start").alias("last"), "lead", F.col("lead_start").alias("lead_first")))
+    gone = R.proven(links, texts, UNITS.window).unionByName(sorted_.withColumn("proof", F.lit(None).cast("binary")))
     columns = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return R.rebuilt(texts, gone, _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", columns)
+    return R.rebuilt(texts, gone, _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", columns, UNITS.window)

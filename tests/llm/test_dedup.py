@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import repeats as R
 from ledgerline.llm import suffix_dedup as S
@@ -200,7 +201,7 @@ def test_tasks_tell_what_they_have_met():
     met, seen = R.Met(), {}
     for _ in range(6):
         gram, around, doc, at = (rng.integers(0, k, 300) for k in (6, 3, 50, 20))
-        later = met.later(gram, around, doc, at)
+        later, lead_doc, lead_at = met.later(gram, around, doc, at)
         for g, a, d, p, gone in zip(*(x.tolist() for x in (gram, around, doc, at, later)), strict=True):
             seen.setdefault((g, a), []).append(((d, p), gone))
     for places in seen.values():
@@ -217,3 +218,29 @@ def test_very_long_texts(spark, op, schema):
     text = " ".join(words[:140_000] + words[20_000:120_000] + words[140_000:])
     found = {r["doc_id"]: r for r in op(spark.createDataFrame([(1, text), (2, "short one")], "doc_id long, text string")).collect()}
     assert found[1]["n_removed"] == (100_000 if schema == "n_words" else 9 * 100_000 + 1) and found[2]["n_removed"] == 0
+
+
+def test_bytes_decide(spark):
+    """Hashes that lie: what an earlier place doesn't have stays, and stretches join touching places alone."""
+    rng = np.random.default_rng(8)
+    text = "".join(map(chr, rng.integers(97, 123, 900)))
+    rows = [(1, text), (2, "x" * 50 + text[:600]), (3, text[300:] + "y" * 200), (4, "z" * 300)]
+    texts = R.numbered(spark.createDataFrame(rows, "doc_id long, text string"))
+    window = S.UNITS.window
+    true = [(2, 50, 300, 1, 0), (2, 301, 550, 1, 251), (3, 0, 100, 1, 300), (3, 90, 500, 1, 390)]
+    false = [(4, 0, 100, 1, 0), (2, 0, 20, 1, 7)]
+    links = spark.createDataFrame(true + false, "doc_id long, first long, last long, lead long, lead_first long")
+    assert sorted(map(tuple, R.stretches(links).collect())) == [(2, 0, 20, 1, 7), (2, 50, 550, 1, 0), (3, 0, 500, 1, 300), (4, 0, 100, 1, 0)]
+    gone = R.proven(links, texts, window)
+    found = {r["doc_id"]: r["n_removed"] for r in R.rebuilt(texts, gone, S._digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", ["n_bytes", "n_removed", "n_spans", "kept_sha256"], window).collect()}
+    assert found == {1: 0, 2: 600, 3: 600, 4: 0}
+
+
+def test_nothing_goes_by_hashes_alone(spark, monkeypatch):
+    """Half of the links point a byte beside the earlier place, as false hashes would: those remove nothing, and the others what they did."""
+    docs, real = X.docs(spark), R.as_links
+    whole = X.by_id(S.suffix_dedup(docs))
+    monkeypatch.setattr(R, "as_links", lambda places: real(places).withColumn("lead_first", F.col("lead_first") + (F.col("first") % 2)))
+    found = X.by_id(S.suffix_dedup(docs))
+    kept = {i: r for i, r in found.items() if r["kept_sha256"] != whole[i]["kept_sha256"]}
+    assert kept and all(r["n_removed"] <= whole[i]["n_removed"] for i, r in kept.items())
