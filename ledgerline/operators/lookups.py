@@ -86,7 +86,7 @@ def superset_gaps(larger: DataFrame, smaller: DataFrame) -> DataFrame:
 def prefix_hierarchy(df: DataFrame, code: str, sections: DataFrame) -> DataFrame:
     """Adds secao, divisao, grupo and classe of an activity code; divisions without a section get null."""
     c = F.col(code)
-    out = df.withColumns({"divisao": F.substring(c, 1, 2), "grupo": F.substring(c, 1, 3), "classe": F.concat(F.substring(c, 1, 4), F.lit("-"), F.substring(c, 5, 1))})
+    out = df.withColumns({"divisao": F.left(c, F.lit(2)), "grupo": F.left(c, F.lit(3)), "classe": F.concat(F.left(c, F.lit(4)), F.lit("-"), F.substring(c, 5, 1))})
     return with_lookup(out, sections, "divisao", "secao", key="divisao_code", label="secao_name")
 
 

@@ -6,13 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedup_by_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """One row of each key, the first in the given order; equal rows are interchangeable.
+def dedup_by_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """One row of each key, the first in an order of columns ("name" or "name DESC"; nulls are least); equal rows are interchangeable.
 
-    Wide rows take part as one struct in a grouped maximum where the order is
-    plain; here a ranking window keeps any order.
+    Where all columns go one way it is a grouped extreme, summed in part before rows
+    move, so a key with very many rows costs no task more than a row for each input
+    task.  Only a mixed order needs each key's rows in one place, in a ranking window.
     """
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    names = [o.split()[0] for o in order]
+    falls = {o.upper().endswith(" DESC") for o in order}
+    if len(falls) == 1:
+        rest = [c for c in df.columns if c not in key and c not in names]
+        pick = F.max_by if falls == {True} else F.min_by
+        # the order goes along in the extreme itself
+        best = df.groupBy(*key).agg(pick(F.struct(*names, *rest), F.struct(*names)).alias("_best"))
+        return best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns])
+    by = [F.col(n).desc_nulls_last() if o.upper().endswith(" DESC") else F.col(n).asc_nulls_first() for n, o in zip(names, order, strict=True)]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*by)))
     return ranked.where("_rank = 1").drop("_rank")
 
 

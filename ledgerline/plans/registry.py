@@ -217,8 +217,7 @@ LINE_DEDUP = f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITIO
 
 @query(LINE_DEDUP % "")
 def dedup_by_key(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem")
-    return M.dedup_by_key(df, LINE_KEY, [F.col(c.split()[0]).desc() for c in LINE_ORDER.split(", ")])
+    return M.dedup_by_key(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER.split(", "))
 
 
 @query(LINE_DEDUP % "")

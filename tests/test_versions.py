@@ -209,3 +209,18 @@ def test_upsert_matches_null_keys(spark):
     old, new = spark.createDataFrame([(None, 1, "a"), (1, None, "a")], "k int, l int, v string"), spark.createDataFrame([(None, 1, "b"), (None, None, "b")], "k int, l int, v string")
     assert rows(M.upsert(old, new, ["k", "l"], ["v"])) == sorted([(None, 1, "b"), (1, None, "a"), (None, None, "b")], key=repr)
     assert M.upsert(old.select("k", "l"), new.select("k", "l"), ["k", "l"], []).count() == 3
+
+
+@pytest.mark.parametrize("order", [["v DESC", "n DESC"], ["v", "n"], ["v DESC", "n"]])
+def test_dedup_keeps_the_first_of_any_order(spark, order):
+    data = [(k % 7 if k % 7 else None, None if k % 5 == 0 else f"v{k % 4}", k * 37 % 101, float(k)) for k in range(200)]
+    df = spark.createDataFrame(data, "k int, v string, n int, x double").repartition(3)
+    got = M.dedup_by_key(df, ["k"], order)
+    low = lambda v: (v is not None, v or "")
+    sign = -1 if order[1].endswith("DESC") else 1
+    want = {}
+    for k in {r[0] for r in data}:
+        own = sorted((r for r in data if r[0] == k), key=lambda r: sign * r[2])
+        want[k] = sorted(own, key=lambda r: low(r[1]), reverse=order[0].endswith("DESC"))[0]
+    assert {r["k"]: tuple(r) for r in got.collect()} == want
+    assert ("Window" in got._jdf.queryExecution().executedPlan().toString()) == (len({o.endswith("DESC") for o in order}) == 2)
