@@ -98,3 +98,53 @@ def test_clashing_columns_pass_the_stages(spark):
         docs_out = stage(spark, docs, FOLDER)
         assert docs_out.columns == docs.columns
         assert {(r["gone"], r["n_lines"], r["kept"]) for r in docs_out.collect()} == {("a", 33, "b")}
+
+
+def test_whole_pipeline_against_plain_loops(spark):
+    """All five stages in a row, by loops alone, over the whole small tables."""
+    from ledgerline.llm import quality_rules as Q
+
+    from .test_search import shares
+    from .test_verdicts import measured, walked
+
+    t = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet")
+    rows = {r["doc_id"]: (r["text"] or "", r["source"]) for r in t("documents").collect()}
+    quality = {r["doc_id"]: r["quality"] for r in t("labels").collect()}
+
+    by_loop = {i: measured(text) for i, (text, _) in rows.items()}
+    order = Q.labelled_sample(Q.statistics(t("documents")), t("labels"), 20_000).toPandas()["doc_id"]
+    forest = Q.IsolationForest().fit(Q.np.array([by_loop[i][0] for i in order]))
+    good = sorted(walked(forest, by_loop[i][0]) for i in order if quality[i] == 1 and not by_loop[i][1])
+    threshold = good[-(-(len(good) - 1) * 998 // 1000)] + 1e-6
+    kept = {i: rows[i] for i, (f, failed) in by_loop.items() if not failed and walked(forest, f) < threshold}
+    assert len(kept) < len(rows)
+
+    cut = plain_lines((i, text) for i, (text, _) in kept.items())
+    assert any(cut[i] != kept[i][0] for i in kept)
+
+    words = {i: text.encode().lower().split() for i, text in cut.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()) for i, w in words.items()}
+    label = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and (n := len(sets[a] & sets[b])) and 100 * n >= 80 * len(sets[a] | sets[b])]
+    while any(label[a] != label[b] for a, b in links):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    apart = {i for i in sets if label[i] == i}
+    assert len(apart) < len(sets)
+
+    plain = lambda ws: b" " + b" ".join(x for x in (w.strip(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for w in ws) if x) + b" "
+    items = [plain(r["text"].encode().lower().split()) for r in t("benchmark").collect() if r["text"]]
+    clean = {i for i in apart if not any(x in plain(words[i]) for x in items)}
+    assert len(clean) < len(apart)
+
+    found = {r["doc_id"]: r for r in P.run(spark, FOLDER).collect()}
+    assert set(found) == clean and {i: r["size"] for i, r in found.items()} == {i: len(words[i]) for i in clean}
+    sizes = {}
+    for i in clean:
+        sizes[rows[i][1]] = sizes.get(rows[i][1], 0) + len(words[i])
+    order = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    want = shares(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}, 1.5 * sum(sizes.values()))
+    for s in sizes:
+        own = [r for i, r in found.items() if rows[i][1] == s]
+        assert abs(own[0]["target"] - want[s]) < 1e-6 * max(want[s], 1) and abs(sum(r["taken"] for r in own) - want[s]) <= 1
+        assert all(r["taken"] <= 2 * r["size"] for r in own)
