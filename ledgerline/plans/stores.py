@@ -161,6 +161,41 @@ def quarantine(spark, sf_dir):
     return rows.where(F.col(S.CORRUPT).isNotNull()).select(F.col(S.CORRUPT).alias("raw"))
 
 
+def _packed(lines, folder: str):
+    """Lines of each part in an archive of its own, with a member that no family has."""
+
+    def run(rows):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyarrow.fs import FileSystem
+
+        store, base = FileSystem.from_uri(folder)
+        store.create_dir(base)
+        part, held = int(rows["f"].iloc[0]), io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(f"in/K{part}.EMPRECSV", "".join(line + "\n" for line in sorted(rows["line"])).encode("latin-1"))
+            archive.writestr("readme.txt", "of no family")
+        with store.open_output_stream(f"{base}/Empresas{part}.zip") as sink:
+            sink.write(held.getvalue())
+        return pd.DataFrame({"path": [f"{folder}/Empresas{part}.zip"]})
+
+    return lines.groupBy("f").applyInPandas(run, "path string")
+
+
+@query(f"""
+    SELECT split_part(line, ';', 1) AS codigo, split_part(line, ';', 2) AS nome, split_part(line, ';', 3) AS segmento, 'K' || f || '.EMPRECSV' AS member, true AS crc_ok
+    FROM ({LINES_SQL}) WHERE len(string_split(line, ';')) = 3""")
+def archive_landing(spark, sf_dir):
+    """Archives are extracted, a task for each member, and their good records read."""
+    paths = spark.createDataFrame([(r["path"],) for r in _packed(_landing_lines(spark, sf_dir), scratch(spark, "archives")).collect()], "path string")
+    files = S.extract_archives(paths, scratch(spark, "extracted")).collect()  # one row for each archive
+    rows = S.read_strings(spark, [r["file"] for r in files if r["crc_ok"]], COLUMNS).where(F.col(S.CORRUPT).isNull())
+    name = F.regexp_extract("file_name", "(K[0-9]+[.]EMPRECSV)$", 1)
+    return rows.select(*COLUMNS, name.alias("member"), F.lit(all(r["crc_ok"] for r in files)).alias("crc_ok"))
+
+
 MONTHS_SQL = "SELECT event_id, user_id, value, strftime(ts, '%Y-%d') AS source_month FROM events"
 
 

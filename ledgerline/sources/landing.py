@@ -185,17 +185,33 @@ def force_reprocess(ledger: DataFrame, directory: str) -> DataFrame:
     return ledger.where(F.col("directory") != directory)
 
 
+def archive_members(paths: DataFrame) -> DataFrame:
+    """(archive, member, bytes) of the members of known families; only the archives' directories are read."""
+    patterns = ("SIMPLES", *FAMILIES)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        for path in (path for batch in batches for path in batch["path"]):
+            own, place = FileSystem.from_uri(path)
+            with own.open_input_file(place) as opened, zipfile.ZipFile(opened) as archive:
+                found = [(path, m.filename, m.file_size) for m in archive.infolist() if any(p in m.filename.upper() for p in patterns)]
+            yield pd.DataFrame(found, columns=["archive", "member", "bytes"])
+
+    return paths.select("path").mapInPandas(run, "archive string, member string, bytes long")
+
+
 def extract_archives(paths: DataFrame, target: str) -> DataFrame:
     """(archive, member, file, bytes, crc_ok) of each wanted member, written under `target`, a folder that all tasks share.
 
-    One row of `paths` (column path) is one archive. Paths and target may be plain
+    One row of `paths` (column path) is one archive, and each member is a task of its
+    own, as a compressed stream can't be read from its middle.  Paths and target may be plain
     or of any store that Arrow opens (file, hdfs, s3, gs). Members stream through a
     fixed buffer into a folder of their archive, so equal names in two archives don't
     meet; a file gets its name when it is whole. Members of no known family are left
     out; a broken member has a null file.
     """
     schema = "archive string, member string, file string, bytes long, crc_ok boolean"
-    patterns = ("SIMPLES", *FAMILIES)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
@@ -203,25 +219,24 @@ def extract_archives(paths: DataFrame, target: str) -> DataFrame:
         from pyarrow.fs import FileSystem
 
         store, base = FileSystem.from_uri(target)
-        for path in (path for batch in batches for path in batch["path"]):
+        for path, member in (pair for batch in batches for pair in zip(batch["archive"], batch["member"], strict=True)):
             own, place = FileSystem.from_uri(path)
             folder = f"{place.rsplit('/', 1)[-1].rsplit('.', 1)[0]}-{zlib.crc32(path.encode()):08x}"
             store.create_dir(f"{base}/{folder}")
+            name = "_".join(p for p in member.split("/") if p not in ("", ".", ".."))
+            size, ok, part = 0, True, f"{base}/{folder}/_{uuid.uuid4().hex}"  # scans pass over such names
             with own.open_input_file(place) as opened, zipfile.ZipFile(opened) as archive:
-                for member in archive.namelist():
-                    if not any(p in member.upper() for p in patterns):
-                        continue
-                    name = "_".join(p for p in member.split("/") if p not in ("", ".", ".."))
-                    size, ok, part = 0, True, f"{base}/{folder}/_{uuid.uuid4().hex}"  # scans pass over such names
-                    try:
-                        with archive.open(member) as source, store.open_output_stream(part) as sink:
-                            while block := source.read(BLOCK):
-                                size += sink.write(block)
-                        store.move(part, f"{base}/{folder}/{name}")
-                    except (zipfile.BadZipFile, zlib.error):
-                        ok = False
-                        store.delete_file(part)
-                    file = f"{target.rstrip('/')}/{folder}/{name}" if ok else None
-                    yield pd.DataFrame([(path, member, file, size, ok)], columns=["archive", "member", "file", "bytes", "crc_ok"])
-
-    return paths.mapInPandas(run, schema)
+                try:
+                    with archive.open(member) as source, store.open_output_stream(part) as sink:
+                        while block := source.read(BLOCK):
+                            size += sink.write(block)
+                    store.move(part, f"{base}/{folder}/{name}")
+                except (zipfile.BadZipFile, zlib.error):
+                    ok = False
+                    store.delete_file(part)
+            file = f"{target.rstrip('/')}/{folder}/{name}" if ok else None
+            yield pd.DataFrame([(path, member, file, size, ok)], columns=["archive", "member", "file", "bytes", "crc_ok"])
+
+    members = archive_members(paths)
+    many = members.count()
+    return members.repartition(max(1, min(many, 10_000))).mapInPandas(run, schema) if many else paths.sparkSession.createDataFrame([], schema)
