@@ -143,7 +143,7 @@ def _written(df: DataFrame, path: str, key: list[str], buckets: int) -> dict[str
     return {name.split("=")[1]: [f"{folder}/{name}"] for name in names if name.startswith(f"{BUCKET}=")}
 
 
-def _publish(spark: SparkSession, path: str, version: Version) -> Version:
+def publish(spark: SparkSession, path: str, version: Version) -> Version:
     """Makes a version the last one, if its number is free."""
     store = Store(spark, path)
     draft = f"_versions/.{uuid.uuid4().hex}"
@@ -173,7 +173,7 @@ def overwrite(
         check()
     while True:  # whatever another writer has made meanwhile is replaced
         try:
-            return _publish(spark, path, Version(base.number + 1 if base else 0, df.schema.json(), folders, key, buckets if key else 1, _noted(base, source, batch)))
+            return publish(spark, path, Version(base.number + 1 if base else 0, df.schema.json(), folders, key, buckets if key else 1, _noted(base, source, batch)))
         except Conflict:
             base = current(spark, path)
             if _applied(base, source, batch):
@@ -194,7 +194,7 @@ def append(df: DataFrame, path: str, source: str | None = None, batch: int | Non
     made = _written(df, path, [], 1)[""]
     for _ in range(tries):
         try:
-            return _publish(spark, path, Version(base.number + 1 if base else 0, df.schema.json(), {"": (base.folders[""] if base else []) + made}, batches=_noted(base, source, batch)))
+            return publish(spark, path, Version(base.number + 1 if base else 0, df.schema.json(), {"": (base.folders[""] if base else []) + made}, batches=_noted(base, source, batch)))
         except Conflict:
             base = current(spark, path)
             if _applied(base, source, batch):
@@ -239,23 +239,28 @@ def merge(
                 raise RuntimeError(f"rows changed while they were merged: buckets {sorted(stray)}")
             kept = {b: f for b, f in base.folders.items() if int(b) not in touched}
         try:
-            return _publish(spark, path, Version(base.number + 1 if base else 0, schema.json(), kept | made, key, whole, _noted(base, source, batch)))
+            return publish(spark, path, Version(base.number + 1 if base else 0, schema.json(), kept | made, key, whole, _noted(base, source, batch)))
         except Conflict:
             continue
     raise Conflict(f"{path}: {tries} tries")
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2, grace: float = 86_400.0) -> list[str]:
-    """Deletes versions but the last `keep`, and folders and drafts that no kept version names and nobody changed for `grace` seconds.
+    """Deletes old versions, and folders and drafts that no other version names; the names of what went.
 
-    The grace must be longer than any write or read takes: a folder that is being
-    written has no version yet, and a reader may still hold a version that goes.
+    The last `keep` versions stay, and so do those that were the last within `grace`
+    seconds, as their readers may still be at work.  Folders without a version stay for the
+    same time, as they may be being written.  So the grace must be longer than any read or
+    write takes.
     """
     store, old = Store(spark, path), time.time() * 1000 - grace * 1000
     numbers = versions(spark, path)
-    gone = [f"_versions/{n:012d}.json" for n in numbers[: -keep or None]] if keep else []
-    named = {f.split("/")[1] for n in numbers[-keep:] for folders in current(spark, path, n).folders.values() for f in folders}
-    gone += [f"_versions/{name}" for name, at in store.names("_versions") if name.startswith(".") and at <= old]
+    made = dict(store.names("_versions"))
+    # a version's readers came before the next one was made
+    stale = [n for n, after in zip(numbers, numbers[1:], strict=False) if made[f"{after:012d}.json"] <= old][: max(len(numbers) - keep, 0)]
+    named = {f.split("/")[1] for n in numbers if n not in stale for folders in current(spark, path, n).folders.values() for f in folders}
+    gone = [f"_versions/{n:012d}.json" for n in stale]
+    gone += [f"_versions/{name}" for name, at in made.items() if name.startswith(".") and at <= old]
     gone += [f"data/{name}" for name, at in store.names("data") if name not in named and at <= old]
     for name in gone:
         store.delete(name)
@@ -265,4 +270,4 @@ def expire(spark: SparkSession, path: str, keep: int = 2, grace: float = 86_400.
 def restore(spark: SparkSession, path: str, number: int) -> Version:
     """Makes an earlier version's rows the next version; batches stay noted, so none is applied again."""
     base, old = current(spark, path), current(spark, path, number)
-    return _publish(spark, path, replace(old, number=base.number + 1, batches=base.batches))
+    return publish(spark, path, replace(old, number=base.number + 1, batches=base.batches))

@@ -9,7 +9,7 @@ from ledgerline.operators import merge as M
 from ledgerline.operators import versions as V
 from ledgerline.streaming.ingest import stream_files, upsert_once
 
-STEPS = ["_written", "_publish", "name_once"]
+STEPS = ["_written", "publish", "name_once"]
 
 
 class Lost(Exception):
@@ -93,7 +93,7 @@ def test_a_number_is_given_once(spark, tmp_path):
     path = str(tmp_path / "t")
     first = V.overwrite(spark.range(3), path)
     with pytest.raises(V.Conflict):
-        V._publish(spark, path, first)
+        V.publish(spark, path, first)
     assert V.current(spark, path) == first and len(list((tmp_path / "t" / "_versions").glob(".*"))) == 0
 
 
@@ -108,7 +108,7 @@ def test_a_number_is_given_once_by_rename(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     first = V.overwrite(spark.range(3), path)
     with pytest.raises(V.Conflict):
-        V._publish(spark, path, first)
+        V.publish(spark, path, first)
     assert V.overwrite(spark.range(4), path).number == 1 and V.read(spark, path).count() == 4
 
 
@@ -160,8 +160,12 @@ def test_replacement_reads_what_it_replaces(spark, tmp_path):
     assert V.read(spark, path).count() == 3
     V.restore(spark, path, 0)
     assert V.read(spark, path).count() == 10 and V.versions(spark, path) == [0, 1, 2]
-    V.expire(spark, path, keep=2)  # within the grace, folders stay for those who still read
+    reader = V.read(spark, path, V.current(spark, path, 1))
+    assert V.expire(spark, path, keep=1) == []  # within the grace, versions stay for those who still read
+    assert reader.count() == 3
+    V.expire(spark, path, keep=2, grace=0)
     assert V.versions(spark, path) == [1, 2] and len(list((tmp_path / "t" / "data").iterdir())) == 2
+    assert reader.count() == 3
     with pytest.raises(ValueError):
         V.current(spark, path, 0)
 
@@ -197,7 +201,7 @@ def test_a_stream_goes_on_after_a_lost_writer(spark, tmp_path, monkeypatch):
     go()
     frame(spark, [(1, "b"), (None, "b")]).coalesce(1).write.mode("append").parquet(source)
     with monkeypatch.context() as m:
-        break_at(m, "_publish", True)  # the version is there, the checkpoint doesn't know
+        break_at(m, "publish", True)  # the version is there, the checkpoint doesn't know
         with pytest.raises(Exception, match="Lost"):
             go()
     assert V.current(spark, path).number == 1
