@@ -69,7 +69,7 @@ class FingerprintIndex:
     def _next(self, runs: list[str]) -> None:
         """Makes the runs the index; another writer's version is an error, as batches have an order."""
         number = self.version.number + 1 if self.version else 0
-        self.version = V._publish(self.spark, self.folder, V.Version(number, self.rows().schema.json(), {"": runs}, ["gram"], self.buckets))
+        self.version = V.publish(self.spark, self.folder, V.Version(number, self.rows().schema.json(), {"": runs}, ["gram"], self.buckets))
 
     def _run(self, folder: str) -> DataFrame:
         """A run as the bucketed table it is."""
