@@ -78,7 +78,7 @@ def registry_tables(spark, sf_dir) -> marts.Tables:
     t = lambda name: table(spark, sf_dir, name)
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
     joined = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-    day = lambda c: F.date_format(c, "yyyyMMdd")
+    day = lambda c: F.replace(c.cast("date").cast("string"), F.lit("-"), F.lit(""))
     n, k, c = F.col("n_nationkey"), F.col("o_orderkey"), F.col("c_custkey")
     codes = lambda df, code, label: df.select(code.alias("codigo"), label.alias("descricao"))
     monthly = {

@@ -122,8 +122,12 @@ def identified(df: DataFrame, family: str, parity: bool = False) -> DataFrame:
 
 
 def clean_dates(df: DataFrame, family: str, as_of: str) -> DataFrame:
-    """Dates that don't exist, are before 1900 or after `as_of` become null; strings stay strings."""
-    return df.withColumns({c: F.when(N.date_in_range(N.to_date_or_null(F.col(c)), as_of).isNotNull(), F.col(c)) for c in FAMILIES[family].dates})
+    """Dates that don't exist, are before 1900 or after `as_of` become null; strings stay strings.
+
+    Strings of eight digits have the order of their dates, so each is read as a date once.
+    """
+    inside = lambda c: c.between(F.lit("19000101"), F.lit(as_of.replace("-", "")))
+    return df.withColumns({c: F.when(inside(F.col(c)) & N.to_date_or_null(F.col(c)).isNotNull(), F.col(c)) for c in FAMILIES[family].dates})
 
 
 def typed(df: DataFrame, family: str) -> DataFrame:
