@@ -34,11 +34,13 @@ repeat an id each get their own score; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +121,32 @@ class Tools:
         return out
 
 
+class Work:
+    """Arrays by name that batches use again; the first touch of a fresh one's pages costs more than the product in it."""
+
+    def __init__(self) -> None:
+        self.kept: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, like: np.ndarray, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.kept or self.kept[name].size < size or self.kept[name].dtype != like.dtype:
+            self.kept[name] = np.empty(size, like.dtype)
+        return self.kept[name][:size].reshape(shape)
+
+    def take(self, name: str, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The rows at the given places, all of which exist."""
+        return np.take(rows, at, axis=0, out=self(name, rows, *at.shape, *rows.shape[1:]), mode="clip")
+
+
+def symbol_runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in order of their symbols, where each symbol begins in it, and the symbols."""
+    symbols = x.ravel().astype(np.uint16)  # all ids fit, and short integers sort by radix
+    order = np.argsort(symbols, kind="stable")
+    symbols = symbols[order]
+    head = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1]))
+    return order, head, symbols[head]
+
+
 @dataclass
 class Model:
     """Class pair logits, the weights of one attention layer, and the class of each input symbol."""
@@ -142,70 +170,79 @@ class Model:
         weights["embed"] = weights["embed"][of]
         return cls(pair_logs(np.zeros((CLASSES + 1, CLASSES)), single), weights, of)
 
-    def projections(self) -> np.ndarray:
-        """Query (scaled), key and value weights side by side, for one product over all positions."""
-        w = self.weights
-        return np.hstack([w["query"] * _SCALE, w["key"], w["value"]])
+    def between(self) -> np.ndarray:
+        """What the attention makes of two inputs: the (scaled) query weights times those of keys."""
+        return self.weights["query"] * _SCALE @ self.weights["key"].T
 
-    def forward(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Inputs of the layer, queries with keys and values, attention, its means, and logits.
+    def forward(self, x: np.ndarray, work: Work, skip: int = 0) -> tuple[np.ndarray, ...]:
+        """Inputs of the layer and, from the place `skip` on, what meets them, attention, and means of inputs.
 
-        Products run window by window, so a window's logits are the same to the last bit wherever it stands in a batch.
+        Keys and values are the inputs times weights, so the weights are applied once on the queries' side and once to
+        the means.  Products run window by window, so a window's logits are the same to the last bit wherever it stands
+        in a batch.
         """
-        w = self.weights
-        h = w["embed"][x] + w["place"]
-        qkv = h @ self.projections()
-        q, k, v = thirds(qkv)
-        s = np.matmul(q, k.transpose(0, 2, 1))
-        s += _CAUSAL
-        if s.max() > 40:
-            np.minimum(s, 40, out=s)
-        np.exp(s, out=s)
-        s /= s @ _COLUMN
-        mean = np.matmul(s, v)
-        logits = (h + mean) @ w["out"]
-        logits += self.pairs[self.of[x]]
+        w, n = self.weights, len(x)
+        h = work.take("h", w["embed"], x)
+        h += w["place"]
+        g = np.matmul(h[:, skip:], self.between(), out=work("queries", h, n, WINDOW - skip, WIDTH))
+        a = np.matmul(g, h.transpose(0, 2, 1), out=work("attention", h, n, WINDOW - skip, WINDOW))
+        a += _CAUSAL[skip:]
+        if a.max() > 40:
+            np.minimum(a, 40, out=a)
+        np.exp(a, out=a)
+        rows = a.reshape(-1, WINDOW)
+        rows /= (rows @ _COLUMN)[:, None]
+        return h, g, a, np.matmul(a, h, out=work("mean", h, n, WINDOW - skip, WIDTH))
+
+    def logits(self, z: np.ndarray, x: np.ndarray, work: Work) -> np.ndarray:
+        """Logits of the ids after the symbols x, from the layer's outputs there."""
+        out = np.matmul(z, self.weights["out"], out=work("logits", z, *z.shape[:-1], CLASSES))
         # pairs are log probabilities and corrections to them stay small, so no maximum is taken out
-        return h, qkv, s, mean, logits
+        out += work.take("pairs", self.pairs, self.of[x])
+        return out
 
-    def log_probabilities(self, x: np.ndarray, y: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Logs of each target's probability, and of all classes' that a word can start with."""
-        logits = self.forward(x)[-1]
-        own = logits.reshape(-1, CLASSES)[np.arange(y.size), y.ravel()].reshape(y.shape)
+    def log_probabilities(self, x: np.ndarray, y: np.ndarray, groups: np.ndarray, work: Work | None = None, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Logs of each target's probability, and of all classes' that a word can start with, from the place `skip` on."""
+        work, y = work or Work(), y[:, skip:]
+        h, _, _, mean = self.forward(x, work, skip)
+        z = np.matmul(mean, self.weights["value"], out=work("z", h, *mean.shape))
+        z += h[:, skip:]
+        logits = self.logits(z, x[:, skip:], work).reshape(-1, CLASSES)
+        own = logits.ravel()[np.arange(0, logits.size, CLASSES) + y.ravel()]
         sums = np.log(np.exp(logits, out=logits) @ groups)
-        return own - sums[..., 0], sums[..., 1] - sums[..., 0]
-
-    def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
-        w, windows = self.weights, (*x.shape, WIDTH)
-        h, qkv, a, mean, p = self.forward(x)
-        q, k, v = thirds(qkv)
-        h, mean, p = (m.reshape(-1, m.shape[-1]) for m in (h, mean, p))
+        return (own - sums[:, 0]).reshape(y.shape), (sums[:, 1] - sums[:, 0]).reshape(y.shape)
+
+    def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, work: Work | None = None, runs: tuple[np.ndarray, ...] | None = None) -> dict[str, np.ndarray]:
+        """Of the mean loss over live targets; `runs` are those of x, if known."""
+        w, windows, work = self.weights, (*x.shape, WIDTH), work or Work()
+        h, g, a, mean = self.forward(x, work)
+        flat, mean = h.reshape(-1, WIDTH), mean.reshape(-1, WIDTH)
+        z = np.matmul(mean, w["value"], out=work("z", h, x.size, WIDTH))
+        z += flat
+        p = self.logits(z, x.ravel(), work)
         np.exp(p, out=p)
-        share = (live.ravel() / max(live.sum(), 1)).astype(np.float32)
-        p *= (share / (p @ _ONES)[:, 0])[:, None]
-        p[np.arange(y.size), y.ravel()] -= share
-        dz = p @ w["out"].T
-        of_mean = dz.reshape(windows)
-        da = np.matmul(of_mean, v.transpose(0, 2, 1))
-        # a row's mean of da under the attention is what its gradient makes of the mean of values
-        da -= np.einsum("ij,ij->i", dz, mean).reshape(*x.shape, 1)
+        share = live.ravel() * np.float32(1 / max(live.sum(), 1))
+        p *= (share / (p @ _ONES))[:, None]
+        p.ravel()[np.arange(0, p.size, CLASSES) + y.ravel()] -= share
+        dz = np.matmul(p, w["out"].T, out=work("dz", h, x.size, WIDTH))
+        dmean = np.matmul(dz, w["value"].T, out=work("dmean", h, x.size, WIDTH))
+        da = np.matmul(dmean.reshape(windows), h.transpose(0, 2, 1), out=work("da", h, *a.shape))
+        value = mean.T @ dz
+        # a row's mean of da under the attention is what its gradient makes of the mean
+        mean *= dmean
+        da -= (mean @ _WIDE).reshape(*x.shape, 1)
         da *= a
-        dqkv = np.empty_like(qkv)
-        dq, dk, dv = thirds(dqkv)
-        np.matmul(da, k, out=dq)
-        np.matmul(da.transpose(0, 2, 1), q, out=dk)
-        np.matmul(a.transpose(0, 2, 1), of_mean, out=dv)
-        dqkv = dqkv.reshape(-1, 3 * WIDTH)
-        dh = dz + dqkv @ self.projections().T
-        into = h.T @ dqkv
-        query, key, value = (into[:, c : c + WIDTH] for c in range(0, 3 * WIDTH, WIDTH))
-        symbols = x.ravel().astype(np.uint16)  # all ids fit, and short integers sort by radix
-        order = np.argsort(symbols, kind="stable")
-        symbols = symbols[order]
-        head = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1]))
+        dg = np.matmul(da, h, out=work("dg", h, *windows)).reshape(-1, WIDTH)
+        dh, part = dz, work("part", h, x.size, WIDTH)
+        dh += np.matmul(dg, self.between().T, out=part)
+        for left, right in ((da, g), (a, dmean.reshape(windows))):
+            np.matmul(left.transpose(0, 2, 1), right, out=part.reshape(windows))
+            dh += part
+        between = flat.T @ dg * _SCALE
+        order, head, symbols = runs or symbol_runs(x)
         embed = np.zeros_like(w["embed"])
-        embed[symbols[head]] = np.add.reduceat(dh[order], head)
-        return {"embed": embed, "place": dh.reshape(windows).sum(0), "query": query * _SCALE, "key": key, "value": value, "out": (h + mean).T @ p}
+        embed[symbols] = np.add.reduceat(work.take("sorted", dh, order), head)
+        return {"embed": embed, "place": dh.reshape(windows).sum(0), "query": between @ w["key"], "key": between.T @ w["query"], "value": value, "out": z.T @ p}
 
     def train(self, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], single: np.ndarray, rate: float = 0.01) -> tuple[int, np.ndarray, np.ndarray]:
         """Adam over batches of windows, moving only embeddings that a batch has.
@@ -217,16 +254,16 @@ class Model:
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
         seen, times, pairs = 0, np.zeros(len(self.of), np.int64), np.zeros((CLASSES + 1) * CLASSES)
-        where = np.zeros(len(self.of), np.int64)
+        work = Work()
         for step, (x, y, live) in enumerate(batches, 1):
             seen += int(live.sum())
-            used = np.flatnonzero(np.bincount(x.ravel(), minlength=1))
-            where[used] = np.arange(len(used))
-            local = where[x]
-            times[used] += np.bincount(local.ravel(), minlength=len(used))
+            order, head, used = symbol_runs(x)
+            each, local = np.diff(np.append(head, x.size)), np.empty(x.size, np.int64)
+            local[order] = np.repeat(np.arange(len(used)), each)
+            times[used] += each
             some = Model(self.pairs, self.weights | {"embed": self.weights["embed"][used]}, self.of[used])
             pace = np.float32(rate / (1 + step / 200))
-            for name, g in some.gradients(local, y, live).items():
+            for name, g in some.gradients(local.reshape(x.shape), y, live, work, (order, head, np.arange(len(used)))).items():
                 at = used if name == "embed" else slice(None)
                 m, v = first[name][at], second[name][at]
                 m += 0.1 * (g - m)
@@ -259,18 +296,25 @@ def pair_logs(counts: np.ndarray, single: np.ndarray) -> np.ndarray:
     return np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32)
 
 
-def thirds(qkv: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Queries, keys and values of each window."""
-    return qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
-
-
 _SCALE = np.float32(WIDTH**-0.5)
-_ONES, _COLUMN = np.ones((CLASSES, 1), np.float32), np.ones((WINDOW, 1), np.float32)
+_ONES, _COLUMN, _WIDE = (np.ones(n, np.float32) for n in (CLASSES, WINDOW, WIDTH))
 _CAUSAL = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order, a place of each, and which of them each place has."""
+    coded = pc.dictionary_encode(pa.array(hashes))
+    values, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order = np.argsort(values)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    which, place = rank[which], np.empty(len(order), np.int64)
+    place[which] = np.arange(len(which))
+    return values[order], place, which
+
+
 class Speller:
-    """Ids of words; a task keeps those of words that it has spelled, told apart by hash."""
+    """Ids of words; those of words that it has spelled are kept, told apart by hash."""
 
     def __init__(self, ranks: dict[bytes, int], opens: np.ndarray, most: int = 1 << 20):
         self.encode, self.opens, self.most = encoder(ranks), opens, most
@@ -290,31 +334,44 @@ class Speller:
 
     def spell(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of each word, and all ids."""
-        if not len(hashes):
+        return self.spell_distinct(low, starts, ends, *distinct(hashes))
+
+    def spell_distinct(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(which):
             return np.zeros(0, np.int64), np.zeros(0, np.int32)
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > self.most:
             self.forget()
-        place = np.searchsorted(self.hashes, distinct)
-        new = np.ones(len(distinct), bool)
+        place = np.searchsorted(self.hashes, words)
+        new = np.ones(len(words), bool)
         inside = place < len(self.hashes)
-        new[inside] = self.hashes[place[inside]] != distinct[inside]
+        new[inside] = self.hashes[place[inside]] != words[inside]
         if new.any():
             raw = low.tobytes()
-            self.learn([raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)], distinct[new])
-            place = np.searchsorted(self.hashes, distinct)
-        place = place[which]
-        lengths = self.lengths[place]
+            self.learn([raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)], words[new])
+            place = np.searchsorted(self.hashes, words)
+        lengths = self.lengths[place][which]
         edge = np.cumsum(lengths)
-        return lengths, self.ids[np.repeat(self.starts[place] - edge + lengths, lengths) + np.arange(edge[-1])]
+        return lengths, self.ids[np.repeat(self.starts[place][which] - edge + lengths, lengths) + np.arange(edge[-1])]
+
+
+_spellers: dict[int, Speller] = {}
+
+
+def speller(ranks: dict[bytes, int], opens: np.ndarray) -> Speller:
+    """A worker's speller of the last vocabulary, with what its earlier tasks have spelled."""
+    key = hash(tuple(ranks.items()))
+    if key not in _spellers:
+        _spellers.clear()
+        _spellers[key] = Speller(ranks, opens)
+    return _spellers[key]
 
 
 def sequences(speller: Speller, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Word rows, hashes and lengths in ids; all rows' ids with an end each, and offsets."""
+    """Words' rows, distinct hashes, which of them each word has, and lengths in ids; all rows' ids with an end each, and offsets."""
     low = K.LOWER[buf]
     starts, ends, rows = K.word_spans(low, at)
-    hashes = K.span_hashes(low, starts, ends)
-    lengths, ids = speller.spell(low, starts, ends, hashes)
+    words, first, which = distinct(K.span_hashes(low, starts, ends))
+    lengths, ids = speller.spell_distinct(low, starts, ends, words, first, which)
     n = len(at) - 1
     sizes = np.bincount(rows, weights=lengths, minlength=n).astype(np.int64)
     out = np.empty(len(ids) + n, np.int32)
@@ -323,7 +380,7 @@ def sequences(speller: Speller, buf: np.ndarray, at: np.ndarray) -> tuple[np.nda
     is_end[edge - 1] = True
     out[is_end] = END
     out[~is_end] = ids
-    return rows, hashes, lengths, out, np.concatenate([[0], edge])
+    return rows, words, which, lengths, out, np.concatenate([[0], edge])
 
 
 def windows(symbols: np.ndarray, offsets: np.ndarray, start: int = START, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -338,12 +395,26 @@ def windows(symbols: np.ndarray, offsets: np.ndarray, start: int = START, overla
     step = (np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)) * stride
     place = step[:, None] + np.arange(WINDOW)
     inside = place < sizes[row][:, None]
-    y = symbols[np.minimum(offsets[row][:, None] + place, len(symbols) - 1)].astype(np.int64)
-    before = np.concatenate([[start], symbols[:-1]]).astype(np.int64)
+    before = np.concatenate([[start], symbols[:-1]]).astype(np.int32)
     before[offsets[:-1]] = start
-    x = before[np.minimum(offsets[row][:, None] + place, len(symbols) - 1)]
+    place += offsets[row][:, None]
+    x, y = before.take(place, mode="clip"), symbols.astype(np.int32).take(place, mode="clip")
+    x *= inside
+    y *= inside
     live = inside & ((np.arange(WINDOW) >= overlap) | (step == 0)[:, None])
-    return np.where(inside, x, 0), np.where(inside, y, 0), live, row
+    return x, y, live, row
+
+
+def score_windows(model: Model, x: np.ndarray, y: np.ndarray, live: np.ndarray, groups: np.ndarray, work: Work, most: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities as the model gives them, at live targets; what only serves as context is not scored."""
+    out = tuple(np.zeros(x.shape, np.float32) for _ in range(2))
+    later = ~live[:, :OVERLAP].any(1)
+    for skip, at in ((0, np.flatnonzero(~later)), (OVERLAP, np.flatnonzero(later))):
+        for lo in range(0, len(at), most):
+            some = at[lo : lo + most]
+            for whole, part in zip(out, model.log_probabilities(x[some], y[some], groups, work, skip), strict=True):
+                whole[some, skip:] = part
+    return out
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -355,7 +426,8 @@ def count_words(docs: DataFrame) -> DataFrame:
             for _, _, b, a in K.slices(buf, at, 8 << 20):
                 low = K.LOWER[b]
                 starts, ends, _ = K.word_spans(low, a)
-                hashes, first, counts = np.unique(K.span_hashes(low, starts, ends), return_index=True, return_counts=True)
+                hashes, first, which = distinct(K.span_hashes(low, starts, ends))
+                counts = np.bincount(which, minlength=len(hashes))
                 raw = low.tobytes()
                 words = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "hash", "count"])
@@ -408,12 +480,12 @@ def train_attention(docs: DataFrame, tools, start: Model, single: np.ndarray, sh
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given, (begin, single) = tools.value, shared.value
-        speller = Speller(given.ranks, given.opens)
+        spell = speller(given.ranks, given.opens)
         model = Model(begin.pairs, {k: v.copy() for k, v in begin.weights.items()}, begin.of)
 
         def stream():
             for _, _, _, b, a in _each_slice(batches):
-                *_, ids, offsets = sequences(speller, b, a)
+                *_, ids, offsets = sequences(spell, b, a)
                 x, y, live, _ = windows(ids, offsets, IDS, 0)
                 order = np.random.default_rng(len(x)).permutation(len(x))
                 for lo in range(0, len(x), batch_windows):
@@ -489,19 +561,17 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = tools.value
-        speller = Speller(given.ranks, given.opens)
+        words_of, work = speller(given.ranks, given.opens), Work()
         hashes, counts, model, class_words, all_known = head.value
         groups = np.stack([np.ones(CLASSES), given.starting()], 1).astype(np.float32)
         log_class = np.log(np.maximum(class_words, 1.0))
         with np.errstate(divide="ignore"):
-            log_count = np.log(np.append(counts, 0))
+            log_count, log_base = np.log(np.append(counts, 0)), np.log10(np.append(counts, 0) + 1.0)
         for batch, lo, hi, b, a in _each_slice(batches):
-            rows, words_, lengths, spelled, offsets = sequences(speller, b, a)
+            rows, words_, which, lengths, spelled, offsets = sequences(words_of, b, a)
             n = hi - lo
             x, y, live, _ = windows(spelled, offsets, IDS)
-            y = model.of[y]
-            parts = [[part[live[w : w + 64]] for part in model.log_probabilities(x[w : w + 64], y[w : w + 64], groups)] for w in range(0, len(x), 64)]
-            own, opening_mass = (np.concatenate(c).astype(np.float64) for c in zip(*parts, strict=True))  # every id once, in order
+            own, opening_mass = (m[live].astype(np.float64) for m in score_windows(model, x, model.of[y], live, groups, work))  # every id once, in order
             last = offsets[1:] - 1
             end_score = own[last] - opening_mass[last]
             is_word = np.ones(len(own), bool)
@@ -515,9 +585,9 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
             spell = (np.add.reduceat((inner + shares)[is_word], np.cumsum(lengths) - lengths) if len(lengths) else np.zeros(0)) + opening_mass[begins + lengths] if len(lengths) else np.zeros(0)
             place = np.minimum(np.searchsorted(hashes, words_), max(len(hashes) - 1, 0))
             known = hashes[place] == words_ if len(hashes) else np.zeros(len(words_), bool)
-            place = np.where(known, place, len(counts))
-            count = np.append(counts, 0)[place]
-            base = np.bincount(rows, weights=np.log10(count + 1.0), minlength=n) + end_log
+            place = np.where(known, place, len(counts))[which]
+            known, words_ = known[which], words_[which]
+            base = np.bincount(rows, weights=log_base[place], minlength=n) + end_log
             spell += np.log(escape)
             share = np.log(1 - escape) + log_count[place] - log_class[first_class]
             score = np.bincount(rows, weights=first + np.logaddexp(spell, share), minlength=n) + end_score
