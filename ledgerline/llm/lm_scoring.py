@@ -174,7 +174,12 @@ class Model:
         """What the attention makes of two inputs: the (scaled) query weights times those of keys."""
         return self.weights["query"] * _SCALE @ self.weights["key"].T
 
-    def forward(self, x: np.ndarray, work: Work, skip: int = 0) -> tuple[np.ndarray, ...]:
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """What each symbol gives by itself: what meets the inputs before it, and logits of the next id."""
+        embed = self.weights["embed"]
+        return embed @ self.between(), embed @ self.weights["out"] + self.pairs[self.of]
+
+    def forward(self, x: np.ndarray, work: Work, skip: int = 0, meets: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
         """Inputs of the layer and, from the place `skip` on, what meets them, attention, and means of inputs.
 
         Keys and values are the inputs times weights, so the weights are applied once on the queries' side and once to
@@ -184,7 +189,8 @@ class Model:
         w, n = self.weights, len(x)
         h = work.take("h", w["embed"], x)
         h += w["place"]
-        g = np.matmul(h[:, skip:], self.between(), out=work("queries", h, n, WINDOW - skip, WIDTH))
+        g = work.take("queries", w["embed"] @ self.between() if meets is None else meets, x[:, skip:])
+        g += (w["place"] @ self.between())[skip:]
         a = np.matmul(g, h.transpose(0, 2, 1), out=work("attention", h, n, WINDOW - skip, WINDOW))
         a += _CAUSAL[skip:]
         if a.max() > 40:
@@ -194,20 +200,15 @@ class Model:
         rows /= (rows @ _COLUMN)[:, None]
         return h, g, a, np.matmul(a, h, out=work("mean", h, n, WINDOW - skip, WIDTH))
 
-    def logits(self, z: np.ndarray, x: np.ndarray, work: Work) -> np.ndarray:
-        """Logits of the ids after the symbols x, from the layer's outputs there."""
-        out = np.matmul(z, self.weights["out"], out=work("logits", z, *z.shape[:-1], CLASSES))
-        # pairs are log probabilities and corrections to them stay small, so no maximum is taken out
-        out += work.take("pairs", self.pairs, self.of[x])
-        return out
-
-    def log_probabilities(self, x: np.ndarray, y: np.ndarray, groups: np.ndarray, work: Work | None = None, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    def log_probabilities(self, x: np.ndarray, y: np.ndarray, groups: np.ndarray, work: Work | None = None, skip: int = 0, tables: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Logs of each target's probability, and of all classes' that a word can start with, from the place `skip` on."""
-        work, y = work or Work(), y[:, skip:]
-        h, _, _, mean = self.forward(x, work, skip)
-        z = np.matmul(mean, self.weights["value"], out=work("z", h, *mean.shape))
-        z += h[:, skip:]
-        logits = self.logits(z, x[:, skip:], work).reshape(-1, CLASSES)
+        w, work, y = self.weights, work or Work(), y[:, skip:]
+        meets, alone = tables or self.tables()
+        mean = self.forward(x, work, skip, meets)[-1]
+        logits = np.matmul(mean, w["value"] @ w["out"], out=work("logits", mean, *y.shape, CLASSES))
+        logits += work.take("alone", alone, x[:, skip:])
+        logits += (w["place"] @ w["out"])[skip:]
+        logits = logits.reshape(-1, CLASSES)
         own = logits.ravel()[np.arange(0, logits.size, CLASSES) + y.ravel()]
         sums = np.log(np.exp(logits, out=logits) @ groups)
         return (own - sums[:, 0]).reshape(y.shape), (sums[:, 1] - sums[:, 0]).reshape(y.shape)
@@ -219,7 +220,9 @@ class Model:
         flat, mean = h.reshape(-1, WIDTH), mean.reshape(-1, WIDTH)
         z = np.matmul(mean, w["value"], out=work("z", h, x.size, WIDTH))
         z += flat
-        p = self.logits(z, x.ravel(), work)
+        p = np.matmul(z, w["out"], out=work("logits", h, x.size, CLASSES))
+        # pairs are log probabilities and corrections to them stay small, so no maximum is taken out
+        p += work.take("pairs", self.pairs, self.of[x.ravel()])
         np.exp(p, out=p)
         share = live.ravel() * np.float32(1 / max(live.sum(), 1))
         p *= (share / (p @ _ONES))[:, None]
@@ -265,7 +268,7 @@ class Model:
             pace = np.float32(rate / (1 + step / 200))
             for name, g in some.gradients(local.reshape(x.shape), y, live, work, (order, head, np.arange(len(used)))).items():
                 at = used if name == "embed" else slice(None)
-                m, v = first[name][at], second[name][at]
+                m, v = (d[name].take(used, 0) if name == "embed" else d[name] for d in (first, second))
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 first[name][at], second[name][at] = m, v
@@ -405,22 +408,29 @@ def windows(symbols: np.ndarray, offsets: np.ndarray, start: int = START, overla
     return x, y, live, row
 
 
-def score_windows(model: Model, x: np.ndarray, y: np.ndarray, live: np.ndarray, groups: np.ndarray, work: Work, most: int = 128) -> tuple[np.ndarray, np.ndarray]:
+def score_windows(model: Model, x: np.ndarray, y: np.ndarray, live: np.ndarray, groups: np.ndarray, work: Work, tables: tuple[np.ndarray, np.ndarray], most: int = 128) -> tuple[np.ndarray, np.ndarray]:
     """Log probabilities as the model gives them, at live targets; what only serves as context is not scored."""
     out = tuple(np.zeros(x.shape, np.float32) for _ in range(2))
     later = ~live[:, :OVERLAP].any(1)
     for skip, at in ((0, np.flatnonzero(~later)), (OVERLAP, np.flatnonzero(later))):
         for lo in range(0, len(at), most):
             some = at[lo : lo + most]
-            for whole, part in zip(out, model.log_probabilities(x[some], y[some], groups, work, skip), strict=True):
+            for whole, part in zip(out, model.log_probabilities(x[some], y[some], groups, work, skip, tables), strict=True):
                 whole[some, skip:] = part
     return out
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """word, its hash and its count over the given rows."""
+def count_words(docs: DataFrame, most: int = 1 << 20, most_bytes: int = 1 << 26) -> DataFrame:
+    """word, its hash and its count over the given rows; a task sums up about `most` of its words, or their bytes, at a time."""
+
+    def flush(parts: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        words, hashes, counts = zip(*parts, strict=True)
+        values, place, which = distinct(np.concatenate(hashes))
+        counts = np.bincount(which, weights=np.concatenate(counts), minlength=len(values)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(words).take(pa.array(place)), pa.array(values.view(np.int64)), pa.array(counts)], ["word", "hash", "count"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
         for batch in batches:
             buf, at = K.text_column(batch.column("text"))
             for _, _, b, a in K.slices(buf, at, 8 << 20):
@@ -430,7 +440,12 @@ def count_words(docs: DataFrame) -> DataFrame:
                 counts = np.bincount(which, minlength=len(hashes))
                 raw = low.tobytes()
                 words = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "hash", "count"])
+                parts.append((pa.array(words, pa.binary()), hashes, counts))
+                if sum(len(p[1]) for p in parts) > most or sum(p[0].nbytes for p in parts) > most_bytes:
+                    yield flush(parts)
+                    parts = []
+        if parts:
+            yield flush(parts)
 
     rows = docs.select("text").mapInArrow(run, "word binary, hash long, count long")
     return rows.groupBy("word", "hash").agg(F.sum("count").alias("count"))
@@ -563,6 +578,7 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
         given = tools.value
         words_of, work = speller(given.ranks, given.opens), Work()
         hashes, counts, model, class_words, all_known = head.value
+        tables = model.tables()
         groups = np.stack([np.ones(CLASSES), given.starting()], 1).astype(np.float32)
         log_class = np.log(np.maximum(class_words, 1.0))
         with np.errstate(divide="ignore"):
@@ -571,7 +587,7 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, vocabulary: str =
             rows, words_, which, lengths, spelled, offsets = sequences(words_of, b, a)
             n = hi - lo
             x, y, live, _ = windows(spelled, offsets, IDS)
-            own, opening_mass = (m[live].astype(np.float64) for m in score_windows(model, x, model.of[y], live, groups, work))  # every id once, in order
+            own, opening_mass = (m[live].astype(np.float64) for m in score_windows(model, x, model.of[y], live, groups, work, tables))  # every id once, in order
             last = offsets[1:] - 1
             end_score = own[last] - opening_mass[last]
             is_word = np.ones(len(own), bool)

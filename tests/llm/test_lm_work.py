@@ -1,5 +1,6 @@
 """LM scoring does no work twice: arrays of batches, spelled words, and ids that are only context."""
 
+import collections
 import tracemalloc
 
 import numpy as np
@@ -18,8 +19,8 @@ def test_later_batches_take_up_the_arrays_of_the_first():
     model, work = some_model(rng), M.Work()
     model.weights["embed"], model.of = model.weights["embed"][:60], model.of[:60]
     x, y, live = rng.integers(0, 60, (128, M.WINDOW)), rng.integers(0, M.CLASSES, (128, M.WINDOW)), np.ones((128, M.WINDOW), bool)
-    groups = np.ones((M.CLASSES, 2), np.float32)
-    for step in (lambda: model.gradients(x, y, live, work), lambda: model.log_probabilities(x, y, groups, work)):
+    groups, tables = np.ones((M.CLASSES, 2), np.float32), model.tables()
+    for step in (lambda: model.gradients(x, y, live, work), lambda: model.log_probabilities(x, y, groups, work, 0, tables)):
         step()
         tracemalloc.start()
         step()
@@ -49,13 +50,27 @@ def test_context_is_not_scored_and_scores_are_the_same_to_the_bit(monkeypatch):
     offsets = np.cumsum([0, 1, 500, 33, 7, 32, 2000])
     ids = rng.integers(0, M.IDS, offsets[-1]).astype(np.int32)
     x, y, live, row = M.windows(ids, offsets, M.IDS)
-    y, groups, rows, real = model.of[y], np.ones((M.CLASSES, 2), np.float32), [], M.Model.logits
+    y, groups, rows, real = model.of[y], np.ones((M.CLASSES, 2), np.float32), [], M.Model.forward
     groups[::3, 1] = 0
-    monkeypatch.setattr(M.Model, "logits", lambda self, z, *rest: (rows.append(z[..., 0].size), real(self, z, *rest))[1])
-    found = [[m[live] for m in M.score_windows(model, x, y, live, groups, M.Work(), most)] for most in (1, 3, 128)]
+
+    def forward(*given):
+        out = real(*given)
+        rows.append(out[-1][..., 0].size)
+        return out
+
+    monkeypatch.setattr(M.Model, "forward", forward)
+    found = [[m[live] for m in M.score_windows(model, x, y, live, groups, M.Work(), model.tables(), most)] for most in (1, 3, 128)]
     first = np.append(True, row[1:] != row[:-1])
     assert sum(rows) == 3 * (first.sum() * M.WINDOW + (~first).sum() * (M.WINDOW - M.OVERLAP))
     whole = [m[live] for m in model.log_probabilities(x, y, groups)]
     for parts in found:
         assert all((a == b).all() for a, b in zip(parts, found[0], strict=True))
         assert all(np.allclose(a, b, rtol=1e-5, atol=1e-5) for a, b in zip(parts, whole, strict=True))
+
+
+def test_a_task_sums_up_its_words(spark):
+    rows = [(i, " ".join(f"w{k % 7} once{i}" for k in range(i))) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (50, None), (51, "")], "doc_id long, text string").coalesce(1)
+    found = [{(bytes(r["word"]), r["hash"]): r["count"] for r in M.count_words(docs, *limits).collect()} for limits in ((), (5,), (1 << 20, 10))]
+    assert found[0] == found[1] == found[2]
+    assert {w: n for (w, _), n in found[0].items()} == {w.encode(): n for w, n in collections.Counter(" ".join(t for _, t in rows).split()).items()}
